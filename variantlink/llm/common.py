@@ -28,6 +28,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def driver_file(spark: SparkSession, path: str):
+    """A tokenizer's file (a few MB at most), read by the driver and broadcast: executors need no such path."""
+    with open(path, "rb") as f:
+        data = f.read()
+    if len(data) > 64 << 20:
+        raise ValueError(f"{path}: too large for a vocabulary")
+    return spark.sparkContext.broadcast(data)
+
+
 def text_of(column: str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, with_rank
+from .common import driver_file, staged, with_rank
 
 CAPACITY, END_ID = 2048, 1
 #: Matches the same pieces as public_tokenizers.PATTERN; possessive, so that it never backtracks.
@@ -21,25 +21,24 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$
 
 
 @lru_cache(2)
-def encoder(path: str):
+def encoder(data: bytes):
     """Encoder of a rank file whose ids are those of the byte-level BPE with the same vocabulary."""
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 class Cutter:
     """Task code: encodes texts, cuts them at CAPACITY, numbers the pieces of each length in the task."""
 
-    def __init__(self, path: str, with_ids: bool) -> None:
-        self.path, self.with_ids = path, with_ids
+    def __init__(self, data, with_ids: bool) -> None:
+        self.data, self.with_ids = data, with_ids
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encode, seen = TaskContext.get().partitionId(), encoder(self.path), Counter()
+        part, encode, seen = TaskContext.get().partitionId(), encoder(self.data.value), Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 yield self.cut(batch.slice(at, 512), part, encode, seen)
@@ -160,7 +159,7 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
     schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, part int, local long"
     pieces = staged(
         docs.select(id_col, docs[text_col].cast("string").alias("_text")).mapInArrow(
-            Cutter(ranks_path, with_ids), schema + ", ids array<int>" * with_ids
+            Cutter(driver_file(docs.sparkSession, ranks_path), with_ids), schema + ", ids array<int>" * with_ids
         ),
         "pieces",
     )
