@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantlink.llm import common, exact_dedup, packing, quality, queries, simhash
+from variantlink.llm import common, exact_dedup, packing, pii, quality, queries, simhash
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one_each(docs)
 
 
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for personal data and their new length."""
+    return pii.replaced(docs, queries.SURROGATE_KEY)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids and places in the training sequences."""
     return packing.pack(docs, queries.tokenizer_file("byte_bpe_50k.tiktoken"), with_ids=True)
@@ -31,6 +36,7 @@ STAGES = [
     ("quality", quality_rules),
     ("exact_dedup", exact_copies),
     ("near_dedup", near_copies),
+    ("pii", private_data),
     ("packing", packed),
 ]
 

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, licenses, packing, quality, simhash
+from . import bpe, chat, exact_dedup, html_text, licenses, line_dedup, packing, pii, quality, simhash
+
+
+#: Key of the surrogates; a real corpus takes its own secret.
+SURROGATE_KEY = "corpus surrogates"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +38,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +55,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.surrogates(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", "text", "n_entities", "entity_kinds")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
 
@@ -63,7 +80,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
     "op3_licenses": op3_licenses,
+    "op4_chat": op4_chat,
     "op5_bpe": op5_bpe,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_pii": op7_pii,
     "op8_packing": op8_packing,
     "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
@@ -74,4 +94,16 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op4_chat": """
+        WITH t AS (SELECT conv_id, coalesce(nullif(role, ''), 'unknown') AS role, coalesce(text, '') AS text, turn FROM conversations),
+        r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS rank FROM t),
+        p AS (SELECT DISTINCT conv_id, role AS participant FROM t WHERE role <> 'system'),
+        x AS (SELECT r.conv_id, participant, rank, rank // 64 AS part, role = participant AS mine, text || '<|end|>\n' AS body,
+                CASE WHEN role = participant THEN '<|assistant|>\n' WHEN role = 'system' THEN '<|system|>\n'
+                     ELSE '<|user name=' || role || '|>\n' END AS head
+              FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
+        y AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, participant, part ORDER BY rank) AS stop FROM x)
+        SELECT conv_id, participant, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY rank) AS text,
+               coalesce(string_agg(CASE WHEN mine THEN CAST(stop - length(body) AS BIGINT) || ':' || CAST(stop - 1 AS BIGINT) END, ',' ORDER BY rank), '') AS mask
+        FROM y GROUP BY conv_id, participant, part""".replace("\n'", "' || chr(10)").replace("'<|end|>' || chr(10)", "('<|end|>' || chr(10))"),
 }
