@@ -1,0 +1,425 @@
+"""Each operator against a brute-force version, and on odd inputs."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+import zstandard
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from variantlink.llm import bpe, common, exact_dedup, html_text, licenses, line_dedup, packing, pii, quality, queries, simhash
+
+GPT = public_tokenizers.path("byte_bpe_50k.tiktoken")
+MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def texts_of(docs):
+    return [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+
+
+def low(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+# exact dedup
+
+
+@pytest.mark.parametrize("chunk_hash", [F.xxhash64, lambda c: (F.length(c) % 7).cast("long")])
+def test_exact_dedup(odd_docs, chunk_hash):
+    groups = defaultdict(list)
+    for i, t in texts_of(odd_docs):
+        groups[t or ""].append(i)
+    want = Counter()
+    for i, t in texts_of(odd_docs):
+        own = [x for x in groups[t or ""] if x is not None]
+        keep = max(own, default=None)
+        want[i, keep, len(groups[t or ""]), i == keep, hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    found = exact_dedup.exact_dedup(odd_docs, chunk_hash=chunk_hash).drop("n_chunks").collect()
+    assert Counter(map(tuple, found)) == want
+
+
+def test_chunks_join_to_the_text_and_follow_content(spark, odd_docs):
+    assert odd_docs.where(F.array_join(exact_dedup.chunks_of(common.text_of("text")), "") != common.text_of("text")).isEmpty()
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(9999)}" + "." * (rng.random() < 0.2) for _ in range(9000))
+    df = spark.createDataFrame([(text,), ("moved " + text,)], "t string").select(exact_dedup.chunks_of(F.col("t")).alias("c"))
+    a, b = (r["c"] for r in df.collect())
+    assert len(set(a) & set(b)) > 0.8 * len(a)
+
+
+def test_keep_first_copies(odd_docs):
+    kept = exact_dedup.keep_first_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    left = [t or "" for _, t in texts_of(kept)]
+    assert len(left) == len(set(left)) and set(left) == {t or "" for _, t in texts_of(odd_docs)}
+
+
+# quality
+
+
+def counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    times = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {i + k for i in range(len(words) - 2) if times[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality(odd_docs, documents):
+    for docs in (odd_docs, documents):
+        found = {(r["doc_id"], r["n_words"]): r for r in quality.quality(docs).collect()}
+        for i, t in texts_of(docs):
+            n = counts(t or "")
+            r = found[i, n[0]]
+            failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
+            assert (*n, failed) == tuple(r)[1:7]
+            raw = (t or "").encode()
+            assert r["ratio"] == len(raw) / len(zstandard.ZstdCompressor(level=3).compress(raw))
+            assert not (failed and r["kept"])
+
+
+def test_quality_bands_reject_repetition_and_noise(spark):
+    rng = random.Random(1)
+    noise = base64.b64encode(rng.randbytes(9000)).decode()
+    noisy = " ".join(noise[i : i + 9] for i in range(0, len(noise), 9))
+    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(900))
+    block = " ".join(f"{rng.randrange(10**9)}" for _ in range(60))
+    again = "\n".join(f"{k} {block[:40]} {k * k}" for k in range(900))
+    half = prose + " " + noisy
+    docs = spark.createDataFrame([(1, noisy), (2, prose), (3, again), (4, half)], "doc_id long, text string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
+    assert kept == {1: False, 2: True, 3: False, 4: False}
+    assert [r["doc_id"] for r in quality.keep_good(docs).collect()] == [2]
+
+
+# licences
+
+
+def test_licenses(odd_docs, documents):
+    for docs in (odd_docs, documents):
+        found = Counter(tuple(r)[:6] for r in licenses.license_scan(docs).collect())
+        want = Counter()
+        for i, t in texts_of(docs):
+            w = re.findall(licenses.WORD, low(t))
+            at = [(k, label) for p, label in licenses.BASE.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+            places = [k for k, _ in at]
+            want[i, len(w), len(at), min(places, default=None), max(places, default=None), ",".join(sorted({x for _, x in at}))] += 1
+        assert found == want
+
+
+def test_license_templates(spark):
+    rows = [
+        (1, "Released under the MIT License."),
+        (2, "Permission is hereby granted, free of charge,\n# to any person obtaining a copy of this software and associated documentation files"),
+        (3, "cc by nc 4.0 is what this text is; Licensed under CC BY-NC 4.0."),
+        (4, "a licence of no kind: permission, warranty, general, public"),
+        (5, "GNU General Public License version 2 and, elsewhere, licensed under the GNU General Public License, version 3"),
+        (6, "mit license " * 3000),
+    ]
+    out = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[k]["labels"] for k in (1, 2, 3, 4)] == ["mit", "mit", "cc-by-nc-4.0", ""]
+    assert out[2]["n_base"] == 0 and out[2]["score"] == 1.0 and out[4]["score"] == 0.0
+    assert out[5]["labels"] == "gpl,gpl-2.0,gpl-3.0" and out[6]["n_base"] == 3000 and out[6]["last_word"] == 5998
+
+
+# BPE
+
+
+def test_bpe_like_tiktoken(odd_docs, documents):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(MULTI, "rb"))}
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for docs in (odd_docs, documents):
+        coded = bpe.decode(bpe.encode(docs, MULTI, public_tokenizers.PATTERN), MULTI, public_tokenizers.PATTERN).collect()
+        found = Counter((r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in coded)
+        assert found == Counter((i, np.array(plain.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in texts_of(docs))
+
+
+def test_perfect_hash_is_minimal_and_tells_strangers():
+    keys = [f"key {k}".encode() for k in range(5000)]
+    table = bpe.PerfectHash(keys)
+    assert sorted(table.slots.tolist()) == list(range(5000))
+    assert table.find(keys) == list(range(5000)) and table.find([b"none", b""]) == [None, None]
+    assert bpe.PerfectHash([]).find([b"a"]) == [None]
+
+
+# packing
+
+
+def held_together(pieces, encode, docs):
+    texts = dict(docs)
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in pieces:
+        by_doc[r["doc_id"]].append(r)
+        by_sequence[r["sequence_id"]].append(r)
+    assert set(by_doc) == set(texts)
+    for i, own in by_doc.items():
+        ids, at = np.array([*encode(texts[i] or ""), 1], "<u4"), 0
+        for r in sorted(own, key=lambda r: r["start"]):
+            part = ids[at : at + r["length"]]
+            assert (r["start"], r["ids_crc32"], r["doc_tokens"]) == (at, zlib.crc32(part.tobytes()), len(ids))
+            assert "ids" not in r or r["ids"] == part.tolist()
+            at += r["length"]
+        assert at == len(ids)
+    for own in by_sequence.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= packing.CAPACITY
+    return sum(r["length"] for r in pieces) / packing.CAPACITY / len(by_sequence)
+
+
+def test_packing(documents):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    encode = lambda x: t.encode(x, add_special_tokens=False).ids
+    pieces = packing.pack(documents, GPT, with_ids=True).collect()
+    assert held_together(pieces, encode, texts_of(documents)) > 0.97
+
+
+def test_packing_odd(odd_docs):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    single = odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    held_together(packing.pack(single, GPT).collect(), lambda x: t.encode(x, add_special_tokens=False).ids, texts_of(single))
+    assert packing.pack(odd_docs, GPT).where("start = 0").count() == odd_docs.count()
+
+
+def test_fullest_is_optimal():
+    rng = random.Random(5)
+    for _ in range(200):
+        counts_, capacity = {rng.randrange(1, 30): rng.randrange(1, 4) for _ in range(5)}, rng.randrange(1, 80)
+        sums = {0}
+        for k, n in counts_.items():
+            sums |= {s + k * m for s in sums for m in range(n + 1)}
+        chosen = packing.fullest(counts_, capacity)
+        assert all(chosen[k] <= counts_[k] for k in chosen)
+        assert sum(k * n for k, n in chosen.items()) == max(s for s in sums if s <= capacity)
+
+
+# simhash
+
+
+def brute_components(docs):
+    prints = []
+    for _, t in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", low(t))
+        shingles = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] * bool(w)
+        h = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        prints.append(sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)))
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(docs)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
+                root[find(a)] = find(b)
+    lows = defaultdict(list)
+    for k, (i, _) in enumerate(docs):
+        lows[find(k)].append(i)
+    return Counter((i, f"{prints[k]:016x}", min((x for x in lows[find(k)] if x is not None), default=None)) for k, (i, _) in enumerate(docs))
+
+
+def test_simhash(odd_docs, documents):
+    for docs in (odd_docs, documents):
+        assert Counter(map(tuple, simhash.simhash_components(docs).collect())) == brute_components(texts_of(docs))
+
+
+def test_links_of_planted_fingerprints(spark):
+    rng = random.Random(11)
+    prints = []
+    for _ in range(60):
+        x = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 9)):
+            prints.append(x)
+            for _ in range(rng.randrange(0, 5)):
+                x ^= 1 << rng.randrange(64)
+    prints = sorted({simhash.signed(x) for x in prints})
+    near = lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 3
+    root = {x: x for x in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in prints:
+        for b in prints:
+            if a < b and near(a, b):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    found = {r["node"]: r["root"] for r in simhash.linked_components(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()}
+    assert all(found.get(x, x) == find(x) for x in prints)
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    edges = [(k, k + 1) for k in range(40)] + [(100, x) for x in range(101, 140)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(150)]
+    found = dict(map(tuple, common.components(spark.createDataFrame(edges, "u long, v long")).collect()))
+    root = {x: x for e in edges for x in e}
+    for _ in range(400):
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    assert all(found.get(x, x) == r for x, r in root.items())
+
+
+# line dedup
+
+
+def test_line_dedup(odd_docs, documents):
+    for docs in (odd_docs.where("doc_id is not null and doc_id not in (7, 8, 11)"), documents):
+        lines = sorted((i, k, x.split()) for i, t in set(texts_of(docs)) for k, x in enumerate(re.sub(r"[ \t-\r]", lambda m: m[0] if m[0] == "\n" else " ", t or "").split("\n")))
+        lines = [(i, k, [w for w in x]) for i, k, x in lines]
+        by_words = defaultdict(list)
+        for i, k, w in lines:
+            by_words[tuple(w)].append((i, k))
+        distinct = {w: min(at) for w, at in by_words.items() if w}
+        near = defaultdict(list)
+        for w, at in distinct.items():
+            if len(w) >= 5:
+                for c in range(len(w)):
+                    near[len(w), c, w[:c] + w[c + 1 :]].append(at)
+        want = {}
+        for i, k, w in lines:
+            w = tuple(w)
+            if not w:
+                want[i, k] = (True, None, None, None)
+                continue
+            first, best = distinct[w], []
+            if len(w) >= 5:
+                for c in range(len(w)):
+                    cut = w[:c] + w[c + 1 :]
+                    best += [x for x in near[len(w), c, cut] if x != first]
+                    if cut in distinct and len(cut) >= 5:
+                        best.append(distinct[cut])
+                for x, at in distinct.items():
+                    if len(x) == len(w) + 1 and any(x[:c] + x[c + 1 :] == w for c in range(len(x))):
+                        best.append(at)
+            e = min(best, default=None)
+            if e is not None and e < first:
+                want[i, k] = (False, *e, 1)
+            elif (i, k) != first:
+                want[i, k] = (False, *first, 0)
+            else:
+                want[i, k] = (True, None, None, None)
+        assert {tuple(r)[:2]: tuple(r)[2:] for r in line_dedup.line_dedup(docs).collect()} == want
+
+
+def test_line_dedup_odd(odd_docs):
+    assert line_dedup.line_dedup(odd_docs).count() > odd_docs.count()
+    text = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(odd_docs.where("doc_id = 15")).collect()}
+    assert text[15] == "a b c d e f\n\n\na b"
+
+
+# surrogates
+
+
+def test_surrogates(spark, odd_docs):
+    mail = "Write to Jane.Doe@mail.example.org or jane.doe@mail.example.org; call +1 (499) 555-6503 or +1 499 555 6503."
+    rows = [
+        (1, mail), (2, "Mrs. Anna Smith met Mr Tom Smith and SMITH; Frau Анна"), (3, "ip 10.1.2.3, card 4111 1111 1111 1111 and 4111111111111111"),
+        (4, 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" or 24be64439e3e49cf46b2d7c90f3602a3d0b907ff'), (5, "nothing to see: 12 apples, 2021"),
+    ]
+    out = {r["doc_id"]: r for r in pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    for old in ("Doe", "555-6503", "10.1.2.3", "4111", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "Anna Smith", "Tom Smith"):
+        assert all(old not in r["text"] for r in out.values())
+    a, b = re.findall(r"(\S+@\S+?)(?:;| )", out[1]["text"])
+    assert a != b and a.lower() == b.lower() and a.endswith(".example") and a[0].isupper() and a[4] == "."
+    p = re.search(r"call (\+1 \(\d{3}\) \d{3}-\d{4}) or (\+1 \d{3} \d{3} \d{4})\.", out[1]["text"])
+    assert re.sub(r"\D", "", p[1]) == re.sub(r"\D", "", p[2])
+    m = re.match(r"Mrs\. ([A-Z]\w+na) ([A-Z]\w+) met Mr ([A-Z]\w+n) ([A-Z]\w+) and SMITH; Frau ([а-яА-Я]+)$", out[2]["text"])
+    assert m and m[2] == m[4]
+    c = re.search(r"card (\d{4} \d{4} \d{4} \d{4}) and (\d{16})", out[3]["text"])
+    assert c[1].replace(" ", "") == c[2]
+    t = re.fullmatch(r'token = "([0-9a-f]{40})" or ([0-9a-f]{40})', out[4]["text"])
+    assert t[1] == t[2]
+    assert out[5]["text"] == rows[4][1] and out[5]["n_entities"] == 0 and out[1]["entity_kinds"] == "email,phone"
+    assert out[1]["text"] != pii.surrogates(spark.createDataFrame(rows[:1], "doc_id long, text string"), "other").first()["text"]
+    odd = pii.surrogates(odd_docs, "k")
+    assert odd.columns == [*odd_docs.columns, "n_entities", "entity_kinds"] and odd.count() == odd_docs.count()
+    assert Counter(t for i, t in texts_of(odd) if i != 16) == Counter(t for i, t in texts_of(odd_docs) if i != 16)
+
+
+def test_surrogates_stay_distinct(spark):
+    rows = [(k, f"{chr(97 + k % 26)}@x.org and {chr(97 + (k + 1) % 26)}@x.org") for k in range(60)] + [(None, "a@x.org b@x.org")]
+    out = pii.surrogates(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    pairs = set()
+    for (_, old), r in zip(sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0)), sorted(out, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0)), strict=True):
+        pairs |= set(zip(re.findall(r"\S+@\S+", old), re.findall(r"\S+@\S+", r["text"]), strict=True))
+    assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs}) == 26
+    assert not {b.split("@")[0] for _, b in pairs if len(b.split("@")[0]) == 1} & {a.split("@")[0] for a, _ in pairs}
+
+
+# pages
+
+
+def page(body, head="<title>t</title>"):
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+def test_pages(spark):
+    article = "<nav><ul><li><a href='/'>Home</a></li></ul></nav><div class='ad'>Buy</div><article><h1>A &amp; B</h1><p><b>One.<br><p>Two\n  three&nbsp;four</article><footer>(c)</footer>"
+    plain = lambda x: page(f"<div>Menu of all pages</div><p>{x}</p><p>Shared note</p><form>find <input></form><div id='comments'>me too</div>")
+    rows = [
+        (1, "http://a.org/x/1", page(article, "<script>var t='</p>';</script><style>p{}</style>")),
+        (2, "http://b.org/news/10", plain("Apples grow")), (3, "http://b.org/news/11?q=1", plain("Pears ripen")), (4, "http://b.org/zzz", plain("Plums fall")),
+        (5, None, None), (6, "http://c.org/", ""), (None, "http://d.org", plain("Alone")), (7, "//b.org/news/10", plain("Apples grow")),
+        (7, "//b.org/news/10", plain("Apples grow")), (8, "bad url", "<p>cut off <b>here"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"lines": F.lit("x"), "rank": F.lit("y"), "host": F.lit(1)})
+    out = html_text.main_text(frame).collect()
+    got = {r["page_id"]: r["text"] for r in out}
+    assert len(out) == len(rows) and got[1] == "A & B\n\nOne.\n\nTwo three four"
+    assert [got[k] for k in (3, 4, 5, 6, 8)] == ["Pears ripen", "Plums fall", "", "", "cut off here"]
+    assert got[None] == "Menu of all pages\n\nAlone\n\nShared note"  # no other page tells what is shared
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
+    assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_pages_of_the_table(spark):
+    got = queries.op9_html_text(spark, "/root/testdata/sf0.001").collect()
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+    assert len(got) == len(pages)
+    for r in got:
+        inner = re.search(r"<article>(.*)</article>", pages[r["page_id"]], re.S)[1]
+        import html
+
+        blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", " ", x))).strip() for x in re.split(r"</?(?:p|h1)>", inner)]
+        assert r["text"] == "\n\n".join(x for x in blocks if x)
+
+
+def test_common_lines():
+    rng = random.Random(0)
+    for _ in range(500):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(14))] for _ in range(2))
+        size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                size[i + 1][j + 1] = size[i][j] + 1 if x == y else max(size[i][j + 1], size[i + 1][j])
+        chosen, rest = html_text.common_lines(a, b), iter(b)
+        assert len(chosen) == size[-1][-1] and all(a[k] in rest for k in chosen)
+
+
+# all on nothing
+
+
+def test_empty_tables(no_docs):
+    for f in (
+        exact_dedup.exact_dedup, quality.quality, licenses.license_scan, simhash.simhash_components, line_dedup.line_dedup,
+        lambda d: packing.pack(d, GPT), lambda d: pii.surrogates(d, "k"), lambda d: bpe.encode(d, MULTI, public_tokenizers.PATTERN),
+    ):
+        assert f(no_docs).count() == 0

@@ -88,11 +88,11 @@ def exact_dedup(
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that exact_dedup keeps, with all their columns; of repeated rows one stays."""
     verdict = staged(exact_dedup(docs, id_col, text_col), "exact-verdict")
-    gone = verdict.where("not kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    twice = staged(verdict.where("kept").groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("_id")), "twice")
+    gone = verdict.where("not kept").select(F.col(id_col).alias("vl_id"), F.col("text_sha256").alias("vl_sha")).distinct()
+    twice = staged(verdict.where("kept").groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("vl_id")), "twice")
     sha = F.sha2(text_of(text_col), 256)
-    rest = docs.join(gone, docs[id_col].eqNullSafe(F.col("_id")) & (sha == F.col("_sha")), "left_anti")
+    rest = docs.join(gone, docs[id_col].eqNullSafe(F.col("vl_id")) & (sha == F.col("vl_sha")), "left_anti")
     if twice.isEmpty():
         return rest
-    again = docs[id_col].eqNullSafe(F.col("_id"))
+    again = docs[id_col].eqNullSafe(F.col("vl_id"))
     return rest.join(twice, again, "left_anti").unionByName(rest.join(twice, again, "left_semi").dropDuplicates([id_col, text_col]))

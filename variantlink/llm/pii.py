@@ -184,13 +184,14 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     tries again until all are distinct; only those few are joined back to their documents. Texts
     move only then; else everything is row by row.
 
-    Null text stays null, with no entities; other columns are kept as they are. Repeated rows get
+    Null text stays null, with no entities; other columns are kept as they are (earlier ones named
+    n_entities or entity_kinds are replaced). Repeated rows get
     the same text; an empty table gives an empty result.
     """
     text = text_of(text_col)
     hint = text.rlike(HINT)
     units_of = F.filter(F.flatten(F.transform(found(text), pieces)), lambda u: u["kind"].isNotNull())
-    seen = docs.where(hint).select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h"), F.explode(units_of).alias("u"))
+    seen = docs.where(hint).select(F.col(id_col).alias("vl_id"), F.xxhash64(text).alias("vl_hash"), F.explode(units_of).alias("u"))
     units = staged(seen.select("u.kind", "u.canon").distinct(), "units")
     retried = staged(settled(units, key).where("attempt > 0").select("kind", "canon", "attempt"), "retried")
     name = F.concat_ws("\u0000", F.col("kind"), F.col("canon"))
@@ -198,15 +199,15 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         tried, base = docs, None
     else:
         base = (
-            seen.select("_id", "_h", "u.kind", "u.canon").distinct().join(retried, ["kind", "canon"]).groupBy("_id", "_h")
-            .agg(F.map_from_entries(F.collect_list(F.struct(name, "attempt"))).alias("_attempts"))
+            seen.select("vl_id", "vl_hash", "u.kind", "u.canon").distinct().join(retried, ["kind", "canon"]).groupBy("vl_id", "vl_hash")
+            .agg(F.map_from_entries(F.collect_list(F.struct(name, "attempt"))).alias("vl_attempts"))
         )
-        tried = docs.join(base, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_h")), "left").drop("_id", "_h")
+        tried = docs.join(base, docs[id_col].eqNullSafe(F.col("vl_id")) & (F.xxhash64(text) == F.col("vl_hash")), "left").drop("vl_id", "vl_hash")
 
     def written(u: Column) -> Column:
         attempt = F.lit(0)
         if base is not None:
-            attempt = F.coalesce(F.try_element_at(F.col("_attempts"), F.concat_ws("\u0000", u["kind"], u["canon"])), F.lit(0))
+            attempt = F.coalesce(F.try_element_at(F.col("vl_attempts"), F.concat_ws("\u0000", u["kind"], u["canon"])), F.lit(0))
         return F.when(u["kind"].isNull(), u["raw"]).otherwise(unit_surrogate(key, u["kind"], u["canon"], u["raw"], attempt))
 
     new = F.transform(found(text), lambda e: F.array_join(F.transform(pieces(e), written), ""))
@@ -214,13 +215,13 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     whole = F.array_join(F.zip_with(rest, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     kinds = F.transform(found(text), kind_of)
     none = F.array().cast("array<string>")
-    out = tried.withColumn("_kinds", F.when(hint, kinds).otherwise(none)).withColumn(
-        text_col, F.when(F.col(text_col).isNotNull(), F.when(F.size("_kinds") > 0, whole).otherwise(text))
+    out = tried.withColumn("vl_kinds", F.when(hint, kinds).otherwise(none)).withColumn(
+        text_col, F.when(F.col(text_col).isNotNull(), F.when(F.size("vl_kinds") > 0, whole).otherwise(text))
     )
     return out.select(
-        *docs.columns,
-        F.size("_kinds").cast("long").alias("n_entities"),
-        F.array_join(F.array_sort(F.array_distinct("_kinds")), ",").alias("entity_kinds"),
+        *[c for c in docs.columns if c not in ("n_entities", "entity_kinds")],
+        F.size("vl_kinds").cast("long").alias("n_entities"),
+        F.array_join(F.array_sort(F.array_distinct("vl_kinds")), ",").alias("entity_kinds"),
     )
 
 

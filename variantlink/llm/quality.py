@@ -73,7 +73,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     no words, so base_failed. Repeated rows each get the same verdict; an empty table none.
     """
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, docs[text_col].cast("string").alias("_text")).mapInArrow(
+    return docs.select(id_col, docs[text_col].cast("string").alias("vl_text")).mapInArrow(
         measured,
         f"`{id_col}` {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, ratio double, bad_share double, kept boolean",
@@ -82,12 +82,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = batch.schema.names.index("_text")
-        verdict = next(iter(measured(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(at)], ["_id", "_text"])]))))
+        at = batch.schema.names.index("vl_text")
+        verdict = next(iter(measured(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(at)], ["_id", "vl_text"])]))))
         names = batch.schema.names[:at]
         yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(at)], names).filter(verdict.column("kept"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that quality() keeps, with all their columns, in one pass and no join."""
-    return docs.withColumn("_text", docs[text_col].cast("string")).mapInArrow(kept_rows, docs.schema)
+    return docs.withColumn("vl_text", docs[text_col].cast("string")).mapInArrow(kept_rows, docs.schema)

@@ -137,5 +137,5 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows that share the kept id stay only where their own text is in that component.
     """
     found = staged(simhash_components(docs, id_col, text_col), "near-verdict")
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_id")), "left_anti")
+    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("vl_id")).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col("vl_id")), "left_anti")
