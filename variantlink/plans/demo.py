@@ -9,7 +9,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import schemas as S
 from ..functions import columns as C
@@ -154,7 +153,7 @@ def _(spark, d):
     "SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_name FROM customer",
 )
 def _(spark, d):
-    return C.conform_schema(table(spark, d, "customer"), StructType.fromDDL("c_custkey long, c_nationkey long, c_name string"), ["c_custkey"])
+    return C.conform_schema(table(spark, d, "customer"), S.struct("c_custkey long, c_nationkey long, c_name string"), ["c_custkey"])
 
 
 @query("compose_key", "SELECT c_custkey, concat_ws('_', nullif(c_nationkey, 3), c_custkey, c_mktsegment) AS key FROM customer")

@@ -14,14 +14,15 @@ from ..operators import aggregates, joins, layout, windows
 from ..sources import io
 
 
-def gene_index(genes: DataFrame, biotypes: Sequence[str] = S.APPROVED_BIOTYPES) -> DataFrame:
-    """Genes of the biotypes, off the mitochondrion, clustered by position.
-
-    Where a gene has no ``tss`` it is derived from its strand.
-    """
+def chosen_genes(genes: DataFrame, biotypes: Sequence[str]) -> DataFrame:
+    """Genes of the biotypes, off the mitochondrion; a missing ``tss`` is derived from the strand."""
     tss = F.coalesce("tss", F.when(F.col("fwdstrand"), F.col("start")).otherwise(F.col("end")))
-    chosen = filters.in_not_in(genes, "biotype", biotypes, "chr", ["MT"])
-    return layout.cluster_by_position(chosen.withColumn("tss", tss), "chr", "tss")
+    return filters.in_not_in(genes, "biotype", biotypes, "chr", ["MT"]).withColumn("tss", tss)
+
+
+def gene_index(genes: DataFrame, biotypes: Sequence[str] = S.APPROVED_BIOTYPES) -> DataFrame:
+    """Genes of the biotypes, clustered by position."""
+    return layout.cluster_by_position(chosen_genes(genes, biotypes), "chr", "tss")
 
 
 def variant_index(raw: DataFrame, genes: DataFrame, max_distance: int = S.NEAREST_MAX_DISTANCE) -> DataFrame:
@@ -34,7 +35,7 @@ def variant_index(raw: DataFrame, genes: DataFrame, max_distance: int = S.NEARES
         ],
     )
     variants = filters.not_null(variants, ["chr_id", "position"])
-    known = filters.in_not_in(genes, "biotype", S.APPROVED_BIOTYPES, "chr", ["MT"]).withColumnRenamed("chr", "chr_id")
+    known = chosen_genes(genes, S.APPROVED_BIOTYPES).withColumnRenamed("chr", "chr_id")
     groups = {"gene_id_any": None, "gene_id_prot_coding": F.col("biotype").isin(S.PROTEIN_CODING)}
     found = joins.nearest_by(variants, known, ["chr_id"], "position", "tss", max_distance, S.VARIANT_KEY, "gene_id", groups)
     return layout.cluster_by_position(found, "chr_id", "position")

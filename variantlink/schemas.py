@@ -5,7 +5,17 @@ Column names and types are fixed values: they are the tables' contract.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, LongType, StringType, StructField, StructType
+
+_KINDS: dict[str, DataType] = {"string": StringType(), "long": LongType(), "double": DoubleType(), "boolean": BooleanType()}
+_KINDS |= {f"array<{k}>": ArrayType(v) for k, v in [*_KINDS.items()]}
+
+
+def struct(columns: str, **nested: DataType) -> StructType:
+    """``name kind, …`` as a schema, without a session; ``nested`` columns come last."""
+    pairs = [x.split() for x in columns.split(",")]
+    return StructType([StructField(n, _KINDS[k]) for n, k in pairs] + [StructField(n, t) for n, t in nested.items()])
+
 
 VARIANT_KEY = ["chr_id", "position", "ref_allele", "alt_allele"]
 LEAD_KEY = ["study_id", "lead_chrom", "lead_pos", "lead_ref", "lead_alt"]
@@ -46,26 +56,30 @@ SOURCE_WEIGHTS = {
 NEAREST_MAX_DISTANCE, EVIDENCE_MAX_DISTANCE = 5_000_000, 500_000
 MIN_PROBABILITY, MIN_COLOC_H4, MIN_COLOC_RATIO = 0.5, 0.95, 5
 
-GENES = StructType.fromDDL(
+GENES = struct(
     "chr string, gene_id string, gene_name string, description string, fwdstrand boolean, exons array<long>, "
     "tss long, start long, end long, biotype string"
 )
-CONSEQUENCE_SCORES = StructType.fromDDL(
+CONSEQUENCE_SCORES = struct(
     "accession string, term string, description string, display_term string, impact string, v2g_score double, eco_score double"
 )
 FREQUENCIES = [f"gnomad_{x}" for x in "afr amr asj eas fin nfe nfe_est nfe_nwe nfe_onf oth".split()]
-RAW_VARIANTS = StructType.fromDDL(
-    "chrom_b37 string, pos_b37 long, chrom_b38 string, pos_b38 long, ref string, alt string, rsid string, "
-    "vep struct<most_severe_consequence:string, transcript_consequences:array<struct<gene_id:string, consequence_terms:array<string>>>>, "
-    f"cadd struct<raw:double, phred:double>, af struct<{', '.join(x + ':double' for x in FREQUENCIES)}>"
+RAW_VARIANTS = struct(
+    "chrom_b37 string, pos_b37 long, chrom_b38 string, pos_b38 long, ref string, alt string, rsid string",
+    vep=struct(
+        "most_severe_consequence string",
+        transcript_consequences=ArrayType(struct("gene_id string, consequence_terms array<string>")),
+    ),
+    cadd=struct("raw double, phred double"),
+    af=struct(", ".join(f"{x} double" for x in FREQUENCIES)),
 )
-V2G = StructType.fromDDL(
+V2G = struct(
     "chr_id string, position long, ref_allele string, alt_allele string, gene_id string, feature string, type_id string, "
     "source_id string, fpred_labels array<string>, fpred_scores array<double>, fpred_max_label string, fpred_max_score double, "
     "qtl_beta double, qtl_se double, qtl_pval double, qtl_score double, interval_score double, qtl_score_q double, "
     "interval_score_q double, d long, distance_score double, distance_score_q double"
 )
-V2D = StructType.fromDDL(
+V2D = struct(
     "study_id string, source string, pmid string, pub_date string, pub_journal string, pub_title string, pub_author string, "
     "has_sumstats boolean, trait_reported string, trait_efos array<string>, ancestry_initial array<string>, "
     "ancestry_replication array<string>, n_initial long, n_replication long, n_cases long, trait_category string, "
@@ -75,7 +89,7 @@ V2D = StructType.fromDDL(
     "oddsr_ci_lower double, oddsr_ci_upper double, direction string, beta double, beta_ci_lower double, beta_ci_upper double, "
     "pval_mantissa double, pval_exponent long, pval double"
 )
-MANHATTAN = StructType.fromDDL(
+MANHATTAN = struct(
     "study string, chrom string, pos long, ref string, alt string, pval double, pval_mantissa double, pval_exponent long, "
     "odds double, oddsL double, oddsU double, direction string, beta double, betaL double, betaU double, credibleSetSize long, "
     "ldSetSize long, uniq_variants long, top10_genes_raw_ids array<string>, top10_genes_raw_score array<double>, "
