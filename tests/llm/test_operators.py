@@ -277,6 +277,13 @@ def test_components(spark):
     assert all(found.get(x, x) == r for x, r in root.items())
 
 
+def test_keep_one_each(odd_docs):
+    kept = simhash.keep_one_each(odd_docs)
+    assert kept.columns == odd_docs.columns
+    want = Counter(i for (i, _, low_), n in brute_components(texts_of(odd_docs)).items() for _ in range(n) if i == low_)
+    assert Counter(i for i, _ in texts_of(kept)) == want
+
+
 # line dedup
 
 

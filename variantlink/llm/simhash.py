@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, staged
+from .common import components, staged, text_of
 
 #: Words in a shingle, hash seed, differing bits that still link, reference fingerprints.
 WORDS, SEED, BITS, PIVOTS = 3, 42, 3, 8
@@ -52,15 +52,15 @@ def fingerprint(text: str) -> int:
 
 def fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = pa.array([fingerprint(x.as_py() or "") for x in batch.column(1)], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), prints], [batch.schema.names[0], "fp"])
+        prints = pa.array([fingerprint(x.as_py() or "") for x in batch.column(2)], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["id", "h", "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` for every row; null text counts as a text without words."""
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, docs[text_col].cast("string").alias("_text")).mapInArrow(
-        fingerprinted, f"`{id_col}` {kind}, fp long"
+    """``(id, h, fp)`` for every row, h a hash of the text; null text counts as a text without words."""
+    kind, text = dict(docs.dtypes)[id_col], text_of(text_col)
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), text.alias("t")).mapInArrow(
+        fingerprinted, f"id {kind}, h long, fp long"
     )
 
 
@@ -112,21 +112,25 @@ def linked_components(prints: DataFrame, pivots: int = PIVOTS) -> DataFrame:
     return components(near.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rest))
 
 
+def labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, h, fp, component_id)`` for every row."""
+    own = staged(fingerprints(docs, id_col, text_col), "fingerprints")
+    prints = staged(own.groupBy("fp").agg(F.min("id").alias("low")), "prints")
+    roots = linked_components(prints.select("fp")).withColumnRenamed("node", "fp")
+    rooted = prints.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return own.join(staged(rooted.join(lows, "root").select("fp", "component_id"), "components"), "fp")
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id.
 
     component_id is the smallest id reachable over links of BITS or fewer differing bits. Null and
     empty texts have fingerprint zero, linked like any other. Repeated rows give repeated results;
-    a null id never becomes a component_id unless its component holds no other. An empty table
+    a null id becomes a component_id only where its component holds no other. An empty table
     gives an empty result.
     """
-    own = staged(fingerprints(docs, id_col, text_col).withColumnRenamed(id_col, "id"), "fingerprints")
-    prints = staged(own.groupBy("fp").agg(F.min("id").alias("low")), "prints")
-    roots = linked_components(prints.select("fp")).withColumnRenamed("node", "fp")
-    rooted = prints.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    table = staged(rooted.join(lows, "root").select("fp", "component_id"), "components")
-    return own.join(table, "fp").select(
+    return labelled(docs, id_col, text_col).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -134,8 +138,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest, with all their columns.
 
-    Rows that share the kept id stay only where their own text is in that component.
+    A row is known by its id and text, so another text under the same id is judged by itself.
+    Repeated rows of a kept document all stay.
     """
-    found = staged(simhash_components(docs, id_col, text_col), "near-verdict")
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("vl_id")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("vl_id")), "left_anti")
+    found = staged(labelled(docs, id_col, text_col), "near-verdict")
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("vl_id"), F.col("h").alias("vl_hash")).distinct()
+    same = docs[id_col].eqNullSafe(F.col("vl_id")) & (F.xxhash64(text_of(text_col)) == F.col("vl_hash"))
+    return docs.join(gone, same, "left_anti")
