@@ -60,6 +60,23 @@ def test_nearest_takes_the_smallest_id_of_ties(spark):
     )
 
 
+@pytest.mark.parametrize("radii", [(1.0,), (0.02, 1.0), (0.01, 0.1, 0.5)])
+def test_nearest_like_brute_force(spark, radii):
+    rng = random.Random(6)
+    left = [(i, rng.choice("ab"), rng.randrange(2000)) for i in range(200)]
+    right = [(f"g{i:02}", rng.choice("ab"), rng.randrange(2000), rng.random() < 0.3) for i in range(40)]
+    got = joins.nearest_by(
+        spark.createDataFrame(left, "v long, k string, p long"), spark.createDataFrame(right, "g string, k string, q long, coding boolean"),
+        ["k"], "p", "q", 300, ["v"], "g", {"any": None, "coding": F.col("coding")}, radii,
+    )
+    want = Counter()
+    for v, k, p in left:
+        near = [(abs(p - q), g, c) for g, kk, q, c in right if kk == k and abs(p - q) <= 300]
+        a, b = min(near, default=(None, None))[:2], min((x for x in near if x[2]), default=(None, None))[:2]
+        want[v, *a, *b] += 1
+    assert rows(got.select("v", "any_distance", "any", "coding_distance", "coding")) == want
+
+
 def test_null_or_match(spark):
     df = spark.createDataFrame([(1, None, "1"), (2, "g1", "1"), (3, "g1", "2"), (4, "zz", "1")], "i long, g string, c string")
     ref = spark.createDataFrame([("g1", "1"), ("g1", "1")], "gene string, chr string")

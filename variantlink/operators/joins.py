@@ -99,18 +99,29 @@ def nearest_by(
     left_key: Sequence[str],
     right_id: str,
     groups: dict[str, Column | None],
+    radii: Sequence[float] = (0.02, 1.0),
 ) -> DataFrame:
     """``left`` with the nearest right id, and its distance, in each group of right rows.
 
     ``groups`` maps an output name to a condition on right rows (None: all). One band join serves
     all groups; ties go to the smallest id; rows without a near enough id get nulls.
+
+    The search widens: within a first share of ``max_distance`` most rows find all their groups, and
+    what is found there is nearest; only rows that still miss one are paired over the next radius.
     """
     flags = {f"_in_{name}": (F.lit(True) if test is None else test) for name, test in groups.items()}
     slim = right.select(*on, F.col(right_pos).alias("_rpos"), F.col(right_id).alias("_rid"), *[f.alias(k) for k, f in flags.items()])
-    pairs = band_join(left.select(*dict.fromkeys([*left_key, *on, left_pos])), slim, on, left_pos, "_rpos", max_distance, distance_col="_d")
-    best = pairs.groupBy(*left_key).agg(
-        *[F.min(F.when(F.col(f"_in_{name}"), F.struct("_d", "_rid"))).alias(f"_best_{name}") for name in groups]
-    )
+    pending, parts = left.select(*dict.fromkeys([*left_key, *on, left_pos])), []
+    for share in sorted({*radii, 1.0}):
+        pairs = band_join(pending, slim, on, left_pos, "_rpos", max_distance * share, distance_col="_d")
+        parts.append(
+            pairs.groupBy(*left_key).agg(
+                *[F.min(F.when(F.col(f"_in_{name}"), F.struct("_d", "_rid"))).alias(f"_best_{name}") for name in groups]
+            )
+        )
+        done = parts[-1].where(reduce(lambda a, b: a & b, [F.col(f"_best_{name}").isNotNull() for name in groups]))
+        pending = pending.join(done.select(*left_key), [*left_key], "left_anti")
+    best = reduce(DataFrame.union, parts).groupBy(*left_key).agg(*[F.min(f"_best_{name}").alias(f"_best_{name}") for name in groups])
     found = left.join(best, [*left_key], "left")
     columns = [c for name in groups for c in (F.col(f"_best_{name}._d").alias(f"{name}_distance"), F.col(f"_best_{name}._rid").alias(name))]
     return found.select(*left.columns, *columns)

@@ -699,7 +699,7 @@ def _(spark, d):
     return found.select("position", "gene_id_any_distance", "gene_id_any", "gene_id_prot_coding_distance", "gene_id_prot_coding")
 
 
-def lead(line: Column | None = None) -> list[Column]:
+def lead() -> list[Column]:
     k = F.col("lead_part")
     return [F.concat(F.lit("c"), (k % 5).cast("string")).alias("lead_chrom"), k.alias("lead_pos"), F.lit("A").alias("lead_ref"), F.lit("T").alias("lead_alt")]
 
