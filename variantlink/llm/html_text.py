@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -171,40 +171,36 @@ def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def nearest_pages(outlines: DataFrame) -> DataFrame:
-    """``(k1, k2, other)``: the line hashes of the page nearest by URL path in the same host.
+def nearest_pages(keys: DataFrame) -> DataFrame:
+    """``(k1, k2, o1, o2)``: for each page ``keys(k1, k2, host, path)`` the nearest by URL path in its host.
 
     Pages are numbered in (host, path) order from range partitions and their sizes, so that a
     host may hold any share of the pages. In that order the longest common path prefix is with
     a neighbour; of equal ones the earlier is taken. A host's only page has no partner.
     """
     fields = ("host", "path", "k1", "k2")
-    ordered = outlines.repartitionByRange(*fields).sortWithinPartitions(*fields)
+    ordered = keys.repartitionByRange(*fields).sortWithinPartitions(*fields)
     numbered = staged(ordered.withColumn("n", F.monotonically_increasing_id()), "ordered-pages")
     numbered = numbered.withColumn("part", F.shiftright("n", 33)).withColumn("local", F.col("n").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = numbered.groupBy("part").agg(F.count("*").alias("size"))
-    bases = sizes.select(
-        "part", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base")
-    )
-    ranked = staged(numbered.join(bases, "part").select(*fields, "lines", (F.col("base") + F.col("local")).alias("rank")), "ranked-pages")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range partition
+    bases = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    ranked = numbered.join(bases, "part").select(*fields, (F.col("base") + F.col("local")).alias("rank"))
 
     def beside(step: int, name: str) -> DataFrame:
-        return ranked.select(
-            (F.col("rank") - step).alias("rank"),
-            F.struct(F.col("host").alias("host"), F.col("path").alias("path"), F.col("lines").alias("lines")).alias(name),
-        )
+        return ranked.select((F.col("rank") - step).alias("rank"), F.struct(*fields).alias(name))
 
-    def alike(name: str):
+    def alike(name: str) -> Column:
         same = F.col(f"{name}.host") == F.col("host")
         a, b = F.split("path", ""), F.split(F.col(f"{name}.path"), "")
         differs = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
         length = F.when(differs == 0, F.least(F.size(a), F.size(b))).otherwise(differs - 1)
-        return F.when(same, length.cast("int")).otherwise(-1)
+        return F.coalesce(F.when(same, length.cast("int")), F.lit(-1))
 
     both = ranked.join(beside(-1, "earlier"), "rank", "left").join(beside(1, "later"), "rank", "left")
-    e, n = F.coalesce(alike("earlier"), F.lit(-1)), F.coalesce(alike("later"), F.lit(-1))
-    other = F.when((e >= 0) & (e >= n), F.col("earlier.lines")).when(n >= 0, F.col("later.lines"))
-    return both.select("k1", "k2", other.alias("other"))
+    e, n = alike("earlier"), alike("later")
+    other = F.when((e >= 0) & (e >= n), F.col("earlier")).when(n >= 0, F.col("later"))
+    return both.select("k1", "k2", other.alias("o")).select("k1", "k2", F.col("o.k1").alias("o1"), F.col("o.k2").alias("o2"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -231,7 +227,10 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.regexp_extract(url, r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"),
         "html",
     ).mapInArrow(outlined, "k1 long, k2 long, host string, path string, lines array<long>")
-    partners = nearest_pages(staged(outlines.dropDuplicates(["k1", "k2"]), "outlines"))
+    outlines = staged(outlines, "outlines")
+    nearest = nearest_pages(outlines.select("k1", "k2", "host", "path").distinct()).where(F.col("o1").isNotNull())
+    lines = outlines.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("lines").alias("other")).dropDuplicates(["o1", "o2"])
+    partners = nearest.join(lines, ["o1", "o2"]).drop("o1", "o2")
     paired = own.join(partners, ["k1", "k2"], "left").select("page_id", "url", "html", "other")
     kind = dict(pages.dtypes)["page_id"]
     text = paired.mapInArrow(extracted, f"page_id {kind}, url string, text string")
