@@ -103,6 +103,19 @@ def test_quality_bands_reject_repetition_and_noise(spark):
     assert [r["doc_id"] for r in quality.keep_good(docs).collect()] == [2]
 
 
+def test_quality_measures_every_byte(spark):
+    rng = random.Random(2)
+    noise = base64.b64encode(rng.randbytes(6000)).decode()
+    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(3000))
+    rows = [(1, prose[:3000] + noise[:5000]), (2, prose[:8200] + noise[:4000]), (3, prose[:1200] + noise[:900]), (4, prose[:3000]), (5, prose[:12_200])]
+    found = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[k]["kept"] for k in range(1, 6)] == [False, False, False, True, True]
+    assert all(found[k]["bad_share"] > 0.3 for k in (1, 2, 3)) and not found[4]["bad_share"] and not found[5]["bad_share"]
+    for n in (1024, 1025, 2047, 5000):
+        raw = rng.randbytes(n)
+        assert {len(x) for x in quality.chunks(raw)} == {1024} and raw.endswith(quality.chunks(raw)[-1]) and len(quality.chunks(raw)) == -(-n // 1024)
+
+
 # licences
 
 
