@@ -116,6 +116,16 @@ def test_quality_measures_every_byte(spark):
         assert {len(x) for x in quality.chunks(raw)} == {1024} and raw.endswith(quality.chunks(raw)[-1]) and len(quality.chunks(raw)) == -(-n // 1024)
 
 
+def test_quality_limits_tell_labelled_junk(spark):
+    read = lambda sf, name: spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet")
+    found = quality.limits_of(read("sf0.1", "documents"), read("sf0.1", "labels"))
+    assert tuple(x[:3] for x in found) == quality.LIMITS[1:8] and sum(x[3] for x in found) == 3243
+    labels = {r["doc_id"]: r["quality"] for r in read("sf0.01", "labels").collect()}
+    rows = [r for r in queries.op2_quality(spark, "/root/testdata/sf0.01").collect() if not r["base_failed"]]
+    clean, junk = ([r["kept"] for r in rows if labels.get(r["doc_id"]) == k] for k in (1, 0))
+    assert sum(clean) >= 0.95 * len(clean) and len(junk) > 20 and sum(junk) <= 0.35 * len(junk)
+
+
 # licences
 
 

@@ -31,7 +31,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"))
+    return quality.quality(table(spark, sf_dir, "documents"), bands=quality.LIMITS)
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
