@@ -156,6 +156,16 @@ def test_license_templates(spark):
     assert out[5]["labels"] == "gpl,gpl-2.0,gpl-3.0" and out[6]["n_base"] == 3000 and out[6]["last_word"] == 5998
 
 
+def test_licenses_of_a_file_with_several(spark):
+    bsd, apache, mpl = ({x: text for x, _, text in licenses.TEMPLATES}[x] for x in ("bsd", "apache-2.0", "mpl-2.0"))
+    free = next(text for _, key, text in licenses.TEMPLATES if key == "permission is hereby granted free of charge")
+    rows = [(1, f"{bsd}. {apache}."), (2, f"{free}.\n{mpl}"), (3, "\n".join(text for _, _, text in licenses.TEMPLATES))]
+    rows += [(k, f"{apache} {mpl} in an apache file under a license version 2 0 {k}") for k in range(4, 60)]  # words of apache are common, those of bsd rare
+    out = {r["doc_id"]: r["labels"] for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1] == "apache,apache-2.0,bsd" and out[2] == "mit,mpl-2.0"
+    assert out[3] == ",".join(sorted({x for x, _, _ in licenses.TEMPLATES} | set(licenses.BASE.values())))
+
+
 # BPE
 
 

@@ -40,8 +40,8 @@ TEMPLATES = (
 #: Function words are no licence words: they have next to no weight, and stand in every text.
 FUNCTION_WORDS = frozenset("a an and any are as at available be by for in into is it met of on or that the this to with without".split())
 
-#: Highest-IDF words of a file that are looked up; share of a template's words that must align.
-LOOKED_UP, ALIGNED = 8, 0.7
+#: Share of a template's words that must align.
+ALIGNED = 0.7
 
 
 def places(postings: Column, word: str | Column) -> Column:
@@ -64,11 +64,12 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A first pass over the texts writes each file's licence words with their positions and the key
     phrases it holds. Document frequencies of the licence words (a fixed list, so the driver may
-    hold them) give their IDF over the whole corpus. Each file's LOOKED_UP rarest licence words
-    are looked up in the templates' postings; each hit proposes a template at a relative position,
-    which stands if ALIGNED of the template's licence words have that relative position in the file
-    and the template's key phrase is there. Everything but the frequencies is row by row, without
-    a shuffle.
+    hold them) give their IDF over the whole corpus. Of each template whose key phrase the file holds,
+    the highest-IDF words are looked up in the file's postings, one more than may be out of line,
+    so that an aligned template always has one among them; each hit proposes the template at a
+    relative position, which stands if ALIGNED of the template's licence words have that relative
+    position in the file. No template takes another's place, in a file of any number of licences.
+    Everything but the frequencies is row by row, without a shuffle.
 
     score is the best share of aligned words of an accepted template, 1 where a base phrase
     stands, else 0. Null and empty texts give no words, empty labels, score 0. Repeated rows give
@@ -96,50 +97,42 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     total = files.count()
     df = {r["word"]: r["n"] for r in files.select(F.explode("postings.word").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     idf = {w: math.log((total + 1) / (df.get(w, 0) + 0.5)) for w in vocabulary}
-    weight = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, idf[w])])
-    index: dict[str, list[tuple[int, int]]] = {}
-    for t, own in enumerate(tokens):
-        for w, k in own:
-            index.setdefault(w, []).append((t, k))
-
-    def pairs(rows) -> Column:
-        return F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in rows])
-
-    postings_of = F.create_map(*[x for w, rows in sorted(index.items()) for x in (F.lit(w), pairs(rows))])
     template = F.array(
         *[
-            F.struct(F.lit(label).alias("label"), F.lit(key).alias("key"), F.array(*[F.struct(F.lit(w).alias("word"), F.lit(k).alias("k")) for w, k in own]).alias("tokens"))
-            for (label, key, _), own in zip(templates, tokens, strict=True)
+            F.struct(F.lit(label).alias("label"), F.array(*[F.struct(F.lit(w).alias("word"), F.lit(k).alias("k")) for w, k in own]).alias("tokens"))
+            for (label, _, _), own in zip(templates, tokens, strict=True)
+        ]
+    )
+    rarest = [sorted(own, key=lambda x: (-idf[x[0]], x))[: len(own) - math.ceil(ALIGNED * len(own)) + 1] for own in tokens]
+    lookups = F.array(
+        *[
+            F.struct(F.lit(t).alias("t"), F.lit(key).alias("key"), F.array(*[F.struct(F.lit(w).alias("word"), F.lit(k).alias("k")) for w, k in own]).alias("words"))
+            for t, ((_, key, _), own) in enumerate(zip(templates, rarest, strict=True))
         ]
     )
-    rare = F.slice(
-        F.array_sort(F.transform("postings", lambda p: F.struct((-F.element_at(weight, p["word"])).alias("w"), p["word"].alias("word"), p["at"].alias("at")))),
-        1,
-        LOOKED_UP,
+    hits = F.flatten(
+        F.transform(
+            F.filter(lookups, lambda q: F.array_contains(F.col("phrases"), q["key"])),
+            lambda q: F.flatten(
+                F.transform(
+                    q["words"],
+                    lambda w: F.transform(places(F.col("postings"), w["word"]), lambda x: F.struct(q["t"].alias("t"), (x - w["k"]).alias("start"))),
+                )
+            ),
+        )
     )
     none = F.array().cast("array<struct<t:int,start:int>>")
-    hits = F.transform(
-        "rare",
-        lambda r: F.flatten(
-            F.transform(
-                F.coalesce(F.try_element_at(postings_of, r["word"]), F.array().cast("array<struct<a:int,b:int>>")),
-                lambda e: F.transform(r["at"], lambda x: F.struct(e["a"].alias("t"), (x - e["b"]).alias("start"))),
-            )
-        ),
-    )
     base = {phrase: phrase_starts(F.col("postings"), phrase) for phrase in BASE}
     step = files.select(
         "*",
-        F.when(F.size("phrases") > 0, rare).otherwise(F.array().cast("array<struct<w:double,word:string,at:array<int>>>")).alias("rare"),
+        F.when(F.size("phrases") > 0, F.array_distinct(hits)).otherwise(none).alias("hits"),
         F.array(*[F.struct(F.lit(label).alias("label"), base[phrase].alias("at")) for phrase, label in BASE.items()]).alias("base"),
     )
-    step = step.withColumn("hits", F.array_distinct(F.coalesce(F.flatten(hits), none)))
 
     def checked(h: Column) -> Column:
         t = F.element_at(template, h["t"] + 1)
         aligned = F.size(F.filter(t["tokens"], lambda x: F.array_contains(places(F.col("postings"), x["word"]), h["start"] + x["k"])))
-        share = F.when(F.array_contains(F.col("phrases"), t["key"]), aligned / F.size(t["tokens"])).otherwise(0.0)
-        return F.struct(t["label"].alias("label"), share.alias("share"))
+        return F.struct(t["label"].alias("label"), (aligned / F.size(t["tokens"])).alias("share"))
 
     step = step.withColumn("accepted", F.filter(F.transform("hits", checked), lambda a: a["share"] >= ALIGNED))
     starts = F.flatten(F.col("base.at"))
