@@ -430,6 +430,23 @@ def test_pages(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_with_other_articles(spark):
+    story = "<div><p>Real story</p></div>"
+    rows = [
+        (1, page(f"<aside><article>Teaser</article></aside>{story}"), "Real story"),
+        (2, page(f"<div class='sidebar'><article>Teaser</article></div>{story}"), "Real story"),
+        (3, page(f"{story}<article class='comment'>Me too</article>"), "Real story"),
+        (4, page("<nav>Menu<article><p>Left open</p></article>"), "Left open"),
+        (5, page("<form><main><p>In a form</p></main></form>"), "In a form"),
+        (6, page("<aside><article>Teaser</article></aside><article class='post'>Own</article><div>Other</div>"), "Own"),
+        (7, page("<article><p>Sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> here</p><svg width='1'/><p>Rest</p></article>"), "Sum x+1 here\n\nRest"),
+        (8, page("<article><object data='a.pdf'><p>Text of it</p></object></article>"), "Text of it"),
+        (9, page("<article><p>a<svg><text>drawn</text></svg>b</p></article>"), "a b"),
+    ]
+    frame = spark.createDataFrame([(k, f"http://h{k}.org/", x) for k, x, _ in rows], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(frame).collect()} == {k: x for k, _, x in rows}
+
+
 def test_pages_of_the_table(spark):
     got = queries.op9_html_text(spark, "/root/testdata/sf0.001").collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}

@@ -15,7 +15,7 @@ from .common import staged
 
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|svg|math|object|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|svg|title|annotation|annotation-xml)\b(?:[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|(?P<text>[^<]+|<)",
@@ -24,11 +24,14 @@ PIECE = re.compile(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr math semantics mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtext munder munderover".split()
 )
 #: Elements whose content is no part of an article, and those that hold the article.
 ASIDE = frozenset("nav header footer aside form menu dialog head button select fieldset".split())
 MAIN = frozenset(("article", "main"))
+#: Those of them that an article ends: no article stands in a head, and a form may be laid around a whole page.
+OPEN_TO_MAIN = frozenset("head form fieldset".split())
 #: Words in class, id or role that mark such an element.
 MARK = re.compile(
     r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|dialog|nav\w*|menu\w*"
@@ -52,6 +55,7 @@ def blocks_of(page: str) -> list[Block]:
     found: list[Block] = []
     open_tags: list[tuple[str, bool, bool]] = []  # tag, whether in main, whether in an aside
     words: list[str] = []
+    ends = {tag: max((m.start() for m in re.finditer(rf"</{tag}\b", page, re.I)), default=-1) for tag in ASIDE - OPEN_TO_MAIN}
 
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(words))).strip()
@@ -93,15 +97,16 @@ def blocks_of(page: str) -> list[Block]:
                 flush()
                 while open_tags and open_tags[-1][0] in INLINE:  # an unclosed inline element ends with its block
                     open_tags.pop()
-            if tag == "body" or tag in MAIN:  # neither stands in a head, menu or footer
-                at = next((k for k, x in enumerate(open_tags) if x[0] in ASIDE), None)
+            if tag == "body" or tag in MAIN:  # ends a head or form, and a menu or footer that nobody closes
+                left = lambda x: x in OPEN_TO_MAIN or x in ASIDE and (tag == "body" or ends[x] < m.start())  # noqa: B023, E731
+                at = next((k for k, x in enumerate(open_tags) if left(x[0])), None)
                 if at is not None:
                     close(at)
             if open_tags and open_tags[-1][0] in CLOSED_BY.get(tag, ("p",) if tag not in INLINE else ()):
                 close(len(open_tags) - 1)
             _, main, aside = open_tags[-1] if open_tags else ("", False, False)
             own = tag in ASIDE
-            if not own and tag not in ("html", "body") and tag not in MAIN:
+            if not own and tag not in ("html", "body") and tag != "main":
                 own = any(MARK.search(x.strip("\"'").lower()) for x in NAMED.findall(m["attrs"]))
             if own and tag in INLINE:
                 flush()
@@ -160,7 +165,7 @@ def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 blocks = blocks_of(page.as_py() or "")
                 own = [xxhash.xxh3_64_intdigest(b.text) >> 1 for b in blocks]
                 shared = set(common_lines(own, other.as_py() or []))
-                guarded = any(b.main for b in blocks)
+                guarded = any(b.main and not b.aside for b in blocks)
                 texts.append(
                     "\n\n".join(
                         b.text for k, b in enumerate(blocks) if not b.aside and (b.main if guarded else k not in shared)
@@ -208,7 +213,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Each page is paired with the nearest by URL path in its host; blocks of the two are aligned by
     longest common subsequence and shared ones deleted. Blocks in a page's article or main element
-    are never deleted for being shared (two pages may quote one passage), and where there is such an
+    that is neither marked nor in a marked one (teasers, comments) are never deleted for being shared (two pages may quote one passage), and where there is such an
     element it alone counts; blocks marked as menu, header, footer, sidebar, notice, advert, form
     or comments go in any case.
 
