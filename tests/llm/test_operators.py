@@ -447,6 +447,18 @@ def test_pages_with_other_articles(spark):
     assert {r["page_id"]: r["text"] for r in html_text.main_text(frame).collect()} == {k: x for k, _, x in rows}
 
 
+def test_copied_pages_without_an_article(spark):
+    body = lambda x: page(f"<div>Menu of all pages</div><p>{x}</p><p>Shared note</p>")
+    rows = [(k, f"http://a.org/one?q={k}", body("Apples grow")) for k in range(150)]
+    rows += [(150, "http://a.org/other", body("Pears ripen")), (151, "http://a.org/two/copy", body("Apples grow"))]
+    rows += [(k, f"http://b.org/{k}", body("Alone")) for k in (152, 153)]  # a host of copies alone: nothing tells what is shared
+    rows += [(154, "http://c.org/1", body("Part")), (155, "http://c.org/2", body("Part</p><p>More"))]  # one holds the other
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = "Menu of all pages\n\n{}\n\nShared note".format
+    want = {k: "Apples grow" for k in range(152)} | {150: "Pears ripen", 152: whole("Alone"), 153: whole("Alone"), 154: whole("Part"), 155: "More"}
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(frame).collect()} == want
+
+
 def test_pages_of_the_table(spark):
     got = queries.op9_html_text(spark, "/root/testdata/sf0.001").collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}

@@ -40,6 +40,8 @@ MARK = re.compile(
 )
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 CLOSED_BY = {"p": frozenset("p".split()), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p"))}
+#: Parts that the copies of one page are dealt over when they are given their partner.
+SALTS = 64
 SPACE = re.compile(r"\s+")
 
 
@@ -166,24 +168,26 @@ def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = [xxhash.xxh3_64_intdigest(b.text) >> 1 for b in blocks]
                 shared = set(common_lines(own, other.as_py() or []))
                 guarded = any(b.main and not b.aside for b in blocks)
-                texts.append(
-                    "\n\n".join(
-                        b.text for k, b in enumerate(blocks) if not b.aside and (b.main if guarded else k not in shared)
-                    )
-                )
+                plain = [k for k, b in enumerate(blocks) if not b.aside]
+                kept = [k for k in plain if blocks[k].main] if guarded else [k for k in plain if k not in shared]
+                texts.append("\n\n".join(blocks[k].text for k in kept or plain))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
 
 
 def nearest_pages(keys: DataFrame) -> DataFrame:
-    """``(k1, k2, o1, o2)``: for each page ``keys(k1, k2, host, path)`` the nearest by URL path in its host.
+    """``(k1, k2, o1, o2)``: for each page ``keys(k1, k2, host, path, u)`` the nearest by URL path in its host with another u.
 
     Pages are numbered in (host, path) order from range partitions and their sizes, so that a
     host may hold any share of the pages. In that order the longest common path prefix is with
     a neighbour; of equal ones the earlier is taken. A host's only page has no partner.
+
+    u stands for a page's lines. A page with the same u as the page before it is a copy that tells nothing
+    of what is shared: copies are left out of the order, so that each page has neighbours that
+    differ, and get the partner of the first page by path with their host and u.
     """
-    fields = ("host", "path", "k1", "k2")
+    fields = ("host", "path", "k1", "k2", "u")
     ordered = keys.repartitionByRange(*fields).sortWithinPartitions(*fields)
     numbered = staged(ordered.withColumn("n", F.monotonically_increasing_id()), "ordered-pages")
     numbered = numbered.withColumn("part", F.shiftright("n", 33)).withColumn("local", F.col("n").bitwiseAND(F.lit((1 << 33) - 1)))
@@ -205,16 +209,31 @@ def nearest_pages(keys: DataFrame) -> DataFrame:
     both = ranked.join(beside(-1, "earlier"), "rank", "left").join(beside(1, "later"), "rank", "left")
     e, n = alike("earlier"), alike("later")
     other = F.when((e >= 0) & (e >= n), F.col("earlier")).when(n >= 0, F.col("later"))
-    return both.select("k1", "k2", other.alias("o")).select("k1", "k2", F.col("o.k1").alias("o1"), F.col("o.k2").alias("o2"))
+    copy = F.coalesce((F.col("earlier.host") == F.col("host")) & (F.col("earlier.u") == F.col("u")), F.lit(False))
+    near = staged(
+        both.select("k1", "k2", F.when(copy, F.col("host")).alias("host"), F.when(copy, F.col("u")).alias("u"), copy.alias("copy"), other.alias("o"))
+        .select("k1", "k2", "host", "u", "copy", F.col("o.k1").alias("o1"), F.col("o.k2").alias("o2")),
+        "neighbours",
+    )
+    copies = near.where("copy").select("k1", "k2", "host", "u", F.pmod("k1", F.lit(SALTS)).alias("salt"))
+    if copies.isEmpty():
+        return near.select("k1", "k2", "o1", "o2")
+    first = staged(keys.join(copies.select("k1", "k2"), ["k1", "k2"], "left_anti"), "first-pages")
+    found = staged(nearest_pages(first), "first-partners")
+    given = first.join(copies.select("host", "u").distinct(), ["host", "u"], "left_semi").join(found, ["k1", "k2"])
+    given = given.groupBy("host", "u").agg(F.min(F.struct("path", "k1", "k2", "o1", "o2")).alias("p")).select("host", "u", "p.o1", "p.o2")
+    given = given.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return found.union(copies.join(given, ["host", "u", "salt"]).select("k1", "k2", "o1", "o2"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages(page_id, url, html)``: page_id, url, text, n_chars.
 
-    Each page is paired with the nearest by URL path in its host; blocks of the two are aligned by
-    longest common subsequence and shared ones deleted. Blocks in a page's article or main element
-    that is neither marked nor in a marked one (teasers, comments) are never deleted for being shared (two pages may quote one passage), and where there is such an
-    element it alone counts; blocks marked as menu, header, footer, sidebar, notice, advert, form
+    Each page is paired with the nearest by URL path in its host that has other lines; blocks of the two
+    are aligned by longest common subsequence and shared ones deleted. A page whose every unmarked
+    block is shared keeps them all: it is part of a near copy. Blocks in a page's article or main element
+    that is neither marked nor in a marked one (teasers, comments) are never deleted for being shared
+    (two pages may quote one passage), and where there is such an element it alone counts; blocks marked as menu, header, footer, sidebar, notice, advert, form
     or comments go in any case.
 
     Null html counts as empty and gives an empty text; null urls share one host. Repeated rows are
@@ -233,7 +252,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         "html",
     ).mapInArrow(outlined, "k1 long, k2 long, host string, path string, lines array<long>")
     outlines = staged(outlines, "outlines")
-    nearest = nearest_pages(outlines.select("k1", "k2", "host", "path").distinct()).where(F.col("o1").isNotNull())
+    nearest = nearest_pages(outlines.select("k1", "k2", "host", "path", F.xxhash64("lines").alias("u")).distinct()).where(F.col("o1").isNotNull())
     lines = outlines.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("lines").alias("other")).dropDuplicates(["o1", "o2"])
     partners = nearest.join(lines, ["o1", "o2"]).drop("o1", "o2")
     paired = own.join(partners, ["k1", "k2"], "left").select("page_id", "url", "html", "other")
