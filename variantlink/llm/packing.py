@@ -16,17 +16,23 @@ from pyspark.sql import functions as F
 from .common import driver_file, staged, with_rank
 
 CAPACITY, END_ID = 2048, 1
+#: The added token of the vocabulary, which the library finds in texts by itself, and its id.
+ADDED = {"<|endoftext|>": 50256}
 #: Matches the same pieces as public_tokenizers.PATTERN; possessive, so that it never backtracks.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
 
 @lru_cache(2)
 def encoder(data: bytes):
-    """Encoder of a rank file whose ids are those of the byte-level BPE with the same vocabulary."""
+    """Encoder of a rank file whose ids are those of the byte-level BPE with the same vocabulary.
+
+    An added token's own string in a text is that token; what stands before and behind it is encoded apart.
+    """
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    own = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
+    return lambda text: own.encode(text, allowed_special="all") if any(x in text for x in ADDED) else own.encode_ordinary(text)
 
 
 class Cutter:
