@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -28,6 +28,18 @@ def ranked(turns: DataFrame, group: str, order: list[str]) -> DataFrame:
     return joined.withColumn("rank", F.col("_global") - F.col("_first")).drop("_m", "_part", "_at", "_base", "_global", "_first", "_group")
 
 
+def escaped(text: Column) -> Column:
+    """A text in which no marker can begin: ``<|`` becomes ``<\\|``, and one more stroke is added where some are there."""
+    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+
+
+def name_of(role: Column) -> Column:
+    """A role as it stands in a marker: on one line, without a bare ``|``."""
+    for old, new in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("|", "\\|")):
+        role = F.replace(role, F.lit(old), F.lit(new))
+    return role
+
+
 def perspectives(turns: DataFrame) -> DataFrame:
     """One row per conversation, participant and part of PART turns: text and mask.
 
@@ -35,7 +47,9 @@ def perspectives(turns: DataFrame) -> DataFrame:
     assistant and all others as users by name; system turns stay system turns. mask lists the
     character ranges "start:end" of the speaker's own words in the part's text, the only ones to
     learn from; an own turn's closing mark belongs to its range. Parts follow each other in order
-    and their texts joined give the whole rendering.
+    and their texts joined give the whole rendering; a part's mask is then moved by the lengths of the parts before it.
+    Markers in texts and roles are escaped, so that nobody forges a turn; the participant column
+    holds the role as it is.
 
     Turns are ordered by turn, role and text; null turns come first, null text is empty, null or
     empty role is "unknown", rows with null conv_id form one conversation. Repeated rows are
@@ -53,9 +67,9 @@ def perspectives(turns: DataFrame) -> DataFrame:
     shown = said.join(staged(people, "participants"), F.col("conv_id").eqNullSafe(F.col("c")))
     mine = F.col("role") == F.col("participant")
     head = (
-        F.when(mine, "<|assistant|>\n").when(F.col("role") == SYSTEM, "<|system|>\n").otherwise(F.concat(F.lit("<|user name="), "role", F.lit("|>\n")))
+        F.when(mine, "<|assistant|>\n").when(F.col("role") == SYSTEM, "<|system|>\n").otherwise(F.concat(F.lit("<|user name="), name_of(F.col("role")), F.lit("|>\n")))
     )
-    piece = F.struct(F.col("rank"), head.alias("head"), F.concat("text", F.lit("<|end|>\n")).alias("body"), mine.alias("mine"))
+    piece = F.struct(F.col("rank"), head.alias("head"), F.concat(escaped(F.col("text")), F.lit("<|end|>\n")).alias("body"), mine.alias("mine"))
     parts = shown.groupBy("conv_id", "participant", F.expr(f"rank div {PART}").alias("part")).agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
 

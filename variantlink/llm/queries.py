@@ -98,9 +98,9 @@ ORACLES = {
         WITH t AS (SELECT conv_id, coalesce(nullif(role, ''), 'unknown') AS role, coalesce(text, '') AS text, turn FROM conversations),
         r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS rank FROM t),
         p AS (SELECT DISTINCT conv_id, role AS participant FROM t WHERE role <> 'system'),
-        x AS (SELECT r.conv_id, participant, rank, rank // 64 AS part, role = participant AS mine, text || '<|end|>\n' AS body,
+        x AS (SELECT r.conv_id, participant, rank, rank // 64 AS part, role = participant AS mine, regexp_replace(text, '<(\\\\*)\\|', '<\\\\\\1|', 'g') || '<|end|>\n' AS body,
                 CASE WHEN role = participant THEN '<|assistant|>\n' WHEN role = 'system' THEN '<|system|>\n'
-                     ELSE '<|user name=' || role || '|>\n' END AS head
+                     ELSE '<|user name=' || replace(replace(replace(replace(role, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), '|', '\\|') || '|>\n' END AS head
               FROM r JOIN p ON r.conv_id IS NOT DISTINCT FROM p.conv_id),
         y AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, participant, part ORDER BY rank) AS stop FROM x)
         SELECT conv_id, participant, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY rank) AS text,
