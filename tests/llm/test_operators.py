@@ -215,7 +215,6 @@ def held_together(pieces, encode, docs):
 
 def test_packing(documents):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     encode = lambda x: t.encode(x, add_special_tokens=False).ids
     pieces = packing.pack(documents, GPT, with_ids=True).collect()
     assert held_together(pieces, encode, texts_of(documents)) > 0.97
@@ -223,12 +222,18 @@ def test_packing(documents):
 
 def test_packing_odd(odd_docs):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     single = odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"])
     held_together(packing.pack(single, GPT).collect(), lambda x: t.encode(x, add_special_tokens=False).ids, texts_of(single))
     assert packing.pack(odd_docs, GPT).where("start = 0").count() == odd_docs.count()
 
 
+def test_packing_finds_added_tokens(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n y", "<|endoftext", "<|ENDOFTEXT|> <|startoftext|>", "it's <|endoftext|>'s"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    held_together(packing.pack(docs, GPT, with_ids=True).collect(), lambda x: t.encode(x, add_special_tokens=False).ids, [*enumerate(texts)])
+
+
 def test_fullest_is_optimal():
     rng = random.Random(5)
     for _ in range(200):
@@ -273,9 +278,10 @@ def test_simhash(odd_docs, documents):
         assert Counter(map(tuple, simhash.simhash_components(docs).collect())) == brute_components(texts_of(docs))
 
 
-def test_links_of_planted_fingerprints(spark):
+@pytest.mark.parametrize(("groups", "hot"), [(None, simhash.HOT), (5, 2), (8, 0)])
+def test_links_of_planted_fingerprints(spark, groups, hot):
     rng = random.Random(11)
-    prints = []
+    prints = [0, (1 << 64) - 1]
     for _ in range(60):
         x = rng.getrandbits(64)
         for _ in range(rng.randrange(1, 9)):
@@ -295,10 +301,39 @@ def test_links_of_planted_fingerprints(spark):
         for b in prints:
             if a < b and near(a, b):
                 root[max(find(a), find(b))] = min(find(a), find(b))
-    found = {r["node"]: r["root"] for r in simhash.linked_components(spark.createDataFrame([(x,) for x in prints], "fp long")).collect()}
+    found = {r["node"]: r["root"] for r in simhash.linked_components(spark.createDataFrame([(x,) for x in prints], "fp long"), groups, hot).collect()}
     assert all(found.get(x, x) == find(x) for x in prints)
 
 
+def test_pivots_propose_and_discard_pairs(spark):
+    rng = random.Random(12)
+    centres = [rng.getrandbits(64) for _ in range(40)]
+    prints = {simhash.signed(x ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(6)))) for x in centres for _ in range(12)}
+    table = simhash.pivot_table(spark.createDataFrame([(x,) for x in prints], "fp long"))
+    for r in table.limit(50).collect():
+        bits = [r["fp"] >> 2 * j & 3 for j in range(32)]
+        assert [r["code"] >> 2 * j & 3 for j in range(32)] == [x.bit_count() for x in bits]
+    masks = simhash.masks_of(5)
+    cells = simhash.cells_of(table, masks).withColumn("root", F.col("fp")).withColumn("n", F.lit(2))
+    pairs = simhash.candidates(simhash.split_cells(cells, masks)).select(
+        F.col("a.fp").alias("x"), F.col("b.fp").alias("y"), simhash.close(F.col("a.far"), F.col("b.far")).alias("close")
+    ).distinct().collect()
+    near = {(a, b) for a in prints for b in prints if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= simhash.BITS}
+    met, left = {(r["x"], r["y"]) for r in pairs}, {(r["x"], r["y"]) for r in pairs if r["close"]}
+    assert near <= left < met  # recall 1, and the further pivots discard pairs
+    assert len(met) < len(prints) * (len(prints) - 1) / 2 / 5  # most pairs never meet
+    assert len(left - near) < 0.9 * len(met - near)
+
+
+def test_groups_go_by_the_number_of_fingerprints():
+    found = [simhash.groups_for(10**k) for k in range(1, 12)]
+    assert found == sorted(found) and found[0] == 5 and found[-1] <= 16
+    assert simhash.block_mask([*range(32)]) == -1
+    for groups in (5, 7, 16):
+        for inside, rest in simhash.masks_of(groups):
+            assert sum((x & (1 << 64) - 1) for x in (inside, *rest)) == (1 << 64) - 1
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(40)] + [(100, x) for x in range(101, 140)] + [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(150)]

@@ -46,12 +46,12 @@ def with_rank(df: DataFrame, group: list[str], part: str, local: str, out: str)
     return df.join(bases, [*group, part]).withColumn(out, F.col("_base") + F.col(local)).drop("_base")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(u, v)``: ``(node, root)``, root the smallest node reached.
 
     Alternating large-star and small-star steps; each is a map-side combined minimum per node and
     a join with that minimum. Every step is written to the shared folder. Nodes without an edge
-    to another node don't appear.
+    to another node don't appear. Every round shortens the paths to the roots until nothing changes.
     """
     now = staged(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
@@ -59,7 +59,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     if now.isEmpty():
         return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     mark = None
-    for _ in range(max_rounds):
+    while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lows = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large")
         large = both.where("v > u").join(lows, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -71,4 +71,3 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark == (seen["n"], seen["x"]):
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = (seen["n"], seen["x"])
-    raise RuntimeError("components: no fixed point")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -12,19 +13,50 @@ from pyspark.sql import functions as F
 
 from .common import components, staged, text_of
 
-#: Words in a shingle, hash seed, differing bits that still link, reference fingerprints.
-WORDS, SEED, BITS, PIVOTS = 3, 42, 3, 8
-#: Five bit blocks; fingerprints with at most 3 differing bits agree on two of them at least.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Words in a shingle, hash seed, differing bits that still link.
+WORDS, SEED, BITS = 3, 42, 3
+#: Reference fingerprints: zero and one for every two bits. The difference of a fingerprint's distances to zero and
+#: to such a block's reference tells how many of the block's bits it has (0, 1 or 2).
+BLOCKS = 32
+#: Further references, pseudo-random, whose distances discard pairs.
+FAR = 8
+#: Members from which a cell is split by the counts of further blocks.
+HOT = 64
 
 
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-MASKS = [
-    signed(sum(((1 << n) - 1) << at for at, n in pair)) for pair in combinations(BLOCKS, len(BLOCKS) - BITS)
-]
+def block_mask(blocks: list[int]) -> int:
+    """The places of the blocks' counts in a pivot code."""
+    return signed(sum(3 << 2 * j for j in blocks))
+
+
+def grouped(groups: int) -> list[list[int]]:
+    return [[j for j in range(BLOCKS) if j * groups // BLOCKS == g] for g in range(groups)]
+
+
+def groups_for(n: int) -> int:
+    """Groups of blocks, of which all but BITS make a key: so many that n random fingerprints seldom share one.
+
+    Two random fingerprints have equal counts in a block with probability 3/8.
+    """
+    for groups in range(BITS + 2, 16):
+        least = sum(sorted(map(len, grouped(groups)))[: groups - BITS])
+        if n * 0.375**least <= 0.25:
+            return groups
+    return 16
+
+
+def masks_of(groups: int) -> list[tuple[int, list[int]]]:
+    """For each choice of all groups but BITS: the mask of its blocks, and BITS + 1 masks that deal out the other blocks."""
+    out = []
+    for own in combinations(grouped(groups), groups - BITS):
+        inside = [j for blocks in own for j in blocks]
+        rest = [j for j in range(BLOCKS) if j not in inside]
+        out.append((block_mask(inside), [block_mask(rest[k :: BITS + 1]) for k in range(BITS + 1)]))
+    return out
 
 
 def fingerprint(text: str) -> int:
@@ -68,48 +100,82 @@ def differing(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def pivot_table(prints: DataFrame, pivots: int = PIVOTS) -> DataFrame:
-    """``prints(fp, …)`` with its Hamming distances p0 … to fixed reference fingerprints."""
-    refs = [F.xxhash64(F.lit(f"pivot {k}")) for k in range(pivots)]
-    return prints.withColumns({f"p{k}": differing(F.col("fp"), ref).cast("tinyint") for k, ref in enumerate(refs)})
+def pivot_table(prints: DataFrame) -> DataFrame:
+    """``prints(fp, …)`` with its Hamming distances to all reference fingerprints, packed in two numbers.
+
+    code holds the block counts that the distances to zero and to the block references tell, two
+    bits each; far the distances to the FAR pseudo-random references, a byte each.
+    """
+    fp = F.col("fp")
+    zero = differing(fp, F.lit(0).cast("long"))
+    blocks = [differing(fp, F.lit(signed(3 << 2 * j))) for j in range(BLOCKS)]
+    counts = [F.shiftleft(F.shiftright(zero - d + 2, 1).cast("long"), 2 * j) for j, d in enumerate(blocks)]
+    far = [F.shiftleft(differing(fp, F.xxhash64(F.lit(f"pivot {k}"))).cast("long"), 8 * k) for k in range(FAR)]
+    return prints.withColumn("code", reduce(Column.bitwiseOR, counts)).withColumn("far", reduce(Column.bitwiseOR, far))
+
+
+def close(a: Column, b: Column) -> Column:
+    """Whether two rows of packed distances differ by BITS at most in every coordinate; linked fingerprints do."""
+    at = [(F.shiftright(a, 8 * k).bitwiseAND(F.lit(255)), F.shiftright(b, 8 * k).bitwiseAND(F.lit(255))) for k in range(FAR)]
+    return reduce(Column.__and__, [F.abs(x - y) <= BITS for x, y in at])
+
 
+def cells_of(table: DataFrame, masks: list[tuple[int, list[int]]]) -> DataFrame:
+    """``table`` with a row for each of a fingerprint's cells (c, k): its block counts in all groups but BITS.
 
-def linked_components(prints: DataFrame, pivots: int = PIVOTS) -> DataFrame:
+    A differing bit changes one block's count at most, so fingerprints with at most BITS differing
+    bits have equal counts in all other groups: they share a cell.
+    """
+    keys = F.array(*[F.col("code").bitwiseAND(F.lit(m)) for m, _ in masks])
+    return table.select("*", F.posexplode(keys).alias("c", "k"))
+
+
+def split_cells(cells: DataFrame, masks: list[tuple[int, list[int]]], hot: int = HOT) -> DataFrame:
+    """``cells(c, k, n, code, …)`` with sub-keys (s, sk): cells of more than ``hot`` members are split by further pivots.
+
+    The blocks outside a cell's key are dealt into BITS + 1 parts; linked members have equal
+    counts in one of them at least.
+    """
+    parts = F.array(*[F.lit(m) for _, own in masks for m in own])
+    at = F.sequence(F.lit(0), F.lit(BITS))
+    dealt = F.transform(at, lambda s: F.struct(s.alias("s"), F.col("code").bitwiseAND(F.get(parts, F.col("c") * (BITS + 1) + s)).alias("sk")))
+    whole = F.array(F.struct(F.lit(-1).alias("s"), F.lit(0).cast("long").alias("sk")))
+    return cells.select("*", F.inline(F.when(F.col("n") > hot, dealt).otherwise(whole)))
+
+
+def candidates(cells: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of one cell (c, k, s, sk) without a common root."""
+    a, b = cells.alias("a"), cells.alias("b")
+    same = reduce(Column.__and__, [F.col(f"a.{x}") == F.col(f"b.{x}") for x in ("c", "k", "s", "sk")])
+    return a.join(b, same & (F.col("a.fp") < F.col("b.fp")) & (F.col("a.root") != F.col("b.root")))
+
+
+def linked_components(prints: DataFrame, groups: int | None = None, hot: int = HOT) -> DataFrame:
     """``(node, root)`` over distinct fingerprints ``prints(fp)`` that link at BITS or fewer bits.
 
-    Fingerprints meet where two bit blocks agree (ten keys each; no linked pair is missed). First
-    each key's members are held against the key's least member; those links cost one row per
-    member and join most of any large group. Then the other pairs of a key that no link joins yet
-    are taken: their pivot distances may differ by BITS at most, and survivors are verified.
+    The join key is made of pivot distances (cells_of): no linked pair is missed, whatever ``groups``,
+    which goes by the number of fingerprints unless given. First each cell's members are held against its
+    least member; those links cost one row per member and join most of any large group. Then
+    the pairs of a cell that no link joins yet are taken. Pairs whose distances to the further
+    references differ by more than BITS in any coordinate are discarded, survivors verified.
     """
-    keyed = prints.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in MASKS])).alias("c", "k"))
-    centres = staged(
-        keyed.groupBy("c", "k").agg(F.min("fp").alias("centre"), F.max("fp").alias("most")).where("most > centre").drop("most"),
-        "centres",
-    )
-    members = staged(keyed.join(centres, ["c", "k"]), "members")
-    stars = members.where((F.col("fp") != F.col("centre")) & (differing(F.col("fp"), F.col("centre")) <= BITS)).select(
-        F.col("fp").alias("u"), F.col("centre").alias("v")
-    )
-    near = components(stars)
-    known = members.select("fp").distinct().join(near.withColumnRenamed("node", "fp"), "fp", "left")
-    table = pivot_table(staged(known.select("fp", F.coalesce("root", "fp").alias("root")), "known"), pivots)
-    # a key whose members have one root has nothing left to find
-    rooted = staged(members.select("c", "k", "fp").join(table, "fp"), "rooted")
-    mixed = staged(
-        rooted.groupBy("c", "k").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("c", "k"), "mixed"
-    )
-    a, b = rooted.join(mixed, ["c", "k"], "left_semi").alias("a"), rooted.join(mixed, ["c", "k"], "left_semi").alias("b")
-    x = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    first = F.coalesce(*[F.when(x.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(MASKS)])
-    close = [F.abs(F.col(f"a.p{k}") - F.col(f"b.p{k}")) <= BITS for k in range(pivots)]
-    condition = (F.col("a.c") == F.col("b.c")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.fp") < F.col("b.fp"))
-    condition = condition & (F.col("a.root") != F.col("b.root"))
-    for test in close:
-        condition = condition & test
-    pairs = a.join(b, condition & (F.bit_count(x) <= BITS) & (first == F.col("a.c")))
-    rest = pairs.select(F.col("a.root").alias("u"), F.col("b.root").alias("v"))
-    return components(near.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rest))
+    table = staged(pivot_table(prints), "pivots")
+    masks = masks_of(groups or groups_for(table.count()))
+    keyed = cells_of(table, masks)
+    centres = keyed.groupBy("c", "k").agg(F.min("fp").alias("centre"), F.min_by("far", "fp").alias("centre_far"), F.count("*").alias("n")).where("n > 1")
+    members = staged(keyed.join(staged(centres, "centres"), ["c", "k"]), "members")
+    star = members.where((F.col("fp") != F.col("centre")) & close(F.col("far"), F.col("centre_far")))
+    star = star.where(differing(F.col("fp"), F.col("centre")) <= BITS).select(F.col("fp").alias("u"), F.col("centre").alias("v"))
+    near = staged(components(star), "near")
+    rooted = members.drop("centre", "centre_far").join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    # a cell whose members have one root has nothing left to find
+    rooted = staged(rooted, "rooted")
+    mixed = rooted.groupBy("c", "k").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("c", "k")
+    cells = staged(split_cells(rooted.join(staged(mixed, "mixed"), ["c", "k"], "left_semi"), masks, hot), "cells")
+    pairs = candidates(cells).where(close(F.col("a.far"), F.col("b.far"))).where(differing(F.col("a.fp"), F.col("b.fp")) <= BITS)
+    over = components(pairs.select(F.col("a.root").alias("u"), F.col("b.root").alias("v"))).withColumnsRenamed({"node": "over", "root": "top"})
+    alone = over.select(F.col("over").alias("node"), F.col("over").alias("root")).join(near, "node", "left_anti")
+    return near.union(alone).join(over, F.col("root") == F.col("over"), "left").select("node", F.coalesce("top", "root").alias("root"))
 
 
 def labelled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
