@@ -110,6 +110,16 @@ def test_skew_safe_percentile_like_the_window(spark):
     assert windows.percentile_by(df.limit(0), ["g"], "x", "q", skew_safe=True).count() == 0
 
 
+def test_skew_safe_percentile_of_scores_that_fill_partitions(spark):
+    data = [(k, "a" if k % 9 else "b", [1.0, None, float(k % 3), float("nan"), 2.0, 2.0, 2.0][k % 7]) for k in range(5000)]
+    df = spark.createDataFrame(data, "i long, g string, x double")
+    spark.conf.set("spark.sql.shuffle.partitions", 11)
+    safe = windows.percentile_by(df, ["g"], "x", "q", digits=6)
+    found = Counter(map(repr, map(tuple, safe.collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert found == Counter(map(repr, map(tuple, windows.percentile_by(df, ["g"], "x", "q", digits=6, skew_safe=False).collect())))
+
+
 def test_top_n(spark):
     df = spark.createDataFrame([("k", "a", 1.0), ("k", "a", 5.0), ("k", "b", 5.0), ("k", "c", -1.0), ("k", "d", 0.0)], "k string, i string, s double")
     got = windows.top_n_by_group(df, ["k"], "i", "s", "top").first()
@@ -162,7 +172,7 @@ def test_scores(spark):
 @pytest.mark.parametrize(
     ("path", "want"),
     [
-        ("gs://b/interval/PCHIC/Jung2019/190101/data.parquet", ["pchic", "jung2019"]),
+        ("/b/interval/PCHIC/Jung2019/190101/data.parquet", ["pchic", "jung2019"]),
         ("/a/interval/x/interval//DHS//Thurman2012/d.parquet", ["dhs", "thurman2012"]),
         ("/no/Token/here", ["no", "token"]),
         ("/a/interval/", []),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import importlib
+import sys
 from collections import Counter
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from variantlink.plans import demo
+from variantlink.plans import demo, demo_evidence  # noqa: F401  (registers its queries)
 
 DIR = "/root/testdata/sf0.001"
 
@@ -46,6 +48,13 @@ def test_entry(spark):
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
+def test_entry_without_text_operators(monkeypatch):
+    with monkeypatch.context() as m:
+        m.setitem(sys.modules, "corpus_pipeline", None)
+        assert importlib.reload(entry_module).queries() == demo.QUERIES and entry_module.oracle_sql() == demo.ORACLES
+    importlib.reload(entry_module)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = demo.QUERIES["filter_in_not_in"](spark, DIR)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "In(p_size" in plan and "p_retailprice" not in plan

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import staged
+
 
 def join_composite_key(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "inner") -> DataFrame:
     """Join on differently named keys ``{left: right}``; the right keys are dropped."""
@@ -104,27 +106,31 @@ def nearest_by(
     """``left`` with the nearest right id, and its distance, in each group of right rows.
 
     ``groups`` maps an output name to a condition on right rows (None: all). One band join serves
-    all groups; ties go to the smallest id; rows without a near enough id get nulls.
+    all groups; ties go to the smallest id; rows without a near enough id get nulls. A null in
+    ``left_key`` is a value like any other; rows with a null position or ``on`` column get nulls.
 
     The search widens: within a first share of ``max_distance`` most rows find all their groups, and
-    what is found there is nearest; only rows that still miss one are paired over the next radius.
+    what is found there is nearest; only rows that still miss one are paired over the next radius. What
+    a radius finds is written once, as both the next radius and the result read it.
     """
     flags = {f"_in_{name}": (F.lit(True) if test is None else test) for name, test in groups.items()}
     slim = right.select(*on, F.col(right_pos).alias("_rpos"), F.col(right_id).alias("_rid"), *[f.alias(k) for k, f in flags.items()])
+    keys, best_of = [*left_key], {name: f"_best_{name}" for name in groups}
+
+    def same(a: str, b: str) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in keys])
+
     pending, parts = left.select(*dict.fromkeys([*left_key, *on, left_pos])), []
     for share in sorted({*radii, 1.0}):
         pairs = band_join(pending, slim, on, left_pos, "_rpos", max_distance * share, distance_col="_d")
-        parts.append(
-            pairs.groupBy(*left_key).agg(
-                *[F.min(F.when(F.col(f"_in_{name}"), F.struct("_d", "_rid"))).alias(f"_best_{name}") for name in groups]
-            )
-        )
-        done = parts[-1].where(reduce(lambda a, b: a & b, [F.col(f"_best_{name}").isNotNull() for name in groups]))
-        pending = pending.join(done.select(*left_key), [*left_key], "left_anti")
-    best = reduce(DataFrame.union, parts).groupBy(*left_key).agg(*[F.min(f"_best_{name}").alias(f"_best_{name}") for name in groups])
-    found = left.join(best, [*left_key], "left")
-    columns = [c for name in groups for c in (F.col(f"_best_{name}._d").alias(f"{name}_distance"), F.col(f"_best_{name}._rid").alias(name))]
-    return found.select(*left.columns, *columns)
+        nearest = [F.min(F.when(F.col(f"_in_{name}"), F.struct("_d", "_rid"))).alias(best) for name, best in best_of.items()]
+        parts.append(staged(pairs.groupBy(*keys).agg(*nearest), "nearest"))
+        done = parts[-1].where(reduce(lambda a, b: a & b, [F.col(best).isNotNull() for best in best_of.values()]))
+        pending = pending.alias("p").join(done.alias("d"), same("p", "d"), "left_anti")
+    best = reduce(DataFrame.union, parts).groupBy(*keys).agg(*[F.min(best).alias(best) for best in best_of.values()])
+    found = left.alias("l").join(best.alias("b"), same("l", "b"), "left")
+    columns = [c for name, best in best_of.items() for c in (F.col(f"{best}._d").alias(f"{name}_distance"), F.col(f"{best}._rid").alias(name))]
+    return found.select("l.*", *columns)
 
 
 def union_evidence(*tables: DataFrame, array_defaults: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:

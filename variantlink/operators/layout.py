@@ -16,3 +16,8 @@ def cluster_by_position(df: DataFrame, chr_col: str, pos_col: str, partitions: i
     """Range-partitioned and sorted within files, so that readers skip row groups by position."""
     dealt = df.repartitionByRange(chr_col, pos_col) if partitions is None else df.repartitionByRange(partitions, chr_col, pos_col)
     return dealt.sortWithinPartitions(chr_col, pos_col)
+
+
+def sort_within(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Sorted in each partition, as by start position or id, without a shuffle."""
+    return df.sortWithinPartitions(*columns)

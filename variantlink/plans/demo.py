@@ -15,7 +15,7 @@ from ..functions import columns as C
 from ..functions import filters
 from ..operators import aggregates, joins, layout, windows
 from ..sources import io
-from ..sources.shared import new_path
+from ..sources.shared import new_path, staged
 from . import summaries, variant_disease, variant_gene
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -647,7 +647,7 @@ def as_studies(spark, d):
 
 def as_traits(spark, d):
     k = F.col("o_orderkey")
-    return table(spark, d, "orders").where(k % 2 == 0).select(
+    return table(spark, d, "orders").where("o_orderstatus <> 'O'").select(
         F.concat(F.when(k % 5 == 0, "").otherwise(F.lit("ST")), F.lit("_"), k.cast("string")).alias("study_id"),
         F.array("o_orderpriority").alias("trait_efos"), F.col("o_orderstatus").alias("trait_category"),
     )
@@ -655,8 +655,8 @@ def as_traits(spark, d):
 
 STUDY_ID = "CASE WHEN {k} % 5 = 0 THEN '' ELSE 'ST' END || '_' || {k}"
 STUDIES = f"""SELECT {STUDY_ID.format(k='o_orderkey')} AS study_id, o_orderpriority AS trait_reported, CASE WHEN o_orderkey % 3 <> 0 THEN 'P' || o_orderkey END AS pmid,
-    CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'ST' END AS source, CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE 'Uncategorised' END AS trait_category,
-    CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END AS efos, o_orderstatus AS ancestry FROM orders WHERE o_orderkey % 10 <> 0"""
+    CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'ST' END AS source, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus ELSE 'Uncategorised' END AS trait_category,
+    CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority ELSE '' END AS efos, o_orderstatus AS ancestry FROM orders WHERE o_orderkey % 10 <> 0"""
 
 
 def studies(spark, d):
@@ -709,9 +709,8 @@ def study_key(k: str) -> Column:
 
 
 def firsts(spark, d):
-    """One lead line for each order."""
-    lines = table(spark, d, "lineitem").where("l_linenumber = 1")
-    return lines.groupBy("l_orderkey").agg(F.min("l_partkey").alias("lead_part"), F.max("l_quantity").cast("double").alias("m"), F.max("l_suppkey").alias("e"))
+    """One lead part for each order."""
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("lead_part"), F.max("l_quantity").cast("double").alias("m"), F.max("l_suppkey").alias("e"))
 
 
 def as_loci(spark, d):
@@ -732,15 +731,15 @@ def as_tags(spark, d, rows: str, value: str, name: str):
 
 
 def v2d(spark, d):
-    ld, fm = as_tags(spark, d, "l_linenumber % 2 = 0", "l_discount", "overall_r2"), as_tags(spark, d, "l_linenumber % 3 <> 0", "l_tax", "posterior_prob")
+    ld, fm = as_tags(spark, d, "l_returnflag <> 'R'", "l_discount", "overall_r2"), as_tags(spark, d, "l_linestatus = 'F'", "l_tax", "posterior_prob")
     return variant_disease.variant_disease(as_variants(spark, d), studies(spark, d), variant_disease.top_loci(as_loci(spark, d)), ld, fm)
 
 
 V2D = f"""SELECT s.study_id, f.lead_part, t.l_partkey AS tag_part, r2, pp, m, e FROM ({STUDIES}) s
     JOIN (SELECT {STUDY_ID.format(k='l_orderkey')} AS study_id, l_orderkey, min(l_partkey) AS lead_part, max(l_quantity) AS m, -(max(l_suppkey) % 20) AS e
-          FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey) f USING (study_id)
-    JOIN (SELECT l_orderkey, l_partkey, max(l_discount) FILTER (l_linenumber % 2 = 0) AS r2, max(l_tax) FILTER (l_linenumber % 3 <> 0) AS pp
-          FROM lineitem WHERE l_linenumber % 2 = 0 OR l_linenumber % 3 <> 0 GROUP BY 1, 2) t USING (l_orderkey)
+          FROM lineitem GROUP BY l_orderkey) f USING (study_id)
+    JOIN (SELECT l_orderkey, l_partkey, max(l_discount) FILTER (l_returnflag <> 'R') AS r2, max(l_tax) FILTER (l_linestatus = 'F') AS pp
+          FROM lineitem WHERE l_returnflag <> 'R' OR l_linestatus = 'F' GROUP BY 1, 2) t USING (l_orderkey)
     JOIN part ON p_partkey = t.l_partkey AND p_size > 10"""
 
 
@@ -787,13 +786,18 @@ SCORES = f"""SELECT pos, gene_id, sum(w * s) / 4.97 AS overall_score, string_agg
     FROM ({V2G}) WHERE source_id <> 'unknown' GROUP BY 1, 2, 3) GROUP BY 1, 2"""
 
 
+def scorable(spark, d):
+    """The columns of v2g that scores are made of, written once for their several readers."""
+    return staged(v2g(spark, d).select(*S.VARIANT_KEY, "gene_id", "source_id", *S.EVIDENCE_SCORES), "v2g")
+
+
 @query(
     "scored_datasets",
     f"""SELECT 'v2g' AS kind, g.pos, g.gene_id, '' AS study_id, round(overall_score, 6) AS overall_score, source_list FROM ({V2G}) g JOIN ({SCORES}) s ON g.pos = s.pos AND g.gene_id = s.gene_id
         UNION ALL SELECT 'd2v2g', tag_part, d.gene_id, study_id, round(overall_score, 6), source_list FROM ({D2V2G}) d JOIN ({SCORES}) s ON d.tag_part = s.pos AND d.gene_id = s.gene_id""",
 )
 def _(spark, d):
-    genes = v2g(spark, d)
+    genes = scorable(spark, d)
     a, b = summaries.scored_datasets(genes, variant_disease.disease_variant_gene(v2d(spark, d), genes))
     columns = [r6("overall_score").alias("overall_score"), joined("source_list")]
     return a.select(F.lit("v2g").alias("kind"), F.col("position").alias("pos"), "gene_id", F.lit("").alias("study_id"), *columns).union(
@@ -803,7 +807,7 @@ def _(spark, d):
 
 def as_coloc(spark, d):
     k, g = F.col("l_orderkey"), F.col("l_suppkey")
-    best = table(spark, d, "lineitem").where("l_linenumber = 1").join(firsts(spark, d), "l_orderkey")
+    best = table(spark, d, "lineitem").join(firsts(spark, d), "l_orderkey")
     return best.groupBy("l_orderkey", "lead_part", "l_suppkey", "l_partkey").agg(F.max("l_discount").alias("x")).select(
         study_key("l_orderkey").alias("left_study"), F.concat(F.lit("c"), (F.col("lead_part") % 5).cast("string")).alias("left_chrom"), F.col("lead_part").alias("left_pos"),
         F.lit("A").alias("left_ref"), F.lit("T").alias("left_alt"), F.lit("eqtl").alias("right_type"),
@@ -818,8 +822,8 @@ def coloc(spark, d):
 
 
 COLOC = f"""SELECT * FROM (SELECT {STUDY_ID.format(k='l_orderkey')} AS left_study, lead_part, l_partkey, CASE WHEN l_suppkey % 6 <> 0 THEN 'S' || l_suppkey END AS gene, 1 - max(l_discount) AS h4
-    FROM lineitem JOIN (SELECT l_orderkey, min(l_partkey) AS lead_part FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) USING (l_orderkey)
-    WHERE l_linenumber = 1 AND l_orderkey % 4 <> 0 GROUP BY l_orderkey, lead_part, l_suppkey, l_partkey) c
+    FROM lineitem JOIN (SELECT l_orderkey, min(l_partkey) AS lead_part FROM lineitem GROUP BY 1) USING (l_orderkey)
+    WHERE l_orderkey % 4 <> 0 GROUP BY l_orderkey, lead_part, l_suppkey, l_partkey) c
     WHERE (gene IS NULL OR EXISTS (SELECT 1 FROM ({GENES}) g WHERE g.gene_id = gene AND g.chr = 'c' || lead_part % 5)) AND l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10)"""
 
 
@@ -838,8 +842,11 @@ def _(spark, d):
         FROM v LEFT JOIN r USING (study_id, lead_part) LEFT JOIN c ON c.left_study = v.study_id AND c.lead_part = v.lead_part""",
 )
 def _(spark, d):
-    disease, genes = v2d(spark, d), v2g(spark, d)
-    scored = summaries.scored_datasets(genes, variant_disease.disease_variant_gene(disease, genes))[1]
+    disease, genes = staged(v2d(spark, d), "v2d"), scorable(spark, d)
+    tagged = disease.select(*S.LEAD_KEY, *S.TAG_KEY, "overall_r2", "posterior_prob")
+    scored = summaries.scored_datasets(genes, variant_disease.disease_variant_gene(tagged, genes))[1]
+    # both gene lists ask for a gene's best score in a locus alone
+    scored = staged(aggregates.group_max(scored, [*S.LEAD_KEY, "gene_id"], "overall_score"), "scored")
     l2g = scored.select("study_id", F.col("lead_chrom").alias("chrom"), F.col("lead_pos").alias("pos"), F.col("lead_ref").alias("ref"), F.col("lead_alt").alias("alt"), "gene_id", F.col("overall_score").alias("y_proba_full_model"))
     whole = summaries.manhattan(disease, scored, coloc(spark, d), l2g)
     return whole.select(

@@ -28,12 +28,15 @@ def top_loci(loci: DataFrame) -> DataFrame:
     return layout.cluster_by_position(loci.withColumn("pval", pval).withColumnsRenamed(names).drop("rsid"), "lead_chrom", "lead_pos")
 
 
-def ld_index(ld: DataFrame) -> DataFrame:
-    return ld.drop("ld_available", "pics_mu", "pics_postprob", "pics_99perc_credset")
+def ld_index(ld: DataFrame, cluster: bool = True) -> DataFrame:
+    """Linked variants, clustered for readers; a join deals them anew by its own keys and asks for no clustering."""
+    own = ld.drop("ld_available", "pics_mu", "pics_postprob", "pics_99perc_credset")
+    return layout.cluster_by_position(own, "lead_chrom", "lead_pos") if cluster else own
 
 
-def finemap_index(finemapping: DataFrame) -> DataFrame:
-    return layout.cluster_by_position(finemapping, "lead_chrom", "lead_pos")
+def finemap_index(finemapping: DataFrame, cluster: bool = True) -> DataFrame:
+    """Fine-mapped variants, clustered for readers like ld_index."""
+    return layout.cluster_by_position(finemapping, "lead_chrom", "lead_pos") if cluster else finemapping
 
 
 def overlap_index(overlaps: DataFrame) -> DataFrame:
@@ -43,7 +46,7 @@ def overlap_index(overlaps: DataFrame) -> DataFrame:
 
 def variant_disease(variants: DataFrame, studies: DataFrame, loci: DataFrame, ld: DataFrame, finemapping: DataFrame) -> DataFrame:
     """Lead variants of studies with their tag variants by linkage or fine mapping, indexed ones only."""
-    evidence = joins.full_outer_evidence(ld_index(ld), finemapping, [*S.LEAD_KEY, *S.TAG_KEY])
+    evidence = joins.full_outer_evidence(ld_index(ld, cluster=False), finemap_index(finemapping, cluster=False), [*S.LEAD_KEY, *S.TAG_KEY])
     leads = loci.join(studies, ["study_id"])
     tagged = leads.join(evidence, S.LEAD_KEY)
     keys = variants.select(*[F.col(c).alias(f"_{c}") for c in S.VARIANT_KEY])

@@ -12,6 +12,7 @@ from ..functions import columns as C
 from ..functions import filters
 from ..operators import aggregates, joins, layout, windows
 from ..sources import io
+from ..sources.shared import staged
 
 
 def chosen_genes(genes: DataFrame, biotypes: Sequence[str]) -> DataFrame:
@@ -62,11 +63,11 @@ def distance_evidence(variants: DataFrame, genes: DataFrame, max_distance: int =
     near = genes.select(F.col("chr").alias("chr_id"), "gene_id", "tss")
     pairs = joins.band_join(variants.select(*S.VARIANT_KEY), near, ["chr_id"], "position", "tss", max_distance).drop("tss")
     pairs = C.with_labels(pairs, type_id="distance", source_id="canonical_tss", feature="unspecified")
-    pairs = pairs.withColumn("distance_score", C.inverse_distance(F.col("d")))
+    pairs = staged(pairs.withColumn("distance_score", C.inverse_distance(F.col("d"))), "near-pairs")  # ranking samples it, then reads it
     return windows.percentile_by(pairs, ["source_id", "feature"], "distance_score", "distance_score_q", skew_safe=skew_safe)
 
 
-def qtl_evidence(qtl: DataFrame, variants: DataFrame) -> DataFrame:
+def qtl_evidence(qtl: DataFrame, variants: DataFrame, skew_safe: bool = True) -> DataFrame:
     """QTL statistics of indexed variants, with score and percentile."""
     names = {
         "chrom": "chr_id", "pos": "position", "other_allele": "ref_allele", "effect_allele": "alt_allele", "ensembl_id": "gene_id",
@@ -75,10 +76,13 @@ def qtl_evidence(qtl: DataFrame, variants: DataFrame) -> DataFrame:
     named = qtl.withColumnsRenamed(names)
     pval = F.when(F.col("qtl_pval") == 0.0, F.lit(C.SMALLEST)).otherwise(F.col("qtl_pval"))
     scored = named.withColumn("qtl_pval", pval).withColumn("qtl_score", C.neg_log10(F.col("qtl_pval")))
-    return windows.percentile_by(joins.semi_join(scored, variants, S.VARIANT_KEY), ["source_id", "feature"], "qtl_score", "qtl_score_q")
+    known = staged(joins.semi_join(scored, variants, S.VARIANT_KEY), "qtl")  # ranking samples it, then reads it
+    return windows.percentile_by(known, ["source_id", "feature"], "qtl_score", "qtl_score_q", skew_safe=skew_safe)
 
 
-def interval_evidence(intervals: DataFrame, variants: DataFrame, bin_width: int = 10_000, path: str = "filename") -> DataFrame:
+def interval_evidence(
+    intervals: DataFrame, variants: DataFrame, bin_width: int = 10_000, path: str = "filename", skew_safe: bool = True
+) -> DataFrame:
     """Variants inside each interval; its type and source are read from its file's path (column ``path``)."""
     tokens = C.path_tokens(F.col(path), "/interval/")
     typed = intervals.withColumnRenamed("bio_feature", "feature").withColumns(
@@ -87,7 +91,8 @@ def interval_evidence(intervals: DataFrame, variants: DataFrame, bin_width: int
     keys = ["chrom", "start", "end", "gene_id", "type_id", "source_id", "feature"]
     best = aggregates.group_max(typed, keys, "score").withColumnsRenamed({"chrom": "chr_id", "score": "interval_score"})
     inside = joins.interval_join(best, variants.select(*S.VARIANT_KEY), ["chr_id"], "start", "end", "position", bin_width).drop("start", "end")
-    return windows.percentile_by(inside, ["source_id", "feature"], "interval_score", "interval_score_q")
+    inside = staged(inside, "inside")  # ranking samples it, then reads it
+    return windows.percentile_by(inside, ["source_id", "feature"], "interval_score", "interval_score_q", skew_safe=skew_safe)
 
 
 def scan_intervals(spark, path: str, schema: str) -> DataFrame:

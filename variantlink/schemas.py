@@ -22,7 +22,7 @@ LEAD_KEY = ["study_id", "lead_chrom", "lead_pos", "lead_ref", "lead_alt"]
 TAG_KEY = ["tag_chrom", "tag_pos", "tag_ref", "tag_alt"]
 LOCUS_KEY = ["study", "chrom", "pos", "ref", "alt"]
 
-#: Gene groups by biotype.
+#: Gene groups by biotype, chromosomes, weights and limits.
 PROTEIN_CODING = ["protein_coding"]
 APPROVED_BIOTYPES = [
     "3prime_overlapping_ncRNA",
@@ -41,7 +41,7 @@ APPROVED_BIOTYPES = [
 ]
 CHROMOSOMES = [*map(str, range(1, 23)), "X", "Y", "MT"]
 
-#: Default weight of each evidence source.
+#: Default weight of each evidence source.
 SOURCE_WEIGHTS = {
     "vep": 1.0,
     "eqtl": 0.66,
@@ -63,7 +63,9 @@ GENES = struct(
 CONSEQUENCE_SCORES = struct(
     "accession string, term string, description string, display_term string, impact string, v2g_score double, eco_score double"
 )
-FREQUENCIES = [f"gnomad_{x}" for x in "afr amr asj eas fin nfe nfe_est nfe_nwe nfe_onf oth".split()]
+FREQUENCIES = [
+    "gnomad_afr", "gnomad_amr", "gnomad_asj", "gnomad_eas", "gnomad_fin", "gnomad_nfe", "gnomad_nfe_est", "gnomad_nfe_nwe", "gnomad_nfe_onf", "gnomad_oth",
+]
 RAW_VARIANTS = struct(
     "chrom_b37 string, pos_b37 long, chrom_b38 string, pos_b38 long, ref string, alt string, rsid string",
     vep=struct(

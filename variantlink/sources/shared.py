@@ -5,13 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where the session names none (one machine, tests) a temporary folder."""
+    """``spark.checkpoint.dir``; only in local mode (one machine, tests) a temporary folder where the session names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-ckpt-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -19,3 +21,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, freezes its rows.
+
+    The table stays until the folder is cleared, as results are read lazily; one that its caller is done with
+    can be removed by the path that is added to ``paths``.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing reads any more, and empty the list."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    paths.clear()
