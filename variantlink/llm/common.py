@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import new_path
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from ..sources.shared import remove, staged
 
 
 def driver_file(spark: SparkSession, path: str):
@@ -53,20 +46,23 @@ def components(edges: DataFrame) -> DataFrame:
     a join with that minimum. Every step is written to the shared folder. Nodes without an edge
     to another node don't appear. Every round shortens the paths to the roots until nothing changes.
     """
-    now = staged(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
-    )
+    spark = edges.sparkSession
+    now = staged(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     if now.isEmpty():
         return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    mark = None
+    mark, old = None, []
     while True:
+        own: list[str] = []
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lows = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large")
+        lows = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "large", own)
         large = both.where("v > u").join(lows, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = staged(large, "large-star")
-        lows = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small")
+        large = staged(large, "large-star", own)
+        lows = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small", own)
         hops = large.join(lows, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = staged(hops.union(lows.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        last: list[str] = []
+        now = staged(hops.union(lows.select("u", F.col("m").alias("v"))).distinct(), "small-star", last)
+        remove(spark, [*old, *own])
+        old = last
         seen = now.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()
         if mark == (seen["n"], seen["x"]):
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
