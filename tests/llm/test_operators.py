@@ -327,7 +327,7 @@ def test_pivots_propose_and_discard_pairs(spark):
 
 def test_groups_go_by_the_number_of_fingerprints():
     found = [simhash.groups_for(10**k) for k in range(1, 12)]
-    assert found == sorted(found) and found[0] == 5 and found[-1] <= 16
+    assert found == sorted(found) and found[0] == 6 and found[-1] <= 16
     assert simhash.block_mask([*range(32)]) == -1
     for groups in (5, 7, 16):
         for inside, rest in simhash.masks_of(groups):

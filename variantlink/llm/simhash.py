@@ -38,11 +38,12 @@ def grouped(groups: int) -> list[list[int]]:
 
 
 def groups_for(n: int) -> int:
-    """Groups of blocks, of which all but BITS make a key: so many that n random fingerprints seldom share one.
+    """Groups of blocks, of which all but BITS make a key: so many that n random fingerprints seldom share one, six at least.
 
-    Two random fingerprints have equal counts in a block with probability 3/8.
+    Two random fingerprints have equal counts in a block with probability 3/8. More groups make longer
+    keys but more cells a fingerprint (20 for six groups, 56 for eight).
     """
-    for groups in range(BITS + 2, 16):
+    for groups in range(2 * BITS, 16):
         least = sum(sorted(map(len, grouped(groups)))[: groups - BITS])
         if n * 0.375**least <= 0.25:
             return groups
@@ -100,6 +101,12 @@ def differing(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def far_of(fp: Column) -> Column:
+    """A fingerprint's distances to the pseudo-random references, a byte each."""
+    far = [F.shiftleft(differing(fp, F.xxhash64(F.lit(f"pivot {k}"))).cast("long"), 8 * k) for k in range(FAR)]
+    return reduce(Column.bitwiseOR, far)
+
+
 def pivot_table(prints: DataFrame) -> DataFrame:
     """``prints(fp, …)`` with its Hamming distances to all reference fingerprints, packed in two numbers.
 
@@ -110,8 +117,7 @@ def pivot_table(prints: DataFrame) -> DataFrame:
     zero = differing(fp, F.lit(0).cast("long"))
     blocks = [differing(fp, F.lit(signed(3 << 2 * j))) for j in range(BLOCKS)]
     counts = [F.shiftleft(F.shiftright(zero - d + 2, 1).cast("long"), 2 * j) for j, d in enumerate(blocks)]
-    far = [F.shiftleft(differing(fp, F.xxhash64(F.lit(f"pivot {k}"))).cast("long"), 8 * k) for k in range(FAR)]
-    return prints.withColumn("code", reduce(Column.bitwiseOR, counts)).withColumn("far", reduce(Column.bitwiseOR, far))
+    return prints.withColumn("code", reduce(Column.bitwiseOR, counts)).withColumn("far", far_of(fp))
 
 
 def close(a: Column, b: Column) -> Column:
@@ -161,13 +167,14 @@ def linked_components(prints: DataFrame, groups: int | None = None, hot: int = H
     """
     table = staged(pivot_table(prints), "pivots")
     masks = masks_of(groups or groups_for(table.count()))
-    keyed = cells_of(table, masks)
-    centres = keyed.groupBy("c", "k").agg(F.min("fp").alias("centre"), F.min_by("far", "fp").alias("centre_far"), F.count("*").alias("n")).where("n > 1")
-    members = staged(keyed.join(staged(centres, "centres"), ["c", "k"]), "members")
-    star = members.where((F.col("fp") != F.col("centre")) & close(F.col("far"), F.col("centre_far")))
+    keyed = cells_of(table, masks).select("fp", "c", "k")
+    centres = keyed.groupBy("c", "k").agg(F.min("fp").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    # few fingerprints share a cell: their distances are taken again where they are, not moved with every cell
+    members = staged(pivot_table(keyed.join(staged(centres, "centres"), ["c", "k"])), "members")
+    star = members.where((F.col("fp") != F.col("centre")) & close(F.col("far"), far_of(F.col("centre"))))
     star = star.where(differing(F.col("fp"), F.col("centre")) <= BITS).select(F.col("fp").alias("u"), F.col("centre").alias("v"))
     near = staged(components(star), "near")
-    rooted = members.drop("centre", "centre_far").join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = members.drop("centre").join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     # a cell whose members have one root has nothing left to find
     rooted = staged(rooted, "rooted")
     mixed = rooted.groupBy("c", "k").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b").select("c", "k")
