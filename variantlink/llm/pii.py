@@ -8,58 +8,101 @@ from pyspark.sql import functions as F
 from .common import staged, text_of
 
 L, R = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
-#: Titles that open a person's name, with the gender they tell.
-FEMALE, MALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|госпожа", "Mr|Mister|Herr|Monsieur|Señor|Sr|господин"
+#: Titles that open a person's name, by the gender they tell.
+FEMALE, MALE, EITHER = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|госпожа", "Mr|Mister|Herr|Monsieur|M\\.|Señor|Sr|господин", "Dr|Prof|Professor|доктор"
+TITLE = rf"(?:{FEMALE}|{MALE}|{EITHER})\.? "
 ASSIGNED = r"(?i:token|secret|password|passwd|pwd|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
-#: Kinds in order of precedence.
+HEX = "[0-9A-Fa-f]{1,4}"
+#: Kinds in order of precedence. A card number must also have its check digit (has_luhn).
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}][\p{L}\p{N}._%+'-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]+)+",
     "secret": rf"{L}(?:{ASSIGNED}[^\s\"']{{6,}}+|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{20,}}+|sk-[A-Za-z0-9_-]{{20,}}+"
     r"|xox[abprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++){1,2}|[0-9a-f]{32,}+|[0-9A-F]{32,}+)" + R,
-    "person": rf"{L}(?:{FEMALE}|{MALE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
-    "ip": rf"{L}(?:\d{{1,3}}(?:\.\d{{1,3}}){{3}}|(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}){R}",
+    "person": rf"{L}{TITLE}\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
+    # IPv4; IPv6 in full; IPv6 with a gap, whose first group has three digits at least (unlike a[1::2])
+    "ip": rf"{L}(?:\d{{1,3}}(?:\.\d{{1,3}}){{3}}|(?:{HEX}:){{7}}{HEX}|[0-9A-Fa-f]{{3,4}}(?::{HEX}){{0,5}}::(?:{HEX}(?::{HEX}){{0,5}}){R}){R}",
     "iban": rf"{L}[A-Z]{{2}}\d{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{R}",
     "ssn": rf"{L}\d{{3}}-\d{{2}}-\d{{4}}{R}",
-    "card": rf"{L}\d(?:[ -]?\d){{12,18}}{R}",
-    "phone": rf"(?<![\p{{L}}\p{{N}}+])(?:(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{1,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]\d{{3,4}}|\+\d{{8,15}}){R}",
+    "card": rf"{L}[2-6](?:[ -]?\d){{12,18}}{R}",
+    "phone": rf"(?<![\p{{L}}\p{{N}}+])(?:(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{1,4}}\)[ .-]?|\d{{2,4}}[ .-])\d{{3,4}}[ .-]\d{{3,4}}|\+\d{{8,15}}"
+    # a country code and groups of two to eight digits; ten digits in pairs; an area code and one more group
+    rf"|\+\d{{1,3}}[ .-]\(?\d{{1,4}}\)?(?:[ .-]\d{{2,8}}){{1,5}}|0\d(?:[ .-]\d{{2}}){{4}}|0\d{{2,4}}[ /-]\d{{6,8}}){R}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds one of these; texts without them are passed over.
-HINT = rf"[0-9@=:]|[A-Za-z0-9_-]{{15}}|(?:{FEMALE}|{MALE})\.? \p{{Lu}}"
+HINT = rf"[0-9@=:]|eyJ|[A-Za-z0-9_-]{{15}}|{TITLE}\p{{Lu}}"
+PERSON = ("family", "given:f", "given:m", "given")
 
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CYRILLIC, ACCENTED = "абвгдежзиклмнопрстуфхцчшэюя", "áâàéêèíîóôúûñçäöü"
-SYLLABLES = "ba be bi bo da de di do fa fe la le li lo ma me mi mo na ne ni no ra re ri ro sa se ta te va ve".split()
-CYRILLIC_SYLLABLES = "ба бе би бо да де ди до фа фе ла ле ли ло ма ме ми мо на не ни но ра ре ри ро са се та те ва ве".split()
-#: From this attempt on a surrogate is lengthened, so that it always ends distinct.
-LENGTHEN = 12
+ONSETS, VOWELS, CODAS = "b d f g k l m n p r s t v z".split(), "a e i o u".split(), ["", "n", "r", "l", "s"]
+CYRILLIC_ONSETS, CYRILLIC_VOWELS, CYRILLIC_CODAS = "б в г д з к л м н п р с т ф".split(), "а е и о у".split(), ["", "н", "р", "л", "с"]
+#: Attempts after which a surrogate gets longer, so that it always ends distinct.
+LENGTHEN = 4
 
 
-def found(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+#: Stands around entities while a text is cut; texts that hold it are cut in another way.
+MARK = "\ufdd0"
+
+
+def parts_of(text: Column) -> Column:
+    """A text cut at its entities, in one pass: every second part is an entity, and joined they give the text."""
+    cut = F.split(F.regexp_replace(text, ANY, f"{MARK}$0{MARK}"), MARK, -1)
+    entities = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    other = F.filter(F.flatten(F.zip_with(F.split(text, ANY, -1), entities, lambda a, b: F.array(a, b))), lambda x: x.isNotNull())
+    return F.when(F.contains(text, F.lit(MARK)), other).otherwise(cut)
+
+
+def entities_of(parts: Column) -> Column:
+    return F.filter(parts, lambda x, i: i % 2 == 1)
+
+
+def digits_of(raw: Column) -> Column:
+    return F.transform(F.regexp_extract_all(raw, F.lit("[0-9]"), F.lit(0)), lambda x: x.cast("int"))
+
+
+def luhn_sum(digits: Column) -> Column:
+    """Sum of an array of digits, every second from the right doubled and its own digits added."""
+    doubled = F.transform(F.reverse(digits), lambda x, i: F.when(i % 2 == 0, x).when(x > 4, x * 2 - 9).otherwise(x * 2))
+    return F.aggregate(doubled, F.lit(0), lambda a, x: a + x)
+
+
+def has_luhn(raw: Column) -> Column:
+    return luhn_sum(digits_of(raw)) % 10 == 0
 
 
 def kind_of(entity: Column) -> Column:
-    return F.coalesce(*[F.when(entity.rlike(rf"\A(?:{p})\z"), F.lit(k)) for k, p in PATTERNS.items()], F.lit("phone"))
+    """The first kind whose pattern an entity matches; null for a number like a card's that lacks the check digit."""
+    kind = F.coalesce(*[F.when(entity.rlike(rf"\A(?:{p})\z"), F.lit(k)) for k, p in PATTERNS.items()], F.lit("phone"))
+    return F.when((kind != "card") | has_luhn(entity), kind)
 
 
 def stream_of(key: str, kind: Column, canon: Column, attempt: Column, length: Column) -> Column:
-    """Keyed hex digits, two for each character of a surrogate."""
+    """Keyed hex digits, four for each character of a surrogate, and for twelve at least."""
     blocks = F.transform(
-        F.sequence(F.lit(0), F.floor(length / 32).cast("int")),
+        F.sequence(F.lit(0), F.floor(length / 16).cast("int")),
         lambda b: F.sha2(F.concat_ws("\u0000", F.lit(key), kind, canon, attempt.cast("string"), b.cast("string")), 256),
     )
     return F.array_join(blocks, "")
 
 
 def number(stream: Column, at: Column) -> Column:
-    return F.conv(F.substr(stream, at * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    return F.conv(F.substr(stream, at * 4 + 1, F.lit(4)), 16, 10).cast("int")
 
 
 def pick(alphabet: str, n: Column) -> Column:
     return F.substr(F.lit(alphabet), n % len(alphabet) + 1, F.lit(1))
 
 
+def characters(raw: Column) -> Column:
+    return F.regexp_extract_all(raw, F.lit("(?s)."), F.lit(0))
+
+
+def place_of(raw: Column, i: Column) -> Column:
+    """How many letters and digits stand before the i-th character."""
+    return F.char_length(F.regexp_replace(F.substr(raw, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
+
+
 def shaped(raw: Column, stream: Column, packed: bool) -> Column:
     """``raw`` with letters and digits replaced in kind: case, script and all other marks stay.
 
@@ -69,8 +112,7 @@ def shaped(raw: Column, stream: Column, packed: bool) -> Column:
     hexa = raw.rlike(r"\A(?:[0-9a-f]{8,}|[0-9A-F]{8,})\z")
 
     def one(c: Column, i: Column) -> Column:
-        at = F.char_length(F.regexp_replace(F.substr(raw, F.lit(1), i), r"[^\p{L}\p{N}]", "")) if packed else i
-        n = number(stream, at)
+        n = number(stream, place_of(raw, i) if packed else i)
         return (
             F.when(c.rlike(r"[0-9]"), (n % 10).cast("string"))
             .when(c.rlike(r"[a-z]"), F.when(hexa, pick("abcdef", n)).otherwise(pick(LOWER, n)))
@@ -82,34 +124,75 @@ def shaped(raw: Column, stream: Column, packed: bool) -> Column:
             .otherwise(c)
         )
 
-    return F.array_join(F.transform(F.regexp_extract_all(raw, F.lit("(?s)."), F.lit(0)), one), "")
+    return F.array_join(F.transform(characters(raw), one), "")
+
 
+def laid_out(compact: Column, raw: Column) -> Column:
+    """The letters and digits of ``compact`` in the places of those of ``raw``."""
+    put = lambda c, i: F.when(c.rlike(r"[\p{L}\p{N}]"), F.substr(compact, place_of(raw, i) + 1, F.lit(1))).otherwise(c)
+    return F.array_join(F.transform(characters(raw), put), "")
 
-def invented(kind: Column, raw: Column, stream: Column) -> Column:
+
+def card_number(raw: Column, stream: Column) -> Column:
+    """A number of the same length, first digit and format that has its check digit."""
+    old = digits_of(raw)
+    body = F.transform(F.slice(old, F.lit(1), F.size(old) - 1), lambda x, i: F.when(i == 0, x).otherwise(number(stream, i) % 10))
+    check = (10 - luhn_sum(F.array_append(body, F.lit(0))) % 10) % 10
+    return laid_out(F.array_join(F.transform(F.array_append(body, check), lambda x: x.cast("string")), ""), raw)
+
+
+def iban_number(raw: Column, stream: Column) -> Column:
+    """A number of the same country, shape and format that has its check digits."""
+    compact = F.regexp_replace(raw, r"[^\p{L}\p{N}]", "")
+    country, account = F.substr(compact, F.lit(1), F.lit(2)), shaped(F.substr(compact, F.lit(5)), stream, False)
+    values = F.transform(characters(F.concat(account, country, F.lit("00"))), lambda c: F.conv(c, 36, 10).cast("int"))
+    rest = F.aggregate(values, F.lit(0), lambda a, x: (F.when(x < 10, a * 10 + x).otherwise(a * 100 + x)) % 97)
+    return laid_out(F.concat(country, F.lpad((98 - rest).cast("string"), 2, "0"), account), raw)
+
+
+def ipv6(raw: Column, stream: Column) -> Column:
+    """Groups of as many hexadecimal digits, a gap where ``raw`` has one."""
+    lower = F.transform(characters(raw), lambda c, i: F.when(c == ":", c).otherwise(pick("123456789abcdef", number(stream, i))))
+    text = F.array_join(lower, "")
+    return F.when(raw == F.upper(raw), F.upper(text)).otherwise(text)
+
+
+def invented(kind: Column, raw: Column, stream: Column, attempt: Column) -> Column:
     """A name of syllables: script and capitals of ``raw``; its ending tells the gender."""
 
-    def of(syllables: list[str], endings: tuple[str, str, str]) -> Column:
-        part = [F.get(F.array(*map(F.lit, syllables)), number(stream, F.lit(k)) % len(syllables)) for k in range(4)]
-        end = F.when(kind == "given:f", endings[0]).when(kind == "given:m", endings[1]).otherwise(endings[2])
-        return F.concat(part[0], part[1], F.when(kind == "family", F.concat(part[2], part[3])).otherwise(part[2]), end)
+    def of(onsets: list[str], vowels: list[str], codas: list[str], endings: tuple[str, str]) -> Column:
+        def one(n: Column) -> Column:
+            return F.concat(*[F.get(F.array(*map(F.lit, x)), (n / step).cast("int") % len(x)) for x, step in ((onsets, 1), (vowels, 16), (codas, 128))])
 
-    name = F.when(raw.rlike(r"\p{IsCyrillic}"), of(CYRILLIC_SYLLABLES, ("на", "н", ""))).otherwise(of(SYLLABLES, ("na", "n", "")))
+        length = F.when(kind == "family", 3).otherwise(2) + (attempt / LENGTHEN).cast("int")
+        body = F.array_join(F.transform(F.sequence(F.lit(0), length - 1), lambda k: one(number(stream, k))), "")
+        return F.concat(body, F.when(kind == "given:f", endings[0]).when(kind == "given:m", endings[1]).otherwise(""))
+
+    latin = of(ONSETS, VOWELS, CODAS, ("na", "n"))
+    name = F.when(raw.rlike(r"\p{IsCyrillic}"), of(CYRILLIC_ONSETS, CYRILLIC_VOWELS, CYRILLIC_CODAS, ("на", "н"))).otherwise(latin)
     return F.when(raw == F.upper(raw), F.upper(name)).otherwise(F.initcap(name))
 
 
 def unit_surrogate(key: str, kind: Column, canon: Column, raw: Column, attempt: Column) -> Column:
-    """Surrogate of one unit (a name, an address, a number …) in the format of ``raw``."""
-    stream = stream_of(key, kind, canon, attempt, F.char_length(raw))
-    octets = F.concat_ws(".", (number(stream, F.lit(0)) % 15 + 240).cast("string"), *[number(stream, F.lit(k)).cast("string") for k in (1, 2, 3)])
+    """Surrogate of one unit (a name, an address, a number …) in the format of ``raw``.
+
+    Names get longer with the attempts, other units short of values a suffix.
+    """
+    stream = stream_of(key, kind, canon, attempt, F.greatest(F.char_length(raw), F.lit(48)))
+    octets = F.concat_ws(".", (number(stream, F.lit(0)) % 15 + 240).cast("string"), *[(number(stream, F.lit(k)) % 256).cast("string") for k in (1, 2, 3)])
     head = F.regexp_extract(raw, r"\A(.*)\.", 1)
     plain = (
-        F.when(kind.isin("family", "given:f", "given:m"), invented(kind, raw, stream))
+        F.when(kind.isin(*PERSON), invented(kind, raw, stream, attempt))
         .when((kind == "ip") & F.contains(raw, F.lit(".")), octets)
+        .when(kind == "ip", ipv6(raw, stream))
         .when(kind == "domain", F.concat(shaped(head, stream, False), F.lit(".example")))
-        .when(kind.isin("iban", "ssn", "card", "phone"), shaped(raw, stream, True))
+        .when(kind == "card", card_number(raw, stream))
+        .when(kind == "iban", iban_number(raw, stream))
+        .when(kind.isin("ssn", "phone"), shaped(raw, stream, True))
         .otherwise(shaped(raw, stream, False))
     )
-    return F.when(attempt < LENGTHEN, plain).otherwise(F.concat(plain, pick(LOWER, number(stream, F.lit(0))), attempt.cast("string")))
+    suffix = F.concat(pick(LOWER, number(stream, F.lit(0))), attempt.cast("string"))
+    return F.when((attempt < 3 * LENGTHEN) | kind.isin(*PERSON), plain).otherwise(F.concat(plain, suffix))
 
 
 def canonical(kind: Column, raw: Column) -> Column:
@@ -136,8 +219,8 @@ def pieces(entity: Column) -> Column:
     secret = F.array(part(keep, opening, opening), part(F.lit("secret"), F.substr(entity, F.char_length(opening) + 1)))
     country = F.regexp_extract(entity, r"\A(\+\d{1,3})[ .(-]", 1)
     phone = F.array(part(keep, country, country), part(F.lit("phone"), F.substr(entity, F.char_length(country) + 1)))
-    title = F.regexp_extract(entity, rf"\A((?:{FEMALE}|{MALE})\.? )", 1)
-    gender = F.when(title.rlike(rf"\A(?:{FEMALE})\.? \z"), "given:f").otherwise("given:m")
+    title = F.regexp_extract(entity, rf"\A({TITLE})", 1)
+    gender = F.when(title.rlike(rf"\A(?:{FEMALE})\.? \z"), "given:f").when(title.rlike(rf"\A(?:{MALE})\.? \z"), "given:m").otherwise("given")
     names = F.split(F.substr(entity, F.char_length(title) + 1), " ")
     person = F.concat(
         F.array(part(keep, title, title)),
@@ -150,11 +233,15 @@ def pieces(entity: Column) -> Column:
             )
         ),
     )
-    return F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "person", person).otherwise(F.array(part(kind, entity)))
+    whole = F.when(kind.isNull(), F.array(part(keep, entity, entity))).otherwise(F.array(part(kind, entity)))
+    return F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "person", person).otherwise(whole)
 
 
 def settled(units: DataFrame, key: str) -> DataFrame:
-    """``units(kind, canon)`` with the attempt whose surrogate is distinct in its kind and no real unit."""
+    """``units(kind, canon)`` with the attempt whose surrogate is distinct in its kind and no real unit (a name no real name of any kind)."""
+
+    def named(kind: str) -> Column:
+        return F.when(F.col(kind).isin(*PERSON), "name").otherwise(F.col(kind)).alias("kind")
 
     def tried(df: DataFrame) -> DataFrame:
         return staged(df.withColumn("surrogate", unit_surrogate(key, F.col("kind"), F.col("canon"), F.col("canon"), F.col("attempt"))), "surrogates")
@@ -163,8 +250,9 @@ def settled(units: DataFrame, key: str) -> DataFrame:
     while True:
         first = now.groupBy("kind", "surrogate").agg(F.min(F.struct("attempt", "canon")).alias("w"), F.count("*").alias("n")).where("n > 1")
         late = now.join(first, ["kind", "surrogate"]).where("canon <> w.canon").select("kind", "canon")
-        real = units.select("kind", F.lower("canon").alias("surrogate")).distinct()
-        same = now.withColumn("surrogate", F.lower("surrogate")).join(real, ["kind", "surrogate"], "left_semi").select("kind", "canon")
+        real = units.select(named("kind"), F.lower("canon").alias("surrogate")).distinct()
+        same = now.select("kind", "canon", named("kind").alias("as"), F.lower("surrogate").alias("surrogate")).join(real.withColumnRenamed("kind", "as"), ["as", "surrogate"], "left_semi")
+        same = same.select("kind", "canon")
         again = staged(late.union(same).distinct().withColumn("again", F.lit(1)), "again")
         if again.isEmpty():
             return now
@@ -173,13 +261,24 @@ def settled(units: DataFrame, key: str) -> DataFrame:
         )
 
 
+def renamed(part: Column, names: Column) -> Column:
+    """The text between entities cut at mentions of ``names(raw, new)``, each mention given its new name."""
+    longest = F.array_sort(F.transform(names, lambda n: F.struct((-F.char_length(n["raw"])).alias("size"), n["raw"].alias("raw"))))
+    pattern = F.concat(F.lit(rf"{L}(?:"), F.array_join(F.transform(longest, lambda n: F.concat(F.lit(r"\Q"), n["raw"], F.lit(r"\E"))), "|"), F.lit(rf"){R}"))
+    new = F.transform(F.regexp_extract_all(part, pattern, F.lit(0)), lambda m: F.get(F.filter(names, lambda n: n["raw"] == m), F.lit(0))["new"])
+    return F.filter(F.flatten(F.zip_with(F.split(part, pattern, -1), new, lambda a, b: F.array(a, b))), lambda x: x.isNotNull())
+
+
 def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its text rewritten, and n_entities and entity_kinds (sorted, comma-joined).
 
     Detected entities (PATTERNS) get keyed surrogates of the same kind and format: letters stay
     letters of their case and script, digits digits, names keep script, capitals and the gender
-    their title tells, mail domains end in .example, IPv4 addresses fall in 240.0.0.0/4. The same
-    entity gets the same surrogate in all texts and formats (coreference). The distinct units of
+    their title tells, card numbers their first digit and IBANs their country, both with valid check
+    digits, mail domains end in .example, IPv4 addresses fall in 240.0.0.0/4. The same
+    entity gets the same surrogate in all texts and formats (coreference). A person found by a
+    title is known by each name in the rest of that text too, title or not; such mentions count as
+    entities. Numbers like a card's without its check digit are left alone. The distinct units of
     the corpus are checked: where two would share a surrogate, or one equals a real unit, the later
     tries again until all are distinct; only those few are joined back to their documents. Texts
     move only then; else everything is row by row.
@@ -190,8 +289,9 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     """
     text = text_of(text_col)
     hint = text.rlike(HINT)
-    units_of = F.filter(F.flatten(F.transform(found(text), pieces)), lambda u: u["kind"].isNotNull())
-    seen = docs.where(hint).select(F.col(id_col).alias("vl_id"), F.xxhash64(text).alias("vl_hash"), F.explode(units_of).alias("u"))
+    seen = docs.where(hint).select(F.col(id_col).alias("vl_id"), F.xxhash64(text).alias("vl_hash"), parts_of(text).alias("parts")).where(F.size("parts") > 1)
+    units_of = F.filter(F.flatten(F.transform(entities_of(F.col("parts")), pieces)), lambda u: u["kind"].isNotNull())
+    seen = seen.select("vl_id", "vl_hash", F.explode(units_of).alias("u"))
     units = staged(seen.select("u.kind", "u.canon").distinct(), "units")
     retried = staged(settled(units, key).where("attempt > 0").select("kind", "canon", "attempt"), "retried")
     name = F.concat_ws("\u0000", F.col("kind"), F.col("canon"))
@@ -210,18 +310,26 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
             attempt = F.coalesce(F.try_element_at(F.col("vl_attempts"), F.concat_ws("\u0000", u["kind"], u["canon"])), F.lit(0))
         return F.when(u["kind"].isNull(), u["raw"]).otherwise(unit_surrogate(key, u["kind"], u["canon"], u["raw"], attempt))
 
-    new = F.transform(found(text), lambda e: F.array_join(F.transform(pieces(e), written), ""))
-    rest = F.split(text, ANY, -1)
-    whole = F.array_join(F.zip_with(rest, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    kinds = F.transform(found(text), kind_of)
-    none = F.array().cast("array<string>")
-    out = tried.withColumn("vl_kinds", F.when(hint, kinds).otherwise(none)).withColumn(
-        text_col, F.when(F.col(text_col).isNotNull(), F.when(F.size("vl_kinds") > 0, whole).otherwise(text))
-    )
-    return out.select(
-        *[c for c in docs.columns if c not in ("n_entities", "entity_kinds")],
-        F.size("vl_kinds").cast("long").alias("n_entities"),
-        F.array_join(F.array_sort(F.array_distinct("vl_kinds")), ",").alias("entity_kinds"),
+    own = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
+    others = [c for c in tried.columns if c not in ("n_entities", "entity_kinds")]
+    cut = tried.select(*others, F.when(hint, parts_of(text)).alias("vl_parts"))
+    cut = cut.withColumn("vl_parts", F.when(F.size("vl_parts") > 1, F.col("vl_parts")))
+    entity = F.transform(entities_of(F.col("vl_parts")), lambda e: F.struct(kind_of(e).alias("kind"), pieces(e).alias("pieces")))
+    told = cut.withColumn("vl_entities", entity)
+    people = F.filter(F.flatten(F.col("vl_entities.pieces")), lambda u: u["kind"].isin(*PERSON))
+    told = told.withColumn("vl_names", F.array_distinct(F.transform(people, lambda u: F.struct(u["raw"].alias("raw"), written(u).alias("new")))))
+    new = F.transform("vl_entities", lambda e: F.array_join(F.transform(e["pieces"], written), ""))
+    rest = F.filter("vl_parts", lambda x, i: i % 2 == 0)
+    rest = F.transform(rest, lambda x: F.when(F.size("vl_names") > 0, renamed(x, F.col("vl_names"))).otherwise(F.array(x)))
+    told = told.withColumns({"vl_new": new, "vl_rest": rest})
+    mentions = F.aggregate("vl_rest", F.lit(0), lambda a, x: a + (F.size(x) / 2).cast("int"))
+    joined = F.zip_with("vl_rest", "vl_new", lambda a, b: F.concat(F.array_join(a, ""), F.coalesce(b, F.lit(""))))
+    whole = F.when(F.col("vl_parts").isNotNull(), F.array_join(joined, "")).otherwise(F.col(text_col).cast("string"))
+    kinds = F.coalesce(F.array_compact(F.col("vl_entities.kind")), F.array().cast("array<string>"))
+    return told.select(
+        *[whole.alias(c) if c == text_col else F.col(c) for c in own],
+        (F.size(kinds) + F.coalesce(mentions, F.lit(0))).cast("long").alias("n_entities"),
+        F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("entity_kinds"),
     )
 
 
