@@ -78,6 +78,18 @@ def counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
+def plain_verdict(text):
+    """Ratio, share of bad chunks and verdict of a text, without the operator's code."""
+    n, raw = counts(text), text.encode()
+    ratio_of = lambda x: len(x) / len(zstandard.ZstdCompressor(level=3).compress(x))
+    least, most = [x[1:] for x in quality.LIMITS if x[0] is None or len(raw) < x[0]][0]
+    starts = [k * 1024 for k in range(len(raw) // 1024)] + ([len(raw) - 1024] if len(raw) > 1024 and len(raw) % 1024 else [])
+    bad = [not 1.6 <= ratio_of(raw[k : k + 1024]) <= 2.6 for k in starts]
+    share = sum(bad) / len(bad) if bad else 0.0
+    failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
+    return ratio_of(raw), share, not failed and least <= ratio_of(raw) <= most and share <= 0.3
+
+
 def test_quality(odd_docs, documents):
     for docs in (odd_docs, documents):
         found = {(r["doc_id"], r["n_words"]): r for r in quality.quality(docs).collect()}
@@ -86,9 +98,7 @@ def test_quality(odd_docs, documents):
             r = found[i, n[0]]
             failed = n[0] < 50 or 100 * n[4] > 50 * n[0]
             assert (*n, failed) == tuple(r)[1:7]
-            raw = (t or "").encode()
-            assert r["ratio"] == len(raw) / len(zstandard.ZstdCompressor(level=3).compress(raw))
-            assert not (failed and r["kept"])
+            assert (r["ratio"], r["bad_share"], r["kept"]) == plain_verdict(t or "")
 
 
 def test_quality_bands_reject_repetition_and_noise(spark):
@@ -100,9 +110,9 @@ def test_quality_bands_reject_repetition_and_noise(spark):
     again = "\n".join(f"{k} {block[:40]} {k * k}" for k in range(900))
     half = prose + " " + noisy
     docs = spark.createDataFrame([(1, noisy), (2, prose), (3, again), (4, half)], "doc_id long, text string")
-    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs, bands=quality.BANDS).collect()}
     assert kept == {1: False, 2: True, 3: False, 4: False}
-    assert [r["doc_id"] for r in quality.keep_good(docs).collect()] == [2]
+    assert [r["doc_id"] for r in quality.keep_good(docs, bands=quality.BANDS).collect()] == [2]
 
 
 def test_quality_measures_every_byte(spark):
@@ -110,7 +120,7 @@ def test_quality_measures_every_byte(spark):
     noise = base64.b64encode(rng.randbytes(6000)).decode()
     prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(3000))
     rows = [(1, prose[:3000] + noise[:5000]), (2, prose[:8200] + noise[:4000]), (3, prose[:1200] + noise[:900]), (4, prose[:3000]), (5, prose[:12_200])]
-    found = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {r["doc_id"]: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string"), bands=quality.BANDS).collect()}
     assert [found[k]["kept"] for k in range(1, 6)] == [False, False, False, True, True]
     assert all(found[k]["bad_share"] > 0.3 for k in (1, 2, 3)) and not found[4]["bad_share"] and not found[5]["bad_share"]
     for n in (1024, 1025, 2047, 5000):
@@ -120,12 +130,11 @@ def test_quality_measures_every_byte(spark):
 
 def test_quality_limits_tell_labelled_junk(spark):
     read = lambda sf, name: spark.read.parquet(f"/root/testdata/{sf}/{name}.parquet")
-    found = quality.limits_of(read("sf0.1", "documents"), read("sf0.1", "labels"))
-    assert tuple(x[:3] for x in found) == quality.LIMITS[1:8] and sum(x[3] for x in found) == 3243
+    assert tuple(quality.limits_of(read("sf0.1", "documents"), read("sf0.1", "labels"))) == quality.LIMITS
     labels = {r["doc_id"]: r["quality"] for r in read("sf0.01", "labels").collect()}
     rows = [r for r in queries.op2_quality(spark, "/root/testdata/sf0.01").collect() if not r["base_failed"]]
     clean, junk = ([r["kept"] for r in rows if labels.get(r["doc_id"]) == k] for k in (1, 0))
-    assert sum(clean) >= 0.95 * len(clean) and len(junk) > 20 and sum(junk) <= 0.35 * len(junk)
+    assert sum(clean) >= 0.99 * len(clean) and len(junk) > 20 and sum(junk) <= 0.4 * len(junk)
 
 
 # licences

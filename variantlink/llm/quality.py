@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 
 #: (bytes below, least and most raw/compressed ratio); prose of many languages lies well inside.
 BANDS = ((256, 0.5, 2.8), (1024, 1.05, 3.2), (4096, 1.25, 3.8), (16384, 1.35, 4.5), (65536, 1.4, 5.0), (None, 1.4, 6.0))
-#: Limits of a corpus like the given one, by powers of two in length: from 256 to 32,768 bytes the 0.5 % and
-#: 99.5 % quantiles of the 3,243 clean texts of sf0.1 (see limits_of); the sample has no clean text of other
-#: lengths, so limits stay wide there. They hold for prose like the sample's, in Latin script.
+#: Lengths, two to the octave, at which limits change.
+EDGES = [math.ceil(2 ** (k / 2)) for k in range(16, 34)]
+#: Limits of a corpus like the given one, from the 3,243 clean texts of sf0.1 (limits_of gives them). Lengths of which
+#: the sample has too few keep the wide bands. They hold for prose like the sample's, in Latin script.
 LIMITS = (
-    (256, 0.5, 2.8), (512, 1.41, 1.83), (1024, 1.49, 1.94), (2048, 1.77, 2.08), (4096, 1.95, 2.21), (8192, 2.12, 2.33),
-    (16384, 2.22, 2.41), (32768, 2.33, 2.48), (65536, 1.4, 5.0), (None, 1.4, 6.0),
+    (256, 0.5, 2.8), (363, 1.34, 1.7), (512, 1.37, 1.88), (725, 1.43, 1.91), (1024, 1.55, 2.01), (1449, 1.68, 2.08), (2048, 1.8, 2.19),
+    (2897, 1.88, 2.2), (4096, 1.96, 2.26), (5793, 2.08, 2.33), (8192, 2.1, 2.38), (11586, 2.18, 2.42), (16384, 2.22, 2.45),
+    (23171, 1.4, 5.0), (32768, 1.4, 5.0), (46341, 1.4, 5.0), (65536, 1.4, 5.0), (92682, 1.4, 6.0), (None, 1.4, 6.0),
 )
 #: Fixed chunks of a text, their band, and the share of chunks outside it that rejects the text.
 #: Clean texts of sf0.1 have chunk ratios of 1.66 to 2.01, base64 text about 1.3.
@@ -56,7 +59,7 @@ def chunks(raw: bytes) -> list[bytes]:
     return [raw[i : i + CHUNK_BYTES] for i in starts]
 
 
-def measured(batches: Iterator[pa.RecordBatch], bands=BANDS) -> Iterator[pa.RecordBatch]:
+def measured(batches: Iterator[pa.RecordBatch], bands=LIMITS) -> Iterator[pa.RecordBatch]:
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=LEVEL).compress
@@ -82,7 +85,7 @@ def measured(batches: Iterator[pa.RecordBatch], bands=BANDS) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v) for v in out.values())], [batch.schema.names[0], *out])
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands=BANDS) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands=LIMITS) -> DataFrame:
     """One row per row of ``docs``: id, counts, base_failed, ratio, bad_share, kept. No shuffle.
 
     ratio is raw size over zstd size of the whole text, held against the band for its length in ``bands``;
@@ -98,29 +101,31 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ban
     )
 
 
-def limits_of(docs: DataFrame, labels: DataFrame) -> list[tuple[int, float, float, int]]:
-    """(bytes below, least, most, texts): ratio quantiles of clean texts by length, in one aggregation.
+def limits_of(docs: DataFrame, labels: DataFrame, least_texts: int = 20, margin: float = 0.04) -> list[tuple[int | None, float, float]]:
+    """Bands for a corpus: least and most ratio of its clean texts by length, in one aggregation.
 
     docs(doc_id, text), labels(doc_id, quality). Clean are texts labelled 1 that pass the base
-    rule; least and most are their 0.5 % and 99.5 % quantiles, exact, rounded outward to 0.01.
+    rule; the sample's bound is the number of labels. Limits are widened by ``margin`` and rounded to
+    0.01; lengths of fewer than ``least_texts`` clean texts keep the wide BANDS.
     """
     size = F.octet_length("text")
-    below = F.when(size < 512, 512).otherwise(F.pow(F.lit(2), F.length(F.bin(size))).cast("int"))
+    below = F.coalesce(*[F.when(size < e, F.lit(e)) for e in EDGES])
     sized = docs.select("doc_id", below.alias("below")).join(labels.where("quality = 1"), "doc_id", "left_semi")
-    clean = quality(docs.select("doc_id", "text")).where("not base_failed").join(sized, "doc_id")
-    least, most = (F.percentile("ratio", F.lit(q)) for q in (0.005, 0.995))
-    rows = clean.groupBy("below").agg((F.floor(least * 100) / 100).alias("least"), (F.ceil(most * 100) / 100).alias("most"), F.count("*").alias("n"))
-    return [(r["below"], float(r["least"]), float(r["most"]), r["n"]) for r in rows.orderBy("below").collect()]
+    clean = quality(docs.select("doc_id", "text"), bands=BANDS).where("not base_failed").join(sized, "doc_id").where("below is not null")
+    rows = clean.groupBy("below").agg(F.min("ratio").alias("least"), F.max("ratio").alias("most"), F.count("*").alias("n")).collect()
+    known = {r["below"]: (round(r["least"] - margin, 2), round(r["most"] + margin, 2)) for r in rows if r["n"] >= least_texts}
+    wide = lambda e: next(x[1:] for x in BANDS if x[0] is None or e <= x[0])
+    return [(e, *known.get(e, wide(e))) for e in EDGES] + [(None, *BANDS[-1][1:])]
 
 
-def kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def kept_rows(batches: Iterator[pa.RecordBatch], bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.names.index("vl_text")
-        verdict = next(iter(measured(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(at)], ["_id", "vl_text"])]))))
+        verdict = next(iter(measured(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(at)], ["_id", "vl_text"])]), bands)))
         names = batch.schema.names[:at]
         yield pa.RecordBatch.from_arrays([batch.column(k) for k in range(at)], names).filter(verdict.column("kept"))
 
 
-def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", bands=LIMITS) -> DataFrame:
     """The rows of ``docs`` that quality() keeps, with all their columns, in one pass and no join."""
-    return docs.withColumn("vl_text", docs[text_col].cast("string")).mapInArrow(kept_rows, docs.schema)
+    return docs.withColumn("vl_text", docs[text_col].cast("string")).mapInArrow(partial(kept_rows, bands=bands), docs.schema)
