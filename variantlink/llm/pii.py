@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +88,11 @@ def stream_of(key: str, kind: Column, canon: Column, attempt: Column, length: Co
     return F.array_join(blocks, "")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def number(stream: Column, at: Column) -> Column:
     return F.conv(F.substr(stream, at * 4 + 1, F.lit(4)), 16, 10).cast("int")
 
@@ -178,21 +185,24 @@ def unit_surrogate(key: str, kind: Column, canon: Column, raw: Column, attempt:
 
     Names get longer with the attempts, other units short of values a suffix.
     """
-    stream = stream_of(key, kind, canon, attempt, F.greatest(F.char_length(raw), F.lit(48)))
-    octets = F.concat_ws(".", (number(stream, F.lit(0)) % 15 + 240).cast("string"), *[(number(stream, F.lit(k)) % 256).cast("string") for k in (1, 2, 3)])
     head = F.regexp_extract(raw, r"\A(.*)\.", 1)
-    plain = (
-        F.when(kind.isin(*PERSON), invented(kind, raw, stream, attempt))
-        .when((kind == "ip") & F.contains(raw, F.lit(".")), octets)
-        .when(kind == "ip", ipv6(raw, stream))
-        .when(kind == "domain", F.concat(shaped(head, stream, False), F.lit(".example")))
-        .when(kind == "card", card_number(raw, stream))
-        .when(kind == "iban", iban_number(raw, stream))
-        .when(kind.isin("ssn", "phone"), shaped(raw, stream, True))
-        .otherwise(shaped(raw, stream, False))
-    )
-    suffix = F.concat(pick(LOWER, number(stream, F.lit(0))), attempt.cast("string"))
-    return F.when((attempt < 3 * LENGTHEN) | kind.isin(*PERSON), plain).otherwise(F.concat(plain, suffix))
+
+    def made(stream: Column) -> Column:
+        octets = F.concat_ws(".", (number(stream, F.lit(0)) % 15 + 240).cast("string"), *[(number(stream, F.lit(k)) % 256).cast("string") for k in (1, 2, 3)])
+        plain = (
+            F.when(kind.isin(*PERSON), invented(kind, raw, stream, attempt))
+            .when((kind == "ip") & F.contains(raw, F.lit(".")), octets)
+            .when(kind == "ip", ipv6(raw, stream))
+            .when(kind == "domain", F.concat(shaped(head, stream, False), F.lit(".example")))
+            .when(kind == "card", card_number(raw, stream))
+            .when(kind == "iban", iban_number(raw, stream))
+            .when(kind.isin("ssn", "phone"), shaped(raw, stream, True))
+            .otherwise(shaped(raw, stream, False))
+        )
+        suffix = F.concat(pick(LOWER, number(stream, F.lit(0))), attempt.cast("string"))
+        return F.when((attempt < 3 * LENGTHEN) | kind.isin(*PERSON), plain).otherwise(F.concat(plain, suffix))
+
+    return bound(stream_of(key, kind, canon, attempt, F.greatest(F.char_length(raw), F.lit(48))), made)
 
 
 def canonical(kind: Column, raw: Column) -> Column:
@@ -253,12 +263,11 @@ def settled(units: DataFrame, key: str) -> DataFrame:
         real = units.select(named("kind"), F.lower("canon").alias("surrogate")).distinct()
         same = now.select("kind", "canon", named("kind").alias("as"), F.lower("surrogate").alias("surrogate")).join(real.withColumnRenamed("kind", "as"), ["as", "surrogate"], "left_semi")
         same = same.select("kind", "canon")
-        again = staged(late.union(same).distinct().withColumn("again", F.lit(1)), "again")
+        again = staged(late.union(same).distinct(), "again")
         if again.isEmpty():
             return now
-        now = tried(
-            now.join(again, ["kind", "canon"], "left").select("kind", "canon", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt"))
-        )
+        more = tried(now.join(again, ["kind", "canon"], "left_semi").select("kind", "canon", (F.col("attempt") + 1).alias("attempt")))
+        now = staged(now.join(again, ["kind", "canon"], "left_anti").select(*more.columns).unionByName(more), "surrogates")
 
 
 def renamed(part: Column, names: Column) -> Column:
@@ -280,8 +289,9 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     title is known by each name in the rest of that text too, title or not; such mentions count as
     entities. Numbers like a card's without its check digit are left alone. The distinct units of
     the corpus are checked: where two would share a surrogate, or one equals a real unit, the later
-    tries again until all are distinct; only those few are joined back to their documents. Texts
-    move only then; else everything is row by row.
+    tries again until all are distinct; only those few are joined back to their documents. Each text is cut
+    once and written with its entities apart; no other text moves, and of those with entities only
+    where a unit tried again.
 
     Null text stays null, with no entities; other columns are kept as they are (earlier ones named
     n_entities or entity_kinds are replaced). Repeated rows get
@@ -289,20 +299,20 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     """
     text = text_of(text_col)
     hint = text.rlike(HINT)
-    seen = docs.where(hint).select(F.col(id_col).alias("vl_id"), F.xxhash64(text).alias("vl_hash"), parts_of(text).alias("parts")).where(F.size("parts") > 1)
-    units_of = F.filter(F.flatten(F.transform(entities_of(F.col("parts")), pieces)), lambda u: u["kind"].isNotNull())
-    seen = seen.select("vl_id", "vl_hash", F.explode(units_of).alias("u"))
-    units = staged(seen.select("u.kind", "u.canon").distinct(), "units")
+    cut = docs.select(*[c for c in docs.columns if c not in ("n_entities", "entity_kinds")], F.when(hint, parts_of(text)).alias("vl_parts"))
+    cut = cut.withColumn("vl_parts", F.when(F.size("vl_parts") > 1, F.col("vl_parts"))).withColumn("vl_row", F.monotonically_increasing_id())
+    cut = staged(cut.withColumn(text_col, F.when(F.col("vl_parts").isNull(), F.col(text_col).cast("string"))), "cut-texts")
+    own = [c for c in cut.columns if c not in ("vl_parts", "vl_row")]
+    marked = cut.where(F.col("vl_parts").isNotNull())
+    units_of = F.filter(F.flatten(F.transform(entities_of(F.col("vl_parts")), pieces)), lambda u: u["kind"].isNotNull())
+    seen = marked.select("vl_row", F.explode(units_of).alias("u")).select("vl_row", "u.kind", "u.canon").distinct()
+    units = staged(seen.select("kind", "canon").distinct(), "units")
     retried = staged(settled(units, key).where("attempt > 0").select("kind", "canon", "attempt"), "retried")
     name = F.concat_ws("\u0000", F.col("kind"), F.col("canon"))
-    if retried.isEmpty():
-        tried, base = docs, None
-    else:
-        base = (
-            seen.select("vl_id", "vl_hash", "u.kind", "u.canon").distinct().join(retried, ["kind", "canon"]).groupBy("vl_id", "vl_hash")
-            .agg(F.map_from_entries(F.collect_list(F.struct(name, "attempt"))).alias("vl_attempts"))
-        )
-        tried = docs.join(base, docs[id_col].eqNullSafe(F.col("vl_id")) & (F.xxhash64(text) == F.col("vl_hash")), "left").drop("vl_id", "vl_hash")
+    base = None if retried.isEmpty() else seen.join(retried, ["kind", "canon"]).groupBy("vl_row")
+    if base is not None:
+        base = staged(base.agg(F.map_from_entries(F.collect_list(F.struct(name, "attempt"))).alias("vl_attempts")), "attempts")
+        marked = marked.join(base, "vl_row", "left")
 
     def written(u: Column) -> Column:
         attempt = F.lit(0)
@@ -310,12 +320,8 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
             attempt = F.coalesce(F.try_element_at(F.col("vl_attempts"), F.concat_ws("\u0000", u["kind"], u["canon"])), F.lit(0))
         return F.when(u["kind"].isNull(), u["raw"]).otherwise(unit_surrogate(key, u["kind"], u["canon"], u["raw"], attempt))
 
-    own = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
-    others = [c for c in tried.columns if c not in ("n_entities", "entity_kinds")]
-    cut = tried.select(*others, F.when(hint, parts_of(text)).alias("vl_parts"))
-    cut = cut.withColumn("vl_parts", F.when(F.size("vl_parts") > 1, F.col("vl_parts")))
     entity = F.transform(entities_of(F.col("vl_parts")), lambda e: F.struct(kind_of(e).alias("kind"), pieces(e).alias("pieces")))
-    told = cut.withColumn("vl_entities", entity)
+    told = marked.withColumn("vl_entities", entity)
     people = F.filter(F.flatten(F.col("vl_entities.pieces")), lambda u: u["kind"].isin(*PERSON))
     told = told.withColumn("vl_names", F.array_distinct(F.transform(people, lambda u: F.struct(u["raw"].alias("raw"), written(u).alias("new")))))
     new = F.transform("vl_entities", lambda e: F.array_join(F.transform(e["pieces"], written), ""))
@@ -324,13 +330,14 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     told = told.withColumns({"vl_new": new, "vl_rest": rest})
     mentions = F.aggregate("vl_rest", F.lit(0), lambda a, x: a + (F.size(x) / 2).cast("int"))
     joined = F.zip_with("vl_rest", "vl_new", lambda a, b: F.concat(F.array_join(a, ""), F.coalesce(b, F.lit(""))))
-    whole = F.when(F.col("vl_parts").isNotNull(), F.array_join(joined, "")).otherwise(F.col(text_col).cast("string"))
-    kinds = F.coalesce(F.array_compact(F.col("vl_entities.kind")), F.array().cast("array<string>"))
-    return told.select(
-        *[whole.alias(c) if c == text_col else F.col(c) for c in own],
-        (F.size(kinds) + F.coalesce(mentions, F.lit(0))).cast("long").alias("n_entities"),
+    kinds = F.array_compact(F.col("vl_entities.kind"))
+    rewritten = told.select(
+        *[F.array_join(joined, "").alias(c) if c == text_col else F.col(c) for c in own],
+        (F.size(kinds) + mentions).cast("long").alias("n_entities"),
         F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("entity_kinds"),
     )
+    plain = cut.where(F.col("vl_parts").isNull()).select(*own, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_kinds"))
+    return plain.union(rewritten)
 
 
 def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
