@@ -167,8 +167,59 @@ def test_license_templates(spark):
     assert out[5]["labels"] == "gpl,gpl-2.0,gpl-3.0" and out[6]["n_base"] == 3000 and out[6]["last_word"] == 5998
 
 
+def plain_labels(text):
+    """Labels of the accepted templates by trying every start in the file: no index."""
+    words, found = re.findall(licenses.WORD, low(text)), set()
+    for label, key, wording in licenses.TEMPLATES:
+        own, keys = licenses.tokens_of(wording), licenses.key_places(key, wording)
+        for series in (0, licenses.WINDOW // 2):
+            first = -len(wording.split())
+            for w in range((first + series) // licenses.WINDOW, (len(words) + series) // licenses.WINDOW + 1):
+                starts = [w * licenses.WINDOW - series + k for k in range(licenses.WINDOW)]
+                at = lambda x, k, s: 0 <= s + k < len(words) and words[s + k] == x
+                n = sum(any(at(x, k, s) for s in starts) for x, k in own)
+                exact = any(all(at(x, k, s) for x, k in own if k in keys) for s in starts)
+                if exact and n >= licenses.ALIGNED * len(own):
+                    found.add((label, n / len(own)))
+    return found
+
+
+def test_license_index_against_every_start(spark, odd_docs):
+    rng = random.Random(9)
+    wordings = [text for _, _, text in licenses.TEMPLATES]
+    rows = []
+    for k in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            words = rng.choice(wordings).split()
+            for _ in range(rng.randrange(0, 1 + len(words) // 5)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(2)] = [rng.choice(["software", "x", "license", "the"])] * rng.randrange(2)
+            parts.append(" ".join(words))
+        rows.append((k, f" {rng.choice(['Copyright', 'and', '/* '])} ".join(parts)))
+    for docs in (spark.createDataFrame(rows, "doc_id long, text string"), odd_docs.where("doc_id not in (7, 8, 11)")):
+        out = Counter((r["doc_id"], r["labels"], round(r["score"], 9)) for r in licenses.license_scan(docs).collect())
+        want = Counter()
+        for i, t in texts_of(docs):
+            found, lowered = plain_labels(t or ""), " " + " ".join(re.findall(licenses.WORD, low(t))) + " "
+            base = {label for phrase, label in licenses.BASE.items() if f" {phrase} " in lowered}
+            want[i, ",".join(sorted(base | {x for x, _ in found})), round(1.0 if base else max((s for _, s in found), default=0.0), 9)] += 1
+        assert out == want
+    assert sum(bool(plain_labels(t)) for _, t in rows) > 40
+
+
+def test_license_short_forms(spark):
+    bsd2, bsd3 = (next(text for x, _, text in licenses.TEMPLATES if x == label) for label in ("bsd-2-clause", "bsd-3-clause"))
+    rows = [
+        "// SPDX-License-Identifier: MIT", "# SPDX-License-Identifier: GPL-3.0-or-later", "released as GPLv2 code", "SPDX-License-Identifier: Apache-2.0", bsd2, bsd3,
+        "Permission is hereby granted, and elsewhere free of charge: to any person obtaining a copy of this software and associated documentation files",
+    ]
+    out = {r["doc_id"]: r["labels"] for r in licenses.license_scan(spark.createDataFrame([*enumerate(rows)], "doc_id long, text string")).collect()}
+    assert [out[k] for k in range(7)] == ["mit", "gpl-3.0", "gpl-2.0", "apache-2.0", "bsd,bsd-2-clause", "bsd,bsd-3-clause", ""]
+
+
 def test_licenses_of_a_file_with_several(spark):
-    bsd, apache, mpl = ({x: text for x, _, text in licenses.TEMPLATES}[x] for x in ("bsd", "apache-2.0", "mpl-2.0"))
+    bsd, apache, mpl = (next(text for label, _, text in licenses.TEMPLATES if label == x) for x in ("bsd", "apache-2.0", "mpl-2.0"))
     free = next(text for _, key, text in licenses.TEMPLATES if key == "permission is hereby granted free of charge")
     rows = [(1, f"{bsd}. {apache}."), (2, f"{free}.\n{mpl}"), (3, "\n".join(text for _, _, text in licenses.TEMPLATES))]
     rows += [(k, f"{apache} {mpl} in an apache file under a license version 2 0 {k}") for k in range(4, 60)]  # words of apache are common, those of bsd rare

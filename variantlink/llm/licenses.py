@@ -14,13 +14,55 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases whose places are counted, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Fixed values: (label, mandatory key phrase, wording), in the words of the public licences.
+#: Words of public licences that several of them share.
+AS_IS = (
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+    "fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other "
+    "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+)
+BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+    "1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+    "2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation "
+    "and or other materials provided with the distribution"
+)
+BSD_DISCLAIMER = (
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any "
+    "direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use "
+    "data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or "
+    "otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"
+)
+GNU_NOTICE = (
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu {name} public license as published by the free software "
+    "foundation either version {version} of the license or at your option any later version this program is distributed in the hope that it will be useful but "
+    "without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu {name} public license for more details"
+)
+#: Fixed values: (label, mandatory key phrase, wording), in the words of the public licences: sentences, notices and whole licences.
 TEMPLATES = (
     ("agpl-3.0", "gnu affero general public license", "licensed under the terms of the gnu affero general public license version 3"),
+    ("agpl-3.0", "gnu affero general public license as published", GNU_NOTICE.format(name="affero general", version=3)),
     ("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0"),
+    (
+        "apache-2.0", "licensed under the apache license version 2 0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at "
+        "http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+        "basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
     ("artistic-2.0", "artistic license 2 0", "licensed under the terms of the artistic license 2 0"),
     ("bsd", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd-2-clause", "provided with the distribution this software", f"{BSD_CONDITIONS} {BSD_DISCLAIMER}"),
+    (
+        "bsd-3-clause", "contributors may be used to endorse or promote products",
+        f"{BSD_CONDITIONS} 3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        f"without specific prior written permission {BSD_DISCLAIMER}",
+    ),
     ("bsl-1.0", "boost software license", "distributed under the boost software license version 1 0"),
+    (
+        "bsl-1.0", "obtaining a copy of the software and accompanying documentation",
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software "
+        "to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so",
+    ),
     ("cc-by-4.0", "cc by 4 0", "licensed under cc by 4 0"),
     ("cc-by-4.0", "creative commons attribution 4 0", "licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc-4.0", "cc by nc 4 0", "licensed under cc by nc 4 0"),
@@ -28,117 +70,143 @@ TEMPLATES = (
     ("cc0-1.0", "cc0 1 0", "dedicated to the public domain under cc0 1 0 universal"),
     ("epl-2.0", "eclipse public license", "made available under the terms of the eclipse public license v 2 0"),
     ("gpl-2.0", "gnu general public license version 2", "licensed under the gnu general public license version 2"),
+    ("gpl-2.0", "foundation either version 2", GNU_NOTICE.format(name="general", version=2)),
     ("gpl-3.0", "gnu general public license version 3", "licensed under the gnu general public license version 3"),
+    ("gpl-3.0", "foundation either version 3", GNU_NOTICE.format(name="general", version=3)),
     ("isc", "with or without fee is hereby granted", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    (
+        "isc", "with or without fee is hereby granted",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission "
+        "notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability "
+        "and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits",
+    ),
     ("lgpl-3.0", "gnu lesser general public license", "licensed under the gnu lesser general public license version 3"),
     ("mit", "released under the mit license", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    (
+        "mit", "permission is hereby granted free of charge",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without "
+        "restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+        f"software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software {AS_IS}",
+    ),
     ("mpl-2.0", "mozilla public license", "subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
+    (
+        "unlicense", "free and unencumbered software",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form "
+        "or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
     ("zlib", "without any express or implied warranty", "this software is provided as is without any express or implied warranty"),
-)
+    (
+        "zlib", "misrepresented you must not claim",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is "
+        "granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin "
+        "of this software must not be misrepresented you must not claim that you wrote the original software",
+    ),
+)
+#: Identifiers after "SPDX-License-Identifier:", and short names that tell a licence by themselves.
+SPDX = ("agpl 3 0", "apache 2 0", "artistic 2 0", "bsd 2 clause", "bsd 3 clause", "bsl 1 0", "cc by 4 0", "cc by nc 4 0", "cc by sa 4 0", "cc0 1 0", "epl 2 0", "gpl 2 0", "gpl 3 0", "isc", "lgpl 2 1", "lgpl 3 0", "mit", "mpl 2 0", "unlicense", "zlib")
+SHORT = {"gpl-2.0": ("gplv2", "gpl v2"), "gpl-3.0": ("gplv3", "gpl v3"), "lgpl-3.0": ("lgplv3", "lgpl v3"), "agpl-3.0": ("agplv3", "agpl v3")}
+
+
+def label_of(words: str) -> str:
+    """The label of an identifier's words: a version of two numbers keeps its dot."""
+    numbers = [x for x in words.split() if x.isdigit()]
+    return "-".join([x for x in words.split() if not x.isdigit()] + [".".join(numbers)] * bool(numbers)) if len(numbers) != 1 else words.replace(" ", "-")
+
+
+TEMPLATES += tuple((label_of(x), f"spdx license identifier {x}", f"spdx license identifier {x}") for x in SPDX)
+TEMPLATES += tuple((label, x, x) for label, names in SHORT.items() for x in names)
 #: Function words are no licence words: they have next to no weight, and stand in every text.
-FUNCTION_WORDS = frozenset("a an and any are as at available be by for in into is it met of on or that the this to with without".split())
+FUNCTION_WORDS = frozenset("a an and any are as at available be by for if in into is it its met of on or such that the this to way will with you".split())
+
+#: Share of a template's words that must align, and the words that may stand between them in the file: half a window.
+ALIGNED, WINDOW = 0.7, 8
 
-#: Share of a template's words that must align.
-ALIGNED = 0.7
 
+def tokens_of(text: str) -> list[tuple[str, int]]:
+    """Licence words of a template and their places among all its words."""
+    return [(w, k) for k, w in enumerate(text.split()) if w not in FUNCTION_WORDS]
 
-def places(postings: Column, word: str | Column) -> Column:
-    """Positions of a word in the file; none if it isn't there."""
-    found = F.filter(postings, lambda p: p["word"] == (F.lit(word) if isinstance(word, str) else word))
-    return F.coalesce(F.get(found, 0)["at"], F.array().cast("array<int>"))
 
+def key_places(key: str, text: str) -> list[int]:
+    """Places of the key phrase's licence words in the template."""
+    words, own = text.split(), key.split()
+    at = next(k for k in range(len(words)) if words[k : k + len(own)] == own)
+    return [at + k for k, w in enumerate(own) if w not in FUNCTION_WORDS]
 
-def phrase_starts(postings: Column, phrase: str) -> Column:
-    """Where a phrase's words stand consecutively: its words' positions, shifted and intersected."""
-    first, *rest = phrase.split()
-    starts = places(postings, first)
-    for k, word in enumerate(rest, 1):
-        starts = F.array_intersect(starts, F.transform(places(postings, word), lambda x: x - k))  # noqa: B023
-    return starts
+
+def phrase_starts(hits: Column, phrase: str) -> Column:
+    """Where a phrase's words, licence words all, stand consecutively."""
+
+    def at(h: Column, i: Column) -> Column:
+        test = h["word"] == phrase.split()[0]
+        for k, word in enumerate(phrase.split()[1:], 1):
+            follower = F.get(hits, i + k)
+            test = test & F.coalesce((follower["word"] == word) & (follower["pos"] == h["pos"] + k), F.lit(False))
+        return F.when(test, h["pos"])
+
+    return F.array_compact(F.transform(hits, at))
+
+
+def proposed(hits: DataFrame, spark, templates, idf: dict[str, float]) -> DataFrame:
+    """``(r, t, label, share)``: templates that stand in a file, from ``hits(r, word, pos)``.
+
+    The index maps a word to its places in the templates. Of each template the words of highest IDF are
+    looked up, one more than may be out of line, so that an aligned template always has one among
+    them. The postings of templates proposed so are intersected by relative position: words whose position in
+    the file less that in the template falls in one window of WINDOW words (two series of windows, half a window
+    apart) count together. A template stands where ALIGNED of its words do, and its key phrase's words
+    stand at one relative position, exactly, in that window.
+    """
+    rows, lookups = [], []
+    for t, (label, key, text) in enumerate(templates):
+        own, keys = tokens_of(text), key_places(key, text)
+        rows += [(w, t, k, k in keys, len(keys), len(own), label) for w, k in own]
+        rarest = sorted(own, key=lambda x: (-idf[x[0]], x))[: len(own) - math.ceil(ALIGNED * len(own)) + 1]
+        lookups += {(w, t) for w, _ in rarest}
+    index = F.broadcast(spark.createDataFrame(rows, "word string, t int, k int, in_key boolean, n_key int, size int, label string"))
+    named = hits.join(F.broadcast(spark.createDataFrame(lookups, "word string, t int")), "word").select("r", "t").distinct()
+    start = (F.col("pos") - F.col("k")).alias("start")
+    aligned = hits.join(index, "word").join(named, ["r", "t"], "left_semi").select("r", "t", start, "k", "in_key", "n_key", "size", "label")
+    exact = aligned.groupBy("r", "t", "start", "n_key", "size", "label").agg(F.collect_list("k").alias("ks"), F.count_if("in_key").alias("keys"))
+    half = [F.struct(F.lit(s).alias("series"), F.floor((F.col("start") + s * WINDOW // 2) / WINDOW).alias("w")) for s in (0, 1)]
+    windows = exact.select("*", F.inline(F.array(*half))).groupBy("r", "t", "series", "w", "size", "label")
+    found = windows.agg(F.size(F.array_distinct(F.flatten(F.collect_list("ks")))).alias("n"), F.max(F.col("keys") == F.col("n_key")).alias("key"))
+    return found.where(F.col("key") & (F.col("n") >= ALIGNED * F.col("size"))).select("r", "label", (F.col("n") / F.col("size")).alias("share"))
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    A first pass over the texts writes each file's licence words with their positions and the key
-    phrases it holds. Document frequencies of the licence words (a fixed list, so the driver may
-    hold them) give their IDF over the whole corpus. Of each template whose key phrase the file holds,
-    the highest-IDF words are looked up in the file's postings, one more than may be out of line,
-    so that an aligned template always has one among them; each hit proposes the template at a
-    relative position, which stands if ALIGNED of the template's licence words have that relative
-    position in the file. No template takes another's place, in a file of any number of licences.
-    Everything but the frequencies is row by row, without a shuffle.
+    A first pass over the texts writes each file's licence words with their positions. Document
+    frequencies of these words (a fixed list, so the driver may hold them) give their IDF over the whole corpus.
+    Templates are then found by the positional index (see proposed), licence words alone moving;
+    a file may hold any number of licences.
 
     score is the best share of aligned words of an accepted template, 1 where a base phrase
     stands, else 0. Null and empty texts give no words, empty labels, score 0. Repeated rows give
     repeated results; an empty table gives an empty result.
     """
-    tokens = [[(w, k) for k, w in enumerate(text.split()) if w not in FUNCTION_WORDS] for _, _, text in templates]
-    base_words = {w for phrase in BASE for w in phrase.split()}
-    vocabulary = sorted(base_words | {w for own in tokens for w, _ in own})
-    keys = sorted({key for _, key, _ in templates})
-
-    words = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(ascii_lower(text_of(text_col)), F.lit(WORD), F.lit(0)).alias("words"))
-    found = words.withColumn("found", F.array_intersect("words", F.array(*map(F.lit, vocabulary))))
-    held = F.transform(
-        "found",
-        lambda w: F.struct(w.alias("word"), F.array_compact(F.transform("words", lambda x, k: F.when(x == w, k))).alias("at")),
-    )
-    line = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    phrases = F.when(
-        F.size("found") > 1, F.filter(F.array(*map(F.lit, keys)), lambda p: F.contains(line, F.concat(F.lit(" "), p, F.lit(" "))))
-    ).otherwise(F.array().cast("array<string>"))
-    files = staged(
-        found.select("id", F.size("words").cast("long").alias("n_words"), held.alias("postings"), phrases.alias("phrases")), "license-words"
+    vocabulary = sorted({w for phrase in BASE for w in phrase.split()} | {w for _, _, text in templates for w, _ in tokens_of(text)})
+    listed = F.split(F.lit(" ".join(vocabulary)), " ")
+    words = F.regexp_extract_all(ascii_lower(text_of(text_col)), F.lit(WORD), F.lit(0))
+    hits = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("pos"))), lambda h: h["word"].isin(vocabulary))
+    hits = F.when(F.arrays_overlap("words", listed), hits).otherwise(F.array().cast("array<struct<word:string,pos:int>>"))
+    files = docs.select(F.col(id_col).alias("id"), words.alias("words")).select(
+        "id", F.monotonically_increasing_id().alias("r"), F.size("words").cast("long").alias("n_words"), hits.alias("hits")
     )
-
+    files = staged(files, "license-words")
     total = files.count()
-    df = {r["word"]: r["n"] for r in files.select(F.explode("postings.word").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    df = {r["word"]: r["n"] for r in files.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     idf = {w: math.log((total + 1) / (df.get(w, 0) + 0.5)) for w in vocabulary}
-    template = F.array(
-        *[
-            F.struct(F.lit(label).alias("label"), F.array(*[F.struct(F.lit(w).alias("word"), F.lit(k).alias("k")) for w, k in own]).alias("tokens"))
-            for (label, _, _), own in zip(templates, tokens, strict=True)
-        ]
-    )
-    rarest = [sorted(own, key=lambda x: (-idf[x[0]], x))[: len(own) - math.ceil(ALIGNED * len(own)) + 1] for own in tokens]
-    lookups = F.array(
-        *[
-            F.struct(F.lit(t).alias("t"), F.lit(key).alias("key"), F.array(*[F.struct(F.lit(w).alias("word"), F.lit(k).alias("k")) for w, k in own]).alias("words"))
-            for t, ((_, key, _), own) in enumerate(zip(templates, rarest, strict=True))
-        ]
-    )
-    hits = F.flatten(
-        F.transform(
-            F.filter(lookups, lambda q: F.array_contains(F.col("phrases"), q["key"])),
-            lambda q: F.flatten(
-                F.transform(
-                    q["words"],
-                    lambda w: F.transform(places(F.col("postings"), w["word"]), lambda x: F.struct(q["t"].alias("t"), (x - w["k"]).alias("start"))),
-                )
-            ),
-        )
-    )
-    none = F.array().cast("array<struct<t:int,start:int>>")
-    base = {phrase: phrase_starts(F.col("postings"), phrase) for phrase in BASE}
-    step = files.select(
-        "*",
-        F.when(F.size("phrases") > 0, F.array_distinct(hits)).otherwise(none).alias("hits"),
-        F.array(*[F.struct(F.lit(label).alias("label"), base[phrase].alias("at")) for phrase, label in BASE.items()]).alias("base"),
-    )
-
-    def checked(h: Column) -> Column:
-        t = F.element_at(template, h["t"] + 1)
-        aligned = F.size(F.filter(t["tokens"], lambda x: F.array_contains(places(F.col("postings"), x["word"]), h["start"] + x["k"])))
-        return F.struct(t["label"].alias("label"), (aligned / F.size(t["tokens"])).alias("share"))
-
-    step = step.withColumn("accepted", F.filter(F.transform("hits", checked), lambda a: a["share"] >= ALIGNED))
+    found = proposed(files.where(F.size("hits") > 0).select("r", F.inline("hits")), docs.sparkSession, templates, idf)
+    told = staged(found.groupBy("r").agg(F.collect_set("label").alias("named"), F.max("share").alias("share")), "licenses")
+    base = F.array(*[F.struct(F.lit(label).alias("label"), phrase_starts(F.col("hits"), phrase).alias("at")) for phrase, label in BASE.items()])
+    step = files.join(told, "r", "left").withColumn("base", base)
     starts = F.flatten(F.col("base.at"))
-    own = F.filter("base", lambda b: F.size(b["at"]) > 0)
-    labels = F.transform(own, lambda b: b["label"])
-    score = F.greatest(F.when(F.size(starts) > 0, 1.0).otherwise(0.0), F.coalesce(F.array_max(F.col("accepted.share")), F.lit(0.0)))
+    labels = F.transform(F.filter("base", lambda b: F.size(b["at"]) > 0), lambda b: b["label"])
+    every = F.array_union(labels, F.coalesce("named", F.array().cast("array<string>")))
     return step.select(
         F.col("id").alias(id_col),
         "n_words",
@@ -146,6 +214,6 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union(labels, F.col("accepted.label"))), ",").alias("labels"),
-        score.alias("score"),
+        F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
+        F.greatest(F.when(F.size(starts) > 0, 1.0).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
     )
