@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import ipaddress
+import os
 import random
 import re
 import zlib
@@ -636,6 +637,59 @@ def test_copied_pages_without_an_article(spark):
     assert {r["page_id"]: r["text"] for r in html_text.main_text(frame).collect()} == want
 
 
+def plain_page_texts(pages):
+    """Texts of pages ``(id, host, path, lines)`` without marked elements, by sorting and a table of common lines."""
+    order = sorted({(h, p, tuple(lines)) for _, h, p, lines in pages})
+    first = [x for k, x in enumerate(order) if not k or order[k - 1][0] != x[0] or order[k - 1][2] != x[2]]
+    alike = lambda a, b: -1 if a[0] != b[0] else len(os.path.commonprefix([a[1], b[1]]))
+    partner = {}
+    for k, x in enumerate(first):
+        near = [(first[j], alike(x, first[j])) for j in (k - 1, k + 1) if 0 <= j < len(first)]
+        partner[x] = next((y for y, n in sorted(near, key=lambda v: -v[1]) if n >= 0), None)
+    lead = None
+    for x in order:  # a copy takes the partner of the first page by path with its host and lines
+        lead = partner if x in partner else partner | {x: partner[min(y for y in first if y[0] == x[0] and y[2] == x[2])]}
+        partner = lead
+    texts = {}
+    for i, h, p, lines in pages:
+        other = partner[h, p, tuple(lines)]
+        b = list(other[2]) if other else []
+        size = [[0] * (len(b) + 1) for _ in range(len(lines) + 1)]
+        for j, x in enumerate(lines):
+            for k, y in enumerate(b):
+                size[j + 1][k + 1] = size[j][k] + 1 if x == y else max(size[j][k + 1], size[j + 1][k])
+        texts[i] = (lines, b, size[-1][-1])
+    return texts
+
+
+def test_page_differencing_against_a_plain_version(spark):
+    rng = random.Random(6)
+    pages = []
+    for k in range(220):
+        host = f"h{rng.randrange(5)}.org"
+        path = "".join(f"/{rng.choice('abc')}{rng.randrange(3)}" for _ in range(rng.randrange(1, 4))) + f"/{k:03d}"
+        if pages and rng.random() < 0.15:
+            lines = rng.choice(pages)[3]
+        else:
+            lines = [f"Top of {host}", "Menu", *[f"line {rng.randrange(60)}" for _ in range(rng.randrange(1, 6))], "About", "Imprint"]
+        pages.append((k, host, path, lines))
+    pages.append((900, "alone.org", "/x", ["One", "Two"]))
+    rows = [(k, f"https://{h}{p}?q={k}#top", "<body>" + "".join(f"<p>{x}</p>" for x in lines)) for k, h, p, lines in pages]
+    out = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    decided = 0
+    for i, (lines, other, common) in plain_page_texts(pages).items():
+        kept = out[i].split("\n\n")
+        rest = iter(lines)
+        assert all(x in rest for x in kept)  # in page order
+        gone = list((Counter(lines) - Counter(kept)).elements())
+        assert kept == lines if common == len(lines) or not other else len(gone) == common  # as many as the longest common subsequence has
+        decided += len(gone)
+        if gone:
+            left = list(other)
+            assert not Counter(gone) - Counter(left)
+    assert decided > 400
+
+
 def test_pages_of_the_table(spark):
     got = queries.op9_html_text(spark, "/root/testdata/sf0.001").collect()
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
@@ -648,7 +702,9 @@ def test_pages_of_the_table(spark):
         assert r["text"] == "\n\n".join(x for x in blocks if x)
 
 
-def test_common_lines():
+@pytest.mark.parametrize("bits", [html_text.TABLE_BITS, 1])
+def test_common_lines(monkeypatch, bits):
+    monkeypatch.setattr(html_text, "TABLE_BITS", bits)
     rng = random.Random(0)
     for _ in range(500):
         a, b = ([rng.randrange(4) for _ in range(rng.randrange(14))] for _ in range(2))
@@ -660,6 +716,13 @@ def test_common_lines():
         assert len(chosen) == size[-1][-1] and all(a[k] in rest for k in chosen)
 
 
+def test_very_long_pages(spark):
+    body = lambda tag, n: "<body>" + "".join(f"<p>{tag} {k}" if k % 3 else f"<p>note {k}" for k in range(n))
+    rows = [(1, "http://a.org/1", body("one", 30_000)), (2, "http://a.org/2", body("two", 30_000))]
+    out = {r["page_id"]: r["text"].split("\n\n") for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[k] == [f"{tag} {i}" for i in range(30_000) if i % 3] for k, tag in ((1, "one"), (2, "two"))] == [True, True]
+
+
 # all on nothing
 
 

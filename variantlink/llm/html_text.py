@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,31 +118,66 @@ def blocks_of(page: str) -> list[Block]:
     return found
 
 
-def common_lines(a: list, b: list) -> list[int]:
-    """Indices in ``a`` of a longest common subsequence with ``b``, by bit-parallel rows."""
+#: Bits of a table of common lines that is kept whole; larger ones are halved first.
+TABLE_BITS = 1 << 26
+
+
+def rows_of(a: list, b: list) -> Iterator[int]:
+    """Bit-parallel rows of the table of common lines: zeros mark where the common length grows along ``b``."""
     at: dict = {}
     for j, x in enumerate(b):
         at[x] = at.get(x, 0) | 1 << j
     full = (1 << len(b)) - 1
-    rows = [full]
+    v = full
+    yield v
     for x in a:
-        v = rows[-1]
         u = v & at.get(x, 0)
-        rows.append((v + u | v - u) & full)
-    chosen, j = [], len(b)
+        v = (v + u | v - u) & full
+        yield v
+
+
+def lengths(a: list, b: list) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each prefix of ``b``, from the last row alone."""
+    for last in rows_of(a, b):  # noqa: B007
+        pass
+    bits = np.unpackbits(np.frombuffer(last.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def aligned(a: list, b: list) -> list[int]:
+    if len(a) > 1 and len(a) * len(b) > TABLE_BITS:  # the best cut of b for the two halves of a
+        mid = len(a) // 2
+        cut = int(np.argmax(lengths(a[:mid], b) + lengths(a[mid:][::-1], b[::-1])[::-1]))
+        return aligned(a[:mid], b[:cut]) + [mid + k for k in aligned(a[mid:], b[cut:])]
+    rows, chosen, j = [*rows_of(a, b)], [], len(b)
     for i in range(len(a), 0, -1):
-        # zeros of a row mark where the common length grows; go left to the last growth
+        # go left to the last growth
         grows = ~rows[i] & (1 << j) - 1
         above = ~rows[i - 1] & (1 << j) - 1
         if grows.bit_count() > above.bit_count():
             # the last line of b that a[i-1] can take with this length
-            k = (grows & ~above).bit_length() - 1
-            same = at.get(a[i - 1], 0) & ((1 << (k + 1)) - 1)
-            j = same.bit_length() - 1
+            j = (grows & ~above).bit_length() - 1
+            while b[j] != a[i - 1]:
+                j -= 1
             chosen.append(i - 1)
     return chosen[::-1]
 
 
+def common_lines(a: list, b: list) -> list[int]:
+    """Indices in ``a`` of a longest common subsequence with ``b``, in memory that grows with their lengths alone.
+
+    Equal lines at both ends belong to it; lines that the other side lacks don't.
+    """
+    ends = min(len(a), len(b))
+    head = next((k for k in range(ends) if a[k] != b[k]), ends)
+    tail = next((k for k in range(ends - head) if a[-1 - k] != b[-1 - k]), ends - head)
+    inner, other = a[head : len(a) - tail], b[head : len(b) - tail]
+    both = set(inner) & set(other)
+    at = [k for k, x in enumerate(inner) if x in both]
+    middle = aligned([inner[k] for k in at], [x for x in other if x in both])
+    return [*range(head), *(head + at[k] for k in middle), *range(len(a) - tail, len(a))]
+
+
 def outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Line hashes of each page."""
     import xxhash
