@@ -8,7 +8,7 @@ from variantlink.llm import common, exact_dedup, packing, pii, quality, queries,
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression bands keep. Null and empty texts have no words and go."""
+    """Documents that the compression bands keep, each row by itself. Null and empty texts have no words and go."""
     return quality.keep_good(docs)
 
 
@@ -18,17 +18,23 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id."""
+    """Of each SimHash component the document with the smallest id, its repeated rows all.
+
+    Null and empty texts have fingerprint zero, linked like any other; a null id stays where its component holds no other.
+    """
     return simhash.keep_one_each(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with surrogates for personal data and their new length."""
+    """All documents, with surrogates for personal data and their new length; null texts stay null."""
     return pii.replaced(docs, queries.SURROGATE_KEY)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their token ids and places in the training sequences."""
+    """Pieces of the documents with their token ids and places in the training sequences.
+
+    Null and empty texts give one piece of one token; repeated rows are packed each.
+    """
     return packing.pack(docs, queries.tokenizer_file("byte_bpe_50k.tiktoken"), with_ids=True)
 
 
