@@ -418,43 +418,54 @@ def test_keep_one_each(odd_docs):
 # line dedup
 
 
-def test_line_dedup(odd_docs, documents):
-    for docs in (odd_docs.where("doc_id is not null and doc_id not in (7, 8, 11)"), documents):
-        lines = sorted((i, k, x.split()) for i, t in set(texts_of(docs)) for k, x in enumerate(re.sub(r"[ \t-\r]", lambda m: m[0] if m[0] == "\n" else " ", t or "").split("\n")))
-        lines = [(i, k, [w for w in x]) for i, k, x in lines]
-        by_words = defaultdict(list)
-        for i, k, w in lines:
-            by_words[tuple(w)].append((i, k))
-        distinct = {w: min(at) for w, at in by_words.items() if w}
-        near = defaultdict(list)
-        for w, at in distinct.items():
-            if len(w) >= 5:
-                for c in range(len(w)):
-                    near[len(w), c, w[:c] + w[c + 1 :]].append(at)
-        want = {}
-        for i, k, w in lines:
-            w = tuple(w)
-            if not w:
-                want[i, k] = (True, None, None, None)
-                continue
-            first, best = distinct[w], []
-            if len(w) >= 5:
-                for c in range(len(w)):
-                    cut = w[:c] + w[c + 1 :]
-                    best += [x for x in near[len(w), c, cut] if x != first]
-                    if cut in distinct and len(cut) >= 5:
-                        best.append(distinct[cut])
-                for x, at in distinct.items():
-                    if len(x) == len(w) + 1 and any(x[:c] + x[c + 1 :] == w for c in range(len(x))):
-                        best.append(at)
-            e = min(best, default=None)
-            if e is not None and e < first:
-                want[i, k] = (False, *e, 1)
-            elif (i, k) != first:
-                want[i, k] = (False, *first, 0)
-            else:
-                want[i, k] = (True, None, None, None)
-        assert {tuple(r)[:2]: tuple(r)[2:] for r in line_dedup.line_dedup(docs).collect()} == want
+def one_edit_apart(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+    a, b = sorted((a, b), key=len)
+    k = next((k for k, x in enumerate(a) if x != b[k]), len(a))
+    return len(b) - len(a) == 1 and a[k:] == b[k + 1 :]
+
+
+def plain_lines(docs, least):
+    """Verdicts of line dedup by comparing every two distinct lines."""
+    rows = []
+    for i, t in docs:
+        for k, x in enumerate((t or "").split("\n")):
+            rows.append((i, k, tuple(w for w in re.split(r"[ \t\x0b\x0c\r]+", x) if w)))
+    place = lambda at: (at[0] is not None, at[0] or 0, at[1])
+    first: dict = {}
+    for i, k, w in rows:
+        first[w] = min(first.get(w, (i, k)), (i, k), key=place)
+    near: dict = {}
+    by_size = defaultdict(list)
+    for w in first:
+        if len(w) >= least:
+            by_size[len(w)].append(w)
+    for w, at in first.items():
+        if len(w) >= least:
+            others = (first[x] for n in (len(w) - 1, len(w), len(w) + 1) for x in by_size[n] if x != w and place(first[x]) < place(at) and one_edit_apart(w, x))
+            near[w] = min(others, key=place, default=None)
+    out = Counter()
+    for i, k, w in rows:
+        target, edits = (None, None) if not w else (near[w], 1) if near.get(w) else (first[w], 0) if first[w] != (i, k) else (None, None)
+        out[(i, k, target is None, *(target or (None, None)), edits)] += 1
+    return out
+
+
+@pytest.mark.parametrize("least", [line_dedup.LEAST, 2])
+def test_line_dedup(spark, odd_docs, documents, least):
+    rng = random.Random(8)
+    words = "a b c d e f g h".split()
+    made = [(rng.choice([None, *range(30)]), "\n".join(" ".join(rng.choice(words[:3]) for _ in range(rng.randrange(9))) for _ in range(6))) for _ in range(40)]
+    base = [rng.choice(words) + str(k) for k in range(12)]
+    for k in range(60):
+        own = list(base)
+        at = rng.randrange(len(own))
+        own[at : at + rng.randrange(2)] = [f"x{rng.randrange(3)}"] * rng.randrange(2)
+        made.append((100 - k, " ".join(own)))
+    for docs in (odd_docs, documents, spark.createDataFrame(made, "doc_id long, text string")):
+        if least == line_dedup.LEAST or docs is not documents:
+            assert Counter(map(tuple, line_dedup.line_dedup(docs, least=least).collect())) == plain_lines(texts_of(docs), least)
 
 
 def test_line_dedup_odd(odd_docs):
