@@ -478,8 +478,9 @@ PERCENTILE = """SELECT l_orderkey, l_linenumber, l_returnflag, score, CASE WHEN
 
 def percentile(skew_safe: bool) -> Query:
     def run(spark, d):
-        li = table(spark, d, "lineitem").withColumn("score", F.when(F.col("l_partkey") % 11 != 0, F.col("l_extendedprice")))
-        return windows.percentile_by(li, ["l_returnflag"], "score", "q", skew_safe=skew_safe).select("l_orderkey", "l_linenumber", "l_returnflag", "score", "q")
+        score = F.when(F.col("l_partkey") % 11 != 0, F.col("l_extendedprice")).alias("score")
+        li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", score)
+        return windows.percentile_by(li, ["l_returnflag"], "score", "q", skew_safe=skew_safe)
 
     return run
 
@@ -844,8 +845,8 @@ def _(spark, d):
 def _(spark, d):
     disease, genes = staged(v2d(spark, d), "v2d"), scorable(spark, d)
     tagged = disease.select(*S.LEAD_KEY, *S.TAG_KEY, "overall_r2", "posterior_prob")
-    scored = summaries.scored_datasets(genes, variant_disease.disease_variant_gene(tagged, genes))[1]
-    # both gene lists ask for a gene's best score in a locus alone
+    # both gene lists ask for a gene's best score in a locus alone, so each variant and gene is joined once, not once a source
+    scored = variant_disease.disease_variant_gene(tagged, variant_gene.evidence_scores(genes))
     scored = staged(aggregates.group_max(scored, [*S.LEAD_KEY, "gene_id"], "overall_score"), "scored")
     l2g = scored.select("study_id", F.col("lead_chrom").alias("chrom"), F.col("lead_pos").alias("pos"), F.col("lead_ref").alias("ref"), F.col("lead_alt").alias("alt"), "gene_id", F.col("overall_score").alias("y_proba_full_model"))
     whole = summaries.manhattan(disease, scored, coloc(spark, d), l2g)
