@@ -686,9 +686,11 @@ def test_page_differencing_against_a_plain_version(spark):
         pages.append((k, host, path, lines))
     pages.append((900, "alone.org", "/x", ["One", "Two"]))
     rows = [(k, f"https://{h}{p}?q={k}#top", "<body>" + "".join(f"<p>{x}</p>" for x in lines)) for k, h, p, lines in pages]
-    out = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    found = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    out, n_shared = {r["page_id"]: r["text"] for r in found}, {r["page_id"]: r["n_shared"] for r in found}
     decided = 0
     for i, (lines, other, common) in plain_page_texts(pages).items():
+        assert n_shared[i] == common
         kept = out[i].split("\n\n")
         rest = iter(lines)
         assert all(x in rest for x in kept)  # in page order

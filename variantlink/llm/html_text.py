@@ -192,23 +192,29 @@ def outlined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import xxhash
+def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which lines of each page its partner shares."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            shared = [common_lines(a.as_py() or [], b.as_py() or []) for a, b in zip(batch.column("lines"), batch.column("other"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.array(shared, pa.list_(pa.int32()))], ["k1", "k2", "shared"])
+
 
+def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
-            texts = []
-            for page, other in zip(batch.column("html"), batch.column("other"), strict=True):
-                blocks = blocks_of(page.as_py() or "")
-                own = [xxhash.xxh3_64_intdigest(b.text) >> 1 for b in blocks]
-                shared = set(common_lines(own, other.as_py() or []))
+            texts, counts = [], []
+            for page, own in zip(batch.column("html"), batch.column("shared"), strict=True):
+                blocks, shared = blocks_of(page.as_py() or ""), set(own.as_py() or [])
                 guarded = any(b.main and not b.aside for b in blocks)
                 plain = [k for k, b in enumerate(blocks) if not b.aside]
                 kept = [k for k in plain if blocks[k].main] if guarded else [k for k in plain if k not in shared]
                 texts.append("\n\n".join(blocks[k].text for k in kept or plain))
+                counts.append(len(shared))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["page_id", "url", "text", "n_shared"]
             )
 
 
@@ -263,10 +269,11 @@ def nearest_pages(keys: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame) -> DataFrame:
-    """One row per row of ``pages(page_id, url, html)``: page_id, url, text, n_chars.
+    """One row per row of ``pages(page_id, url, html)``: page_id, url, text, n_chars, n_shared (blocks that the partner shares).
 
     Each page is paired with the nearest by URL path in its host that has other lines; blocks of the two
-    are aligned by longest common subsequence and shared ones deleted. A page whose every unmarked
+    are aligned by longest common subsequence, as hashes, and shared ones deleted; pages themselves move only
+    if those with shared blocks are too many to be broadcast. A page whose every unmarked
     block is shared keeps them all: it is part of a near copy. Blocks in a page's article or main element
     that is neither marked nor in a marked one (teasers, comments) are never deleted for being shared
     (two pages may quote one passage), and where there is such an element it alone counts; blocks marked as menu, header, footer, sidebar, notice, advert, form
@@ -289,9 +296,11 @@ def main_text(pages: DataFrame) -> DataFrame:
     ).mapInArrow(outlined, "k1 long, k2 long, host string, path string, lines array<long>")
     outlines = staged(outlines, "outlines")
     nearest = nearest_pages(outlines.select("k1", "k2", "host", "path", F.xxhash64("lines").alias("u")).distinct()).where(F.col("o1").isNotNull())
-    lines = outlines.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("lines").alias("other")).dropDuplicates(["o1", "o2"])
-    partners = nearest.join(lines, ["o1", "o2"]).drop("o1", "o2")
-    paired = own.join(partners, ["k1", "k2"], "left").select("page_id", "url", "html", "other")
+    lines = staged(outlines.select("k1", "k2", "lines").dropDuplicates(["k1", "k2"]), "page-lines")
+    partners = nearest.join(lines, ["k1", "k2"]).join(lines.withColumnsRenamed({"k1": "o1", "k2": "o2", "lines": "other"}), ["o1", "o2"])
+    shared = partners.select("k1", "k2", "lines", "other").mapInArrow(compared, "k1 long, k2 long, shared array<int>")
+    shared = staged(shared.where(F.size("shared") > 0), "shared-lines")
+    paired = own.join(shared, ["k1", "k2"], "left").select("page_id", "url", "html", "shared")
     kind = dict(pages.dtypes)["page_id"]
-    text = paired.mapInArrow(extracted, f"page_id {kind}, url string, text string")
-    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+    text = paired.mapInArrow(extracted, f"page_id {kind}, url string, text string, n_shared long")
+    return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_shared")
