@@ -149,8 +149,8 @@ def phrase_starts(hits: Column, phrase: str) -> Column:
     return F.array_compact(F.transform(hits, at))
 
 
-def proposed(hits: DataFrame, spark, templates, idf: dict[str, float]) -> DataFrame:
-    """``(r, t, label, share)``: templates that stand in a file, from ``hits(r, word, pos)``.
+def proposed(files: DataFrame, templates, idf: dict[str, float]) -> DataFrame:
+    """``(r, label, share)``: templates that stand in a file, from ``files(r, hits)`` with arrays of (word, pos).
 
     The index maps a word to its places in the templates. Of each template the words of highest IDF are
     looked up, one more than may be out of line, so that an aligned template always has one among
@@ -165,10 +165,14 @@ def proposed(hits: DataFrame, spark, templates, idf: dict[str, float]) -> DataFr
         rows += [(w, t, k, k in keys, len(keys), len(own), label) for w, k in own]
         rarest = sorted(own, key=lambda x: (-idf[x[0]], x))[: len(own) - math.ceil(ALIGNED * len(own)) + 1]
         lookups += {(w, t) for w, _ in rarest}
+    spark = files.sparkSession
     index = F.broadcast(spark.createDataFrame(rows, "word string, t int, k int, in_key boolean, n_key int, size int, label string"))
-    named = hits.join(F.broadcast(spark.createDataFrame(lookups, "word string, t int")), "word").select("r", "t").distinct()
+    named = files.select("r", F.inline("hits")).join(F.broadcast(spark.createDataFrame(lookups, "word string, t int")), "word")
+    named = named.groupBy("r").agg(F.collect_set("t").alias("ts"))
     start = (F.col("pos") - F.col("k")).alias("start")
-    aligned = hits.join(index, "word").join(named, ["r", "t"], "left_semi").select("r", "t", start, "k", "in_key", "n_key", "size", "label")
+    # postings are multiplied by the index in files with a proposal alone
+    postings = files.join(named, "r").select("r", "ts", F.inline("hits")).join(index, "word").where(F.array_contains("ts", F.col("t")))
+    aligned = postings.select("r", "t", start, "k", "in_key", "n_key", "size", "label")
     exact = aligned.groupBy("r", "t", "start", "n_key", "size", "label").agg(F.collect_list("k").alias("ks"), F.count_if("in_key").alias("keys"))
     half = [F.struct(F.lit(s).alias("series"), F.floor((F.col("start") + s * WINDOW // 2) / WINDOW).alias("w")) for s in (0, 1)]
     windows = exact.select("*", F.inline(F.array(*half))).groupBy("r", "t", "series", "w", "size", "label")
@@ -200,7 +204,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     total = files.count()
     df = {r["word"]: r["n"] for r in files.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     idf = {w: math.log((total + 1) / (df.get(w, 0) + 0.5)) for w in vocabulary}
-    found = proposed(files.where(F.size("hits") > 0).select("r", F.inline("hits")), docs.sparkSession, templates, idf)
+    found = proposed(files.where(F.size("hits") > 0).select("r", "hits"), templates, idf)
     told = staged(found.groupBy("r").agg(F.collect_set("label").alias("named"), F.max("share").alias("share")), "licenses")
     base = F.array(*[F.struct(F.lit(label).alias("label"), phrase_starts(F.col("hits"), phrase).alias("at")) for phrase, label in BASE.items()])
     step = files.join(told, "r", "left").withColumn("base", base)
