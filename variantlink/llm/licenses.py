@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, staged, text_of
@@ -149,6 +150,13 @@ def phrase_starts(hits: Column, phrase: str) -> Column:
     return F.array_compact(F.transform(hits, at))
 
 
+def small_table(spark: SparkSession, rows: list[tuple], fields: str) -> DataFrame:
+    """Rows of the driver as a table to broadcast, by way of one literal; here never more than the templates have words."""
+    names = [x.split(":")[0] for x in fields.split(",")]
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{fields}>>"))))
+
+
 def proposed(files: DataFrame, templates, idf: dict[str, float]) -> DataFrame:
     """``(r, label, share)``: templates that stand in a file, from ``files(r, hits)`` with arrays of (word, pos).
 
@@ -159,15 +167,15 @@ def proposed(files: DataFrame, templates, idf: dict[str, float]) -> DataFrame:
     apart) count together. A template stands where ALIGNED of its words do, and its key phrase's words
     stand at one relative position, exactly, in that window.
     """
-    rows, lookups = [], []
+    rows, lookups = [], set()
     for t, (label, key, text) in enumerate(templates):
         own, keys = tokens_of(text), key_places(key, text)
         rows += [(w, t, k, k in keys, len(keys), len(own), label) for w, k in own]
         rarest = sorted(own, key=lambda x: (-idf[x[0]], x))[: len(own) - math.ceil(ALIGNED * len(own)) + 1]
-        lookups += {(w, t) for w, _ in rarest}
+        lookups |= {(w, t) for w, _ in rarest}
     spark = files.sparkSession
-    index = F.broadcast(spark.createDataFrame(rows, "word string, t int, k int, in_key boolean, n_key int, size int, label string"))
-    named = files.select("r", F.inline("hits")).join(F.broadcast(spark.createDataFrame(lookups, "word string, t int")), "word")
+    index = small_table(spark, rows, "word:string,t:int,k:int,in_key:boolean,n_key:int,size:int,label:string")
+    named = files.select("r", F.inline("hits")).join(small_table(spark, sorted(lookups), "word:string,t:int"), "word")
     named = named.groupBy("r").agg(F.collect_set("t").alias("ts"))
     start = (F.col("pos") - F.col("k")).alias("start")
     # postings are multiplied by the index in files with a proposal alone
