@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -117,36 +117,21 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[in
     return out
 
 
-class Placer:
-    """Task code: sequence and offset of a piece from its length and its rank among equal lengths."""
+def slots(patterns: list[tuple[dict[int, int], int]]) -> tuple[list[tuple[int, list[tuple[int, int, int, int]]]], int]:
+    """(length, its slots in order of rank) for the lengths of a plan, and the number of its sequences.
 
-    def __init__(self, patterns: list[tuple[dict[int, int], int]], capacity: int) -> None:
-        used, rows, sequence = Counter(), [], 0
-        for filling, times in patterns:
-            offset = 0
-            for length, n in sorted(filling.items(), reverse=True):
-                rows.append((length, used[length], n, sequence, offset))
-                used[length] += n * times
-                offset += length * n
-            sequence += times
-        rows.sort()
-        self.table = np.array(rows, np.int64).reshape(-1, 5)
-        self.sequences, self.capacity = sequence, capacity
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = self.table[:, 0] << 48 | self.table[:, 1]
-        for batch in batches:
-            length, rank = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("length", "rank"))
-            sequence, offset = rank + self.sequences, np.zeros_like(rank)  # whole windows follow the filled ones
-            if len(short := np.flatnonzero(length < self.capacity)):
-                at = np.searchsorted(key, length[short] << 48 | rank[short], side="right") - 1
-                _, first, n, base, begin = self.table[at].T
-                turn, slot = np.divmod(rank[short] - first, n)
-                sequence[short], offset[short] = base + turn, begin + slot * length[short]
-            keep = [k for k in batch.schema.names if k != "rank"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(sequence), pa.array(offset)], [*keep, "sequence_id", "offset"]
-            )
+    A slot (first, n, sequence, offset) takes the pieces of its length from rank ``first`` on: n in each
+    sequence from ``sequence`` on, from ``offset`` on, until the next slot's first rank.
+    """
+    used, found, sequence = Counter(), defaultdict(list), 0
+    for filling, times in patterns:
+        offset = 0
+        for length, n in sorted(filling.items(), reverse=True):
+            found[length].append((used[length], n, sequence, offset))
+            used[length] += n * times
+            offset += length * n
+        sequence += times
+    return [*found.items()], sequence
 
 
 def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -155,8 +140,8 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
     Each text is encoded once and END_ID appended; its tokens are cut at CAPACITY. Whole windows
     are sequences of their own. The remainders, less than CAPACITY each, are packed by minimum bin
     slack over their length counts: CAPACITY - 1 numbers at most, whatever the size of the corpus,
-    so the driver plans with bounded data. Pieces find their place by their rank among equal
-    lengths; the rank comes from counts per task and length, so a frequent length has no hot task.
+    so the driver plans with bounded data and broadcasts the plan. Pieces find their place by their rank among equal
+    lengths, without Python, as token ids are what weighs; the rank comes from counts per task and length, so a frequent length has no hot task.
 
     Null and empty texts give one piece of one token. Repeated rows are packed each. Null ids are
     kept. An empty table gives an empty result.
@@ -171,6 +156,13 @@ def pack(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str
     )
     counts = {r["length"]: r["n"] for r in pieces.where(F.col("length") < CAPACITY).groupBy("length").agg(F.count("*").alias("n")).collect()}
     ranked = with_rank(pieces, ["length"], "part", "local", "rank").drop("part", "local")
-    order = [id_col, "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids, "rank"]
-    out = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    return ranked.select(*order).mapInArrow(Placer(plan(counts), CAPACITY), out + ", sequence_id long, offset long")
+    found, whole = slots(plan(counts))
+    kinds = "length long, slots array<struct<first:bigint,n:bigint,sequence:bigint,offset:bigint>>"
+    placed = ranked.join(F.broadcast(docs.sparkSession.createDataFrame(found, kinds)), "length", "left")
+    slot = F.element_at(F.filter("slots", lambda x: x["first"] <= F.col("rank")), -1)
+    turn = F.col("rank") - F.col("slot.first")
+    sequence = F.when(F.col("slot").isNull(), F.col("rank") + whole).otherwise(F.col("slot.sequence") + F.floor(turn / F.col("slot.n")))
+    offset = F.when(F.col("slot").isNull(), 0).otherwise(F.col("slot.offset") + turn % F.col("slot.n") * F.col("length"))
+    columns = [id_col, "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
+    # whole windows follow the filled sequences
+    return placed.withColumn("slot", slot).select(*columns, sequence.cast("long").alias("sequence_id"), offset.cast("long").alias("offset"))
