@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, html_text, licenses, line_dedup, packing, pii, quality, simhash
+from . import bpe, chat, exact_dedup, fim, fingerprints, html_text, licenses, line_dedup, packing, pii, quality, simhash
 
 
 #: Key of the surrogates; a real corpus takes its own secret.
@@ -76,6 +76,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def hex16(c: str) -> Column:
+    return F.lower(F.lpad(F.hex(c), 16, "0"))
+
+
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
+    prints = [hex16("fp").alias("fingerprint"), hex16("edited_fp").alias("edited_fingerprint")]
+    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next", "component_id")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.transform(table(spark, sf_dir, "documents"))
+    shas = [F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")]
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -87,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_html_text": op9_html_text,
     "op10_simhash": op10_simhash,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 ORACLES = {
