@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, fim, fingerprints, html_text, licenses, line_dedup, packing, pii, quality, simhash
+from . import bpe, chat, dialogue_repair, exact_dedup, fim, fingerprints, html_text, licenses, line_dedup, packing, pii, quality, simhash
 
 
 #: Key of the surrogates; a real corpus takes its own secret.
@@ -92,6 +92,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *shas)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_fingerprints": op11_fingerprints,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES = {
