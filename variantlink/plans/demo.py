@@ -417,6 +417,7 @@ def _(spark, d):
 def _(spark, d):
     hours, clicks = error_hours(spark, d)
     inside = joins.interval_join(hours, clicks, ["user_id"], "start", "end", "at", HOUR).withColumn("kind", F.lit("error"))
+    inside = staged(inside, "inside")  # ranking reads it more than once
     return windows.percentile_by(inside, ["kind"], "score", "q", skew_safe=True).select("user_id", "event_id", r6("score").alias("score"), "q")
 
 
@@ -449,6 +450,7 @@ def _(spark, d):
 def _(spark, d):
     c, s = sides(spark, d)
     pairs = joins.band_join(c, s, ["nation"], "c_acctbal", "s_acctbal", 1000).withColumn("distance_score", C.inverse_distance(F.col("d")))
+    pairs = staged(pairs, "pairs")  # ranking reads it more than once
     ranked = windows.percentile_by(C.with_labels(pairs, source="balance"), ["nation"], "distance_score", "distance_score_q")
     return ranked.select("c_custkey", "s_suppkey", r6("distance_score").alias("distance_score"), "distance_score_q")
 
@@ -466,7 +468,9 @@ def flagship(spark, d):
 def _(spark, d):
     li = table(spark, d, "lineitem").withColumn("score", C.neg_log10(F.col("l_discount")))
     keys = table(spark, d, "part").where("p_size > 25").select(F.col("p_partkey").alias("l_partkey"))
-    ranked = windows.percentile_by(joins.semi_join(li, keys, ["l_partkey"]), ["l_returnflag", "l_linestatus"], "score", "score_q")
+    known = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_linestatus", "score")
+    known = staged(joins.semi_join(known, keys, ["l_partkey"]), "known")  # ranking reads it more than once
+    ranked = windows.percentile_by(known, ["l_returnflag", "l_linestatus"], "score", "score_q")
     return ranked.select("l_orderkey", "l_linenumber", "l_partkey", r6("score").alias("score"), "score_q")
 
 

@@ -63,7 +63,7 @@ def distance_evidence(variants: DataFrame, genes: DataFrame, max_distance: int =
     near = genes.select(F.col("chr").alias("chr_id"), "gene_id", "tss")
     pairs = joins.band_join(variants.select(*S.VARIANT_KEY), near, ["chr_id"], "position", "tss", max_distance).drop("tss")
     pairs = C.with_labels(pairs, type_id="distance", source_id="canonical_tss", feature="unspecified")
-    pairs = staged(pairs.withColumn("distance_score", C.inverse_distance(F.col("d"))), "near-pairs")  # ranking samples it, then reads it
+    pairs = staged(pairs.withColumn("distance_score", C.inverse_distance(F.col("d"))), "near-pairs")  # ranking reads it more than once
     return windows.percentile_by(pairs, ["source_id", "feature"], "distance_score", "distance_score_q", skew_safe=skew_safe)
 
 
@@ -76,7 +76,7 @@ def qtl_evidence(qtl: DataFrame, variants: DataFrame, skew_safe: bool = True) ->
     named = qtl.withColumnsRenamed(names)
     pval = F.when(F.col("qtl_pval") == 0.0, F.lit(C.SMALLEST)).otherwise(F.col("qtl_pval"))
     scored = named.withColumn("qtl_pval", pval).withColumn("qtl_score", C.neg_log10(F.col("qtl_pval")))
-    known = staged(joins.semi_join(scored, variants, S.VARIANT_KEY), "qtl")  # ranking samples it, then reads it
+    known = staged(joins.semi_join(scored, variants, S.VARIANT_KEY), "qtl")  # ranking reads it more than once
     return windows.percentile_by(known, ["source_id", "feature"], "qtl_score", "qtl_score_q", skew_safe=skew_safe)
 
 
@@ -91,7 +91,7 @@ def interval_evidence(
     keys = ["chrom", "start", "end", "gene_id", "type_id", "source_id", "feature"]
     best = aggregates.group_max(typed, keys, "score").withColumnsRenamed({"chrom": "chr_id", "score": "interval_score"})
     inside = joins.interval_join(best, variants.select(*S.VARIANT_KEY), ["chr_id"], "start", "end", "position", bin_width).drop("start", "end")
-    inside = staged(inside, "inside")  # ranking samples it, then reads it
+    inside = staged(inside, "inside")  # ranking reads it more than once
     return windows.percentile_by(inside, ["source_id", "feature"], "interval_score", "interval_score_q", skew_safe=skew_safe)
 
 
