@@ -137,3 +137,20 @@ def test_skew_safe_percentile_moves_rows_once(spark):
     # the rows once; besides them slice counts, aggregated before they move
     assert sum("_salt" in line for line in moved) == 1 and not any("rangepartitioning" in line for line in moved)
     assert len(moved) <= 1 + 2, moved
+
+
+def test_conditional_distinct_like_brute_force(spark):
+    rng = random.Random(8)
+    data = [(rng.choice("aab") if k % 13 else None, rng.choice([None, *range(30)]), rng.choice([None, 0.0, 0.5, 2.0]), rng.choice([None, 1, 2, 3]), k) for k in range(900)]
+    df = spark.createDataFrame(data, "g string, k long, x double, p long, i long")
+    counts = {"all": None, "big": F.col("x") > 1, "any": F.col("x") > 0}
+    found = aggregates.conditional_distinct(df, ["g"], F.col("k"), counts, {"p": F.col("p"), "i": F.col("i"), "x": F.col("x")})
+    want = Counter()
+    for g in {r[0] for r in data}:
+        own = [r for r in data if r[0] == g]
+        first = min(own, key=lambda r: (r[3] is None, r[3] or 0, r[4]))
+        keys = [{r[1] for r in own if r[1] is not None and test(r[2])} for test in (lambda x: True, lambda x: x is not None and x > 1, lambda x: x is not None and x > 0)]
+        want[(g, first[3], first[4], first[2], *map(len, keys))] += 1
+    assert rows(found) == want
+    assert aggregates.conditional_distinct(df.limit(0), ["g"], F.col("k"), counts).count() == 0
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()

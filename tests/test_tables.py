@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -149,3 +151,19 @@ def test_stats_and_missing_pvalue(spark, tables, inputs):
 def test_neither_evidence_is_left_out(tables):
     nothing = tables["v2d"].withColumns({"overall_r2": F.lit(None).cast("double"), "posterior_prob": F.lit(None).cast("double")})
     assert variant_disease.disease_variant_gene(nothing, tables["v2g"]).count() == 0
+
+
+def test_a_locus_that_stands_twice_gives_one_of_its_rows(tables, inputs):
+    worse = {"pval": 1e-3, "pval_mantissa": 1.0, "pval_exponent": -3, "beta": -0.2, "direction": "-", "odds_ratio": None}
+    kinds = dict(tables["v2d"].dtypes)
+    twice = tables["v2d"].unionByName(tables["v2d"].withColumns({c: F.lit(v).cast(kinds[c]) for c, v in worse.items()}))
+    want = tables["manhattan"].first()
+    found = summaries.manhattan(twice, tables["d2v2g_scored"], tables["v2d_coloc"], inputs["l2g"])
+    assert found.collect() == [want] and summaries.locus_summary(twice).first()["direction"] == "+"
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    lines = [x.strip(" +-:|*") for x in plan.split("== Initial Plan ==")[0].splitlines()]
+    by_locus = [x for x in lines if re.search(r"Exchange hashpartitioning\(study#\d+, chrom#\d+, pos#\d+L, ref#\d+, alt#\d+, \d+\)", x)]
+    assert not [x for x in lines if x.startswith("Expand") or "Join" in x.split("[")[0]], lines
+    assert len(by_locus) == 1
+    capped = summaries.manhattan(twice, tables["d2v2g_scored"], tables["v2d_coloc"], inputs["l2g"], n=1)
+    assert capped.collect() == [want]

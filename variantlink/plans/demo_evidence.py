@@ -172,21 +172,28 @@ def _(spark, d):
 # studies, loci and their tags
 
 
-def loci(spark, d) -> DataFrame:
+def effects(spark, d) -> DataFrame:
     """One locus for each order: its lead variant is the order's first part."""
     best = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("k"), F.max("l_quantity").alias("m"), F.max("l_suppkey").alias("e"), F.max("l_tax").alias("beta"), F.max("l_discount").alias("odds_ratio")
     )
-    return best.select(
-        study_key("l_orderkey"), chrom("k").alias("chrom"), (F.col("k") * STEP).alias("pos"), F.lit("A").alias("ref"), F.lit("T").alias("alt"), F.lit("+").alias("direction"),
+    return best.withColumns({"e": -(F.col("e") % 20), "direction": F.lit("+")})
+
+
+def loci(spark, d) -> DataFrame:
+    """The loci; some stand twice, the second time with another effect: better by an order of magnitude at odd positions, else worse."""
+    once = effects(spark, d)
+    other = {"e": F.col("e") + F.when(F.col("k") % 2 == 1, -1).otherwise(1), "beta": F.col("beta") + 2, "odds_ratio": F.col("odds_ratio") + 3, "direction": F.lit("-")}
+    return once.unionByName(once.where("k % 7 = 0").withColumns(other)).select(
+        study_key("l_orderkey"), chrom("k").alias("chrom"), (F.col("k") * STEP).alias("pos"), F.lit("A").alias("ref"), F.lit("T").alias("alt"), "direction",
         "beta", (F.col("beta") - 1).alias("beta_ci_lower"), (F.col("beta") + 1).alias("beta_ci_upper"), "odds_ratio", (F.col("odds_ratio") - 1).alias("oddsr_ci_lower"),
-        (F.col("odds_ratio") + 1).alias("oddsr_ci_upper"), F.col("m").alias("pval_mantissa"), (-(F.col("e") % 20)).alias("pval_exponent"), F.lit("rs").alias("rsid"),
+        (F.col("odds_ratio") + 1).alias("oddsr_ci_upper"), F.col("m").alias("pval_mantissa"), F.col("e").alias("pval_exponent"), F.lit("rs").alias("rsid"),
     )
 
 
 def leads(spark, d) -> DataFrame:
-    names = {"chrom": "lead_chrom", "pos": "lead_pos", "ref": "lead_ref", "alt": "lead_alt"}
-    return loci(spark, d).select("study_id", *[F.col(a).alias(b) for a, b in names.items()])
+    place = [chrom("k").alias("lead_chrom"), (F.col("k") * STEP).alias("lead_pos"), F.lit("A").alias("lead_ref"), F.lit("T").alias("lead_alt")]
+    return effects(spark, d).select(study_key("l_orderkey"), *place)
 
 
 def tags(spark, d, rows: str, value: str, name: str, **extra: Column) -> DataFrame:
@@ -207,6 +214,8 @@ def finemapping(spark, d) -> DataFrame:
 
 LOCI = f"""(SELECT {STUDY_ID.format(k='l_orderkey')} AS study_id, l_orderkey AS o, min(l_partkey) AS lead, max(l_quantity) AS m, -(max(l_suppkey) % 20) AS e, max(l_tax) AS beta,
     max(l_discount) AS odds FROM lineitem GROUP BY l_orderkey)"""
+LOCI_ROWS = f"""(SELECT study_id, lead, m, e, beta, odds, '+' AS dir FROM {LOCI}
+    UNION ALL SELECT study_id, lead, m, e + CASE lead % 2 WHEN 1 THEN -1 ELSE 1 END, beta + 2, odds + 3, '-' FROM {LOCI} WHERE lead % 7 = 0)"""
 FINEMAP = f"(SELECT {STUDY_ID.format(k='l_orderkey')} AS study_id, lead, l_partkey AS tag, max(l_tax) AS pp FROM lineitem JOIN {LOCI} l ON o = l_orderkey WHERE l_linestatus = 'F' GROUP BY l_orderkey, lead, l_partkey)"
 
 
@@ -217,7 +226,7 @@ def _(spark, d):
 
 @query(
     "top_loci",
-    f"SELECT study_id, 'c' || lead % 5 AS lead_chrom, lead * {STEP} AS lead_pos, round(log10(m) + e, 6) AS log_pval, m AS pval_mantissa, e AS pval_exponent, beta, odds AS odds_ratio FROM {LOCI}",
+    f"SELECT study_id, 'c' || lead % 5 AS lead_chrom, lead * {STEP} AS lead_pos, round(log10(m) + e, 6) AS log_pval, m AS pval_mantissa, e AS pval_exponent, beta, odds AS odds_ratio FROM {LOCI_ROWS}",
 )
 def _(spark, d):
     found = variant_disease.top_loci(loci(spark, d))
@@ -316,15 +325,15 @@ RELEASE = f"""WITH g AS {GENES}, l AS {LOCI}, s AS ({STUDIES}),
     sc AS (SELECT p, g, sum(w * s) / 4.97 AS overall FROM (SELECT p, g, source, max(coalesce(q, 0)) AS s, {WEIGHT} AS w FROM ev WHERE g IN (SELECT g.g FROM g) GROUP BY 1, 2, 3) GROUP BY 1, 2),
     t AS (SELECT l_orderkey AS o, l_partkey AS tag, max(l_discount) FILTER (l_returnflag <> 'R') AS r2, max(l_tax) FILTER (l_linestatus = 'F') AS pp
           FROM lineitem WHERE (l_returnflag <> 'R' OR l_linestatus = 'F') AND l_partkey IN (SELECT p_partkey FROM part) GROUP BY 1, 2),
-    d AS (SELECT l.study_id, lead, m, e, beta, odds, tag, r2, pp FROM l JOIN s USING (study_id) JOIN t USING (o)),
-    v AS (SELECT study_id, lead, min(m) AS m, min(e) AS e, min(beta) AS beta, min(odds) AS odds, count(DISTINCT CASE WHEN pp > 0 THEN tag END) AS credible,
-          count(DISTINCT CASE WHEN r2 > 0 THEN tag END) AS ld, count(DISTINCT tag) AS uniq FROM d GROUP BY 1, 2),
+    d AS (SELECT l.study_id, lead, tag, r2, pp FROM l JOIN s USING (study_id) JOIN t USING (o)),
+    f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY study_id, lead ORDER BY e) AS r FROM {LOCI_ROWS}) WHERE r = 1),
+    v AS (SELECT study_id, lead, count(DISTINCT CASE WHEN pp > 0 THEN tag END) AS credible, count(DISTINCT CASE WHEN r2 > 0 THEN tag END) AS ld, count(DISTINCT tag) AS uniq FROM d GROUP BY 1, 2),
     r AS (SELECT study_id, lead, string_agg('S' || g, ',' ORDER BY 'S' || g) AS ids, string_agg(CAST(CAST(round(x * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY x DESC) AS scores
           FROM (SELECT study_id, lead, sc.g, max(overall) AS x FROM d JOIN sc ON tag = p WHERE r2 IS NOT NULL OR pp IS NOT NULL GROUP BY 1, 2, 3) GROUP BY 1, 2)
     SELECT v.study_id AS study, 'c' || v.lead % 5 AS chrom, v.lead * {STEP} AS pos, round(log10(m) + e, 6) AS log_pval, m AS pval_mantissa, e AS pval_exponent, odds, round(odds - 1, 6) AS "oddsL",
-        '+' AS direction, beta, round(beta + 1, 6) AS "betaU", credible AS "credibleSetSize", ld AS "ldSetSize", uniq AS uniq_variants, coalesce(r.ids, '') AS raw_ids, coalesce(r.scores, '') AS raw_scores,
+        dir AS direction, beta, round(beta + 1, 6) AS "betaU", credible AS "credibleSetSize", ld AS "ldSetSize", uniq AS uniq_variants, coalesce(r.ids, '') AS raw_ids, coalesce(r.scores, '') AS raw_scores,
         coalesce(c.n, -1) AS n_coloc, coalesce(c.top, -1) AS top_coloc, coalesce(x.ids, '') AS l2g_ids, coalesce(x.scores, '') AS l2g_scores
-    FROM v LEFT JOIN r USING (study_id, lead) LEFT JOIN {COLOC_GENES} c USING (study_id, lead) LEFT JOIN {L2G} x USING (study_id, lead)"""
+    FROM v JOIN f USING (study_id, lead) LEFT JOIN r USING (study_id, lead) LEFT JOIN {COLOC_GENES} c USING (study_id, lead) LEFT JOIN {L2G} x USING (study_id, lead)"""
 
 
 def inputs(spark, d) -> dict[str, DataFrame]:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as C
 from ..functions import filters
-from ..operators import aggregates, windows
+from ..operators import aggregates, joins, windows
 from ..sources.shared import staged
 from . import variant_disease as vd
 from . import variant_gene as vg
@@ -26,41 +26,73 @@ def scored_datasets(v2g: DataFrame, d2v2g: DataFrame, weights: Mapping[str, floa
 LEAD_NAMES = {"study_id": "study", "lead_chrom": "chrom", "lead_pos": "pos", "lead_ref": "ref", "lead_alt": "alt"}
 
 
+def l2g_genes(l2g: DataFrame) -> DataFrame:
+    return l2g.withColumnRenamed("study_id", "study").where(F.col("y_proba_full_model") >= S.MIN_PROBABILITY)
+
+
+def raw_genes(d2v2g_scored: DataFrame) -> DataFrame:
+    return d2v2g_scored.withColumnsRenamed(LEAD_NAMES)
+
+
+def coloc_genes(v2d_coloc: DataFrame) -> DataFrame:
+    return v2d_coloc.withColumnsRenamed({f"left_{c}": c for c in S.LOCUS_KEY}).where(
+        (F.round("coloc_h4", 2) >= S.MIN_COLOC_H4) & (F.col("coloc_log2_h4_h3") >= F.log2(F.lit(float(S.MIN_COLOC_RATIO)))) & (F.col("right_type") != "gwas")
+    )
+
+
 def top_genes_l2g(l2g: DataFrame, n: int | None = None) -> DataFrame:
-    likely = l2g.withColumnRenamed("study_id", "study").where(F.col("y_proba_full_model") >= S.MIN_PROBABILITY)
-    return windows.top_n_by_group(likely, S.LOCUS_KEY, "gene_id", "y_proba_full_model", "top10_genes_l2g", n)
+    return windows.top_n_by_group(l2g_genes(l2g), S.LOCUS_KEY, "gene_id", "y_proba_full_model", "top10_genes_l2g", n)
 
 
 def top_genes_raw(d2v2g_scored: DataFrame, n: int | None = None) -> DataFrame:
-    return windows.top_n_by_group(d2v2g_scored.withColumnsRenamed(LEAD_NAMES), S.LOCUS_KEY, "gene_id", "overall_score", "top10_genes_raw", n)
+    return windows.top_n_by_group(raw_genes(d2v2g_scored), S.LOCUS_KEY, "gene_id", "overall_score", "top10_genes_raw", n)
 
 
 def top_genes_coloc(v2d_coloc: DataFrame, n: int | None = None) -> DataFrame:
-    names = {f"left_{c}": c for c in S.LOCUS_KEY}
-    strong = v2d_coloc.withColumnsRenamed(names).where(
-        (F.round("coloc_h4", 2) >= S.MIN_COLOC_H4) & (F.col("coloc_log2_h4_h3") >= F.log2(F.lit(float(S.MIN_COLOC_RATIO)))) & (F.col("right_type") != "gwas")
-    )
-    return windows.top_n_by_group(strong, S.LOCUS_KEY, "right_gene_id", "coloc_h4", "top10_genes_coloc", n)
+    return windows.top_n_by_group(coloc_genes(v2d_coloc), S.LOCUS_KEY, "right_gene_id", "coloc_h4", "top10_genes_coloc", n)
 
 
-def locus_summary(v2d: DataFrame) -> DataFrame:
-    """Effect of each lead variant, and how many tag variants stand for it by which evidence."""
-    firsts = {
-        "pval": "pval", "pval_mantissa": "pval_mantissa", "pval_exponent": "pval_exponent", "odds": "odds_ratio", "oddsL": "oddsr_ci_lower",
-        "oddsU": "oddsr_ci_upper", "direction": "direction", "beta": "beta", "betaL": "beta_ci_lower", "betaU": "beta_ci_upper",
-    }
+#: Columns of a locus and the v2d columns they come from; the least p-value decides which row gives them all.
+EFFECTS = {
+    "pval": "pval", "pval_mantissa": "pval_mantissa", "pval_exponent": "pval_exponent", "odds": "odds_ratio", "oddsL": "oddsr_ci_lower",
+    "oddsU": "oddsr_ci_upper", "direction": "direction", "beta": "beta", "betaL": "beta_ci_lower", "betaU": "beta_ci_upper",
+}
+
+
+def _locus_parts(v2d: DataFrame) -> tuple[DataFrame, list[str], Column, dict, dict]:
+    """Arguments of the distinct counts: v2d by locus, its tag variants, which are counted, and its effect columns."""
     counts = {"credibleSetSize": F.col("posterior_prob") > 0, "ldSetSize": F.col("overall_r2") > 0, "uniq_variants": None}
-    return aggregates.conditional_distinct(
-        v2d.withColumnsRenamed(LEAD_NAMES), S.LOCUS_KEY, C.compose_key(*S.TAG_KEY), counts, {k: F.col(v) for k, v in firsts.items()}
-    )
+    return v2d.withColumnsRenamed(LEAD_NAMES), S.LOCUS_KEY, F.struct(*S.TAG_KEY), counts, {k: F.col(v) for k, v in EFFECTS.items()}
+
+
+def locus_summary(v2d: DataFrame) -> DataFrame:
+    """Effect of each lead variant, from its row with the least p-value, and how many tag variants stand for it by which evidence."""
+    return aggregates.conditional_distinct(*_locus_parts(v2d))
 
 
 def manhattan(v2d: DataFrame, d2v2g_scored: DataFrame, v2d_coloc: DataFrame, l2g: DataFrame, n: int | None = None) -> DataFrame:
-    """One row per locus with its best genes by three measures; required columns may not be null."""
-    whole = locus_summary(v2d)
-    for genes in (top_genes_raw(d2v2g_scored, n), top_genes_coloc(v2d_coloc, n), top_genes_l2g(l2g, n)):
-        whole = whole.join(genes, S.LOCUS_KEY, "left")
-    return C.conform_schema(whole, S.MANHATTAN, S.MANHATTAN_REQUIRED)
+    """One row per locus with its best genes by three measures; required columns may not be null.
+
+    All four inputs are reduced to one row per locus and tag or gene, then stand one under another, and one
+    aggregation by locus makes the counts and the lists: one exchange on the locus key, no join.
+    """
+    counts = _locus_parts(v2d)[3]
+    tags = aggregates.distinct_keys(*_locus_parts(v2d)).drop("_key")
+    lists = {
+        "top10_genes_raw": (raw_genes(d2v2g_scored), "gene_id", "overall_score"),
+        "top10_genes_coloc": (coloc_genes(v2d_coloc), "right_gene_id", "coloc_h4"),
+        "top10_genes_l2g": (l2g_genes(l2g), "gene_id", "y_proba_full_model"),
+    }
+    best = [windows.best_by_item(df, S.LOCUS_KEY, gene, score, n).withColumn("_list", F.lit(name)).withColumnRenamed(gene, "_id") for name, (df, gene, score) in lists.items()]
+    whole = joins.union_evidence(tags, *best).groupBy(*S.LOCUS_KEY)
+    gathered = {name: windows.ranked_list(F.col("_list") == name, "_id") for name in lists}
+    found = whole.agg(F.min("_first").alias("_first"), *aggregates.distinct_counts(counts), *[c.alias(name) for name, c in gathered.items()])
+    columns = [F.col(f"_first.{name}").alias(name) for name in EFFECTS]
+    for name in lists:
+        some = F.size(name) > 0
+        columns += [F.when(some, F.col(f"{name}._id")).alias(f"{name}_ids"), F.when(some, F.col(f"{name}._score")).alias(f"{name}_score")]
+    found = found.where(F.col("_first").isNotNull()).select(*S.LOCUS_KEY, *columns, *counts)
+    return C.conform_schema(found, S.MANHATTAN, S.MANHATTAN_REQUIRED)
 
 
 def dictionaries(variants: DataFrame, studies: DataFrame, traits: DataFrame, overlaps: DataFrame, genes: DataFrame) -> dict[str, DataFrame]:
