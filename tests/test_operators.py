@@ -54,27 +54,68 @@ def test_interval_join_like_exploding_every_base(spark, width):
 def test_nearest_takes_the_smallest_id_of_ties(spark):
     left = spark.createDataFrame([("v1", "1", 100), ("v2", "1", 900), ("v3", "2", 100)], "v string, k string, p long")
     right = spark.createDataFrame([("g2", "1", 110, True), ("g1", "1", 90, False), ("g3", "1", 95, None)], "g string, k string, q long, coding boolean")
-    got = joins.nearest_by(left, right, ["k"], "p", "q", 20, ["v"], "g", {"any": None, "coding": F.col("coding")})
+    got = joins.nearest_by(left, right, ["k"], "p", "q", 20, "g", {"any": None, "coding": F.col("coding")})
     assert rows(got.select("v", "any", "any_distance", "coding", "coding_distance")) == Counter(
         [("v1", "g3", 5, "g2", 10), ("v2", None, None, None, None), ("v3", None, None, None, None)]
     )
 
 
-@pytest.mark.parametrize("radii", [(1.0,), (0.02, 1.0), (0.01, 0.1, 0.5)])
-def test_nearest_like_brute_force(spark, radii):
+@pytest.mark.parametrize(("width", "most"), [(None, 10**6), (7, 10**6), (50, 3), (5000, 10)])
+def test_nearest_like_brute_force(spark, width, most):
+    """Ties, repeated and null rows, empty bins, dense bins that are split."""
     rng = random.Random(6)
-    left = [(i, rng.choice("ab"), rng.randrange(2000)) for i in range(200)]
-    right = [(f"g{i:02}", rng.choice("ab"), rng.randrange(2000), rng.random() < 0.3) for i in range(40)]
+    left = [(i % 190, rng.choice("ab") if i % 17 else None, rng.choice([rng.randrange(2000), 777, -5, None]), rng.choice([None, "T"])) for i in range(300)]
+    right = [(f"g{i:02}", rng.choice("ab") if i % 7 else None, rng.randrange(200) * 10 if i % 9 else None, rng.choice([True, False, False, None])) for i in range(60)]
     got = joins.nearest_by(
-        spark.createDataFrame(left, "v long, k string, p long"), spark.createDataFrame(right, "g string, k string, q long, coding boolean"),
-        ["k"], "p", "q", 300, ["v"], "g", {"any": None, "coding": F.col("coding")}, radii,
+        spark.createDataFrame(left, "v long, k string, p long, _at string"), spark.createDataFrame(right, "g string, k string, q long, coding boolean"),
+        ["k"], "p", "q", 300, "g", {"any": None, "coding": F.col("coding")}, width, most,
     )
     want = Counter()
-    for v, k, p in left:
-        near = [(abs(p - q), g, c) for g, kk, q, c in right if kk == k and abs(p - q) <= 300]
-        a, b = min(near, default=(None, None))[:2], min((x for x in near if x[2]), default=(None, None))[:2]
-        want[v, *a, *b] += 1
-    assert rows(got.select("v", "any_distance", "any", "coding_distance", "coding")) == want
+    for v, k, p, a in left:
+        near = [(abs(p - q), g, c) for g, kk, q, c in right if kk == k and q is not None and abs(p - q) <= 300] if k and p is not None else []
+        x, y = min(near, default=(None, None), key=lambda r: r[:2])[:2], min((r for r in near if r[2]), default=(None, None), key=lambda r: r[:2])[:2]
+        want[v, k, p, a, *x, *y] += 1
+    assert rows(got.select("v", "k", "p", "_at", "any_distance", "any", "coding_distance", "coding")) == want
+
+
+def test_nearest_makes_no_pairs(spark):
+    left = spark.range(500).select("id", F.lit("a").alias("k"), F.col("id").alias("p"))
+    right = spark.range(400).select(F.col("id").alias("g"), F.lit("a").alias("k"), (F.col("id") % 20).alias("q"))
+    got = joins.nearest_by(left, right, ["k"], "p", "q", 100, "g", {"any": None, "odd": F.col("g") % 2 == 1})
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 500 and "Inner" not in plan and "Expand" not in plan
+    assert got.where("p = 19").first()["any"] == 19 and got.where("p = 30").first()["odd"] == 19
+
+
+def test_nearest_of_nothing(spark):
+    left = spark.createDataFrame([(1, "a", 5)], "v long, k string, p long")
+    right = spark.createDataFrame([], "g string, k string, q long")
+    assert tuple(joins.nearest_by(left, right, ["k"], "p", "q", 9, "g", {"any": None}).first()) == (1, "a", 5, None, None)
+    assert joins.nearest_by(left.limit(0), left.select(F.lit("g").alias("g"), "k", F.col("p").alias("q")), ["k"], "p", "q", 9, "g", {"any": None}).count() == 0
+
+
+def test_band_join_splits_dense_bins(spark):
+    """Nine tenths of the rows lie at one position: no share holds many more than the stated number, and no pair is lost or doubled."""
+    left = spark.range(20_000).select(F.col("id").alias("l"), F.lit("a").alias("k"), F.when(F.col("id") % 10 > 0, 500).otherwise(F.col("id") % 5000).alias("p"))
+    right = spark.createDataFrame([(i, "a", i * 100) for i in range(50)], "r long, k string, q long")
+    plain = left.join(right, "k").where("abs(p - q) <= 100").select("l", "r", F.abs(F.col("p") - F.col("q")))
+    got = joins.band_join(left, right, ["k"], "p", "q", 100, most=1000)
+    assert rows(got.select("l", "r", "d")) == rows(plain)
+    binned = left.withColumn("_bin", F.expr("p div 100"))
+    dense = joins._shares(binned, ["k"], 1000)
+    shares = [r["count"] for r in joins._dealt(binned, ["k", "_bin"], dense).groupBy("k", "_bin", "_share").count().collect()]
+    assert max(shares) < 1200 and sum(shares) == 20_000
+
+
+def test_intervals_of_any_length_take_two_bins_at_most(spark):
+    spans = [(k, "a", s, s + length) for k, (s, length) in enumerate((s, n) for n in [0, 1, 2, 9, 10, 11, 19, 20, 21, 1279, 1280, 1281, 10**6, 240 * 10**6] for s in (0, 7, -13, 10**7))]
+    intervals = spark.createDataFrame(spans, "i long, k string, s long, e long")
+    copies = joins.interval_bins(intervals, "s", "e", 10).groupBy("i").count().collect()
+    assert len(copies) == len(spans) and max(r["count"] for r in copies) <= 2
+    points = spark.createDataFrame([(p, "a", p) for p in [-14, -13, -1, 0, 5, 7, 8, 9, 10, 17, 27, 28, 1286, 1287, 10**6, 10**7, 10**7 + 20, 24 * 10**7]], "v long, k string, p long")
+    want = Counter((i, p) for i, _, s, e in spans for (p,) in points.select("p").collect() if s <= p <= e)
+    assert rows(joins.interval_join(intervals, points, ["k"], "s", "e", "p", 10).select("i", "p")) == want
+    assert joins.interval_join(intervals.limit(0), points, ["k"], "s", "e", "p", 10).count() == 0
 
 
 def test_null_or_match(spark):

@@ -438,7 +438,7 @@ def _(spark, d):
 )
 def _(spark, d):
     c, s = sides(spark, d)
-    found = joins.nearest_by(c, s, ["nation"], "c_acctbal", "s_acctbal", 1000, ["c_custkey"], "s_suppkey", {"near": None, "solvent": F.col("s_acctbal") > 0})
+    found = joins.nearest_by(c, s, ["nation"], "c_acctbal", "s_acctbal", 1000, "s_suppkey", {"near": None, "solvent": F.col("s_acctbal") > 0})
     return found.select("c_custkey", r6("near_distance").alias("near_distance"), "near", r6("solvent_distance").alias("solvent_distance"), "solvent")
 
 

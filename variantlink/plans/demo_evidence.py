@@ -163,6 +163,22 @@ def _(spark, d):
     return found.select("position", "gene_id", "type_id", "source_id", "feature", r6("interval_score").alias("interval_score"), "interval_score_q")
 
 
+LENGTHS = f"(SELECT s_suppkey, 'c' || s_suppkey % 5 AS chr, s_suppkey * {INTERVAL_STEP} AS s, s_suppkey * {INTERVAL_STEP} + (1 << (s_suppkey % 28)) - 1 AS e FROM supplier)"
+
+
+@query(
+    "interval_join_lengths",
+    f"SELECT s_suppkey, p_partkey FROM {LENGTHS} i JOIN part ON chr = 'c' || p_partkey % 5 AND p_partkey * {STEP} BETWEEN s AND e",
+)
+def _(spark, d):
+    """Intervals from one base to more than a whole chromosome."""
+    k = F.col("s_suppkey")
+    start = k * INTERVAL_STEP
+    spans = table(spark, d, "supplier").select("s_suppkey", chrom(k).alias("chr_id"), start.alias("start"), (start + F.expr("shiftleft(1L, cast(s_suppkey % 28 as int))") - 1).alias("end"))
+    points = table(spark, d, "part").select("p_partkey", chrom("p_partkey").alias("chr_id"), (F.col("p_partkey") * STEP).alias("position"))
+    return joins.interval_join(spans, points, ["chr_id"], "start", "end", "position", 1_000).select("s_suppkey", "p_partkey")
+
+
 @query("file_provenance", "SELECT CASE WHEN s_nationkey < 12 THEN 'javierre2016' ELSE 'jung2019' END AS source, 'S' || s_suppkey AS gene_id, 2 AS n FROM supplier")
 def _(spark, d):
     tokens = C.path_tokens(F.col("filename"), "/interval/")

@@ -38,7 +38,7 @@ def variant_index(raw: DataFrame, genes: DataFrame, max_distance: int = S.NEARES
     variants = filters.not_null(variants, ["chr_id", "position"])
     known = chosen_genes(genes, S.APPROVED_BIOTYPES).withColumnRenamed("chr", "chr_id")
     groups = {"gene_id_any": None, "gene_id_prot_coding": F.col("biotype").isin(S.PROTEIN_CODING)}
-    found = joins.nearest_by(variants, known, ["chr_id"], "position", "tss", max_distance, S.VARIANT_KEY, "gene_id", groups)
+    found = joins.nearest_by(variants, known, ["chr_id"], "position", "tss", max_distance, "gene_id", groups)
     return layout.cluster_by_position(found, "chr_id", "position")
 
 
