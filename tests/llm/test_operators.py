@@ -636,6 +636,43 @@ def test_pages_with_other_articles(spark):
     assert {r["page_id"]: r["text"] for r in html_text.main_text(frame).collect()} == {k: x for k, _, x in rows}
 
 
+def test_marked_wrappers_lose_no_article(spark):
+    own = "<article><h1>T</h1><p>Body</p></article>"
+    whole = "T\n\nBody"
+    rows = [
+        (page(f"<div class='site has-sidebar'>{own}</div>"), whole), (page(f"<div class='layout no-comments'><main>{own}</main></div>"), whole),
+        (page("<article class='post tag-ads category-search'><p>Body</p></article>"), "Body"), (page(f"<div class='sidebar'>{own}</div>"), whole),
+        (page(f"<div id='comments'>{own}</div>"), whole), (page(f"<div class='banner'><main>Own</main></div><p>{'Some other longer text'}</p>"), "Own"),
+        (page("<article><p class='share-price'>12.40</p><div class='section notices'><p>Legal</p></div></article>"), "12.40\n\nLegal"),
+        (page("<article><p>a</p><div class='comments-area'><p>me too</p></div><div class='ad-slot-2'>Buy</div><nav>x</nav><form>f</form></article>"), "a"),
+        (page("<article><p>a</p></article><article class='comment'>me too</article>"), "a"), (page("<script src='a.js'/>var a=1;</script><p>b</p>"), "b"),
+        (page("<style media='x'/>p{}</style><article>c<svg width='1'/>d</article>"), "c d"), (page("<p>Story goes on</p><div class='related-posts'><article>Tease</article></div>"), "Story goes on"),
+        (page("<p>Story</p><section id='comments'><article>A long comment of a reader</article></section>"), "Story"),
+        (page(f"<div class='share-prices'>{own}</div><div class='with-banner'><p>x</p></div>"), whole), (page("<div role='navigation'>Menu</div><p>b</p>"), "b"),
+    ]
+    frame = spark.createDataFrame([(k, f"http://h{k}.org/", x) for k, (x, _) in enumerate(rows)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(frame).collect()} == {k: x for k, (_, x) in enumerate(rows)}
+
+
+def test_generated_pages_with_marked_wrappers(spark):
+    """Pages made of parts whose role is known: the article's own text and nothing else comes out."""
+    rng = random.Random(12)
+    wraps = ["has-sidebar", "no-comments", "page-with-banner", "layout", "site header-fixed-off", "tag-ads", "sidebar-hidden-view", "template-search-results", "single-post share-prices"]
+    asides = ["<nav>{}</nav>", "<footer>{}</footer>", "<div class='sidebar'>{}</div>", "<div class='cookie-banner'>{}</div>", "<aside>{}</aside>", "<div id='site-header'>{}</div>", "<ul class='menu-items'>{}</ul>"]
+    inner = ["<div class='ad'>{}</div>", "<form>{}</form>", "<div class='comments'>{}</div>", "<nav>{}</nav>"]
+    rows, want = [], {}
+    for k in range(200):
+        parts = [f"Own text {k} {i}" for i in range(rng.randrange(1, 6))]
+        body = "".join(f"<p{rng.choice(['', ' class=share-price', ' class=notice'])}>{x}</p>" + (rng.choice(inner).format("gone") if rng.random() < 0.3 else "") for x in parts)
+        body = f"<{(tag := rng.choice(['article', 'main']))} class='{rng.choice(wraps)}'>{body}</{tag}>"
+        for _ in range(rng.randrange(3)):
+            body = f"<div class='{rng.choice(wraps)}'>{body}</div>"
+        body = "".join(rng.choice(asides).format("gone") for _ in range(rng.randrange(3))) + body + "".join(rng.choice(asides).format("gone") for _ in range(rng.randrange(3)))
+        rows.append((k, f"http://h.org/{k}", page(body)))
+        want[k] = "\n\n".join(parts)
+    assert {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()} == want
+
+
 def test_copied_pages_without_an_article(spark):
     body = lambda x: page(f"<div>Menu of all pages</div><p>{x}</p><p>Shared note</p>")
     rows = [(k, f"http://a.org/one?q={k}", body("Apples grow")) for k in range(150)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,8 @@ from .common import staged
 
 PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|svg|title|annotation|annotation-xml)\b(?:[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|svg|title|annotation-xml|annotation)\b"
+    r"(?:(?:(?<=svg)|(?<=annotation)|(?<=annotation-xml))[^>]*/>|[^>]*>.*?(?:</(?P=raw)\s*>|\Z))"  # in HTML itself a slash closes nothing
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|(?P<text>[^<]+|<)",
@@ -33,12 +34,20 @@ ASIDE = frozenset("nav header footer aside form menu dialog head button select f
 MAIN = frozenset(("article", "main"))
 #: Those of them that an article ends: no article stands in a head, and a form may be laid around a whole page.
 OPEN_TO_MAIN = frozenset("head form fieldset".split())
-#: Words in class, id or role that mark such an element.
+#: Words in class, id, role or label that mark such an element, those of them that do so inside an article too, words that may follow
+#: a mark without changing what it is, and words before a mark that make it a remark about the element ("has-sidebar", "tag-ads").
+WITHIN = re.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|pagination|pager|newsletter|subscribe|search|comments?|replies|respond"
+)
 MARK = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|dialog|nav\w*|menu\w*"
-    r"|breadcrumbs?|sidebar|aside|masthead|header|footer|comments?|replies|respond|share|sharing|social|related|newsletter"
-    r"|subscribe|search|contentinfo|complementary|toolbar|pagination|pager)(?:$|[^a-z])"
+    WITHIN.pattern + r"|banner|cookies?|consent|notices?|alert|popup|modal|dialog|sidebar|aside|masthead|header|footer"
+    r"|share|sharing|social|related|contentinfo|complementary|toolbar"
+)
+CARRIERS = frozenset(
+    "area bar block body bottom box button buttons card col column container content form group holder icon icons inner item items left link links list "
+    "listing main outer overlay panel placeholder posts primary region right row secondary section slot stories text thread top unit widget wrap wrapper".split()
 )
+REMARKS = frozenset("cat category format has hide hidden is no non not page post show single tag template term topic type with without".split())
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 CLOSED_BY = {"p": frozenset("p".split()), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p"))}
 #: Parts that the copies of one page are dealt over when they are given their partner.
@@ -46,17 +55,41 @@ SALTS = 64
 SPACE = re.compile(r"\s+")
 
 
+def marked(attrs: str, rule: re.Pattern = MARK) -> bool:
+    """Whether a class, id, role or label names the element as something else than an article.
+
+    Each name is read as a compound: it is a mark if a marking word stands in it, nothing behind that changes its meaning
+    (a "share-price" is a price), and no word before turns it into a remark.
+    """
+    for value in NAMED.findall(attrs):
+        for name in value.strip("\"'").lower().split():
+            parts = [x for x in re.split(r"[^a-z0-9\u0080-\uffff]+", name) if x]
+            at = next((k for k, x in enumerate(parts) if rule.fullmatch(x)), None)
+            if at is None or not REMARKS.isdisjoint(parts[:at]):
+                continue
+            if all(x in CARRIERS or MARK.fullmatch(x) or re.search(r"\d", x) for x in parts[at + 1 :]):
+                return True
+    return False
+
+
 @dataclass
 class Block:
     text: str
     main: bool  # in an article or main element
-    aside: bool  # in an element that is marked as something else
+    sole: bool  # in a main element, of which a page has one
+    around: int  # marks on elements around its article, if any: 0 none, 1 some, 2 such as count inside an article too
+    own: bool  # in an element that is something else by its name, or by a mark inside its article
+
+    @property
+    def aside(self) -> bool:
+        return self.own or self.around > 0
 
 
 def blocks_of(page: str) -> list[Block]:
     """Visible blocks in page order, white space collapsed, character references decoded."""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # tag, whether in main, whether in an aside
+    open_tags: list[tuple[str, Block]] = []  # tag, what its blocks are
+    nothing = Block("", False, False, 0, False)
     words: list[str] = []
     ends = {tag: max((m.start() for m in re.finditer(rf"</{tag}\b", page, re.I)), default=-1) for tag in ASIDE - OPEN_TO_MAIN}
 
@@ -64,8 +97,7 @@ def blocks_of(page: str) -> list[Block]:
         text = SPACE.sub(" ", html.unescape("".join(words))).strip()
         words.clear()
         if text:
-            _, main, aside = open_tags[-1] if open_tags else ("", False, False)
-            found.append(Block(text, main, aside))
+            found.append(replace(open_tags[-1][1] if open_tags else nothing, text=text))
 
     def close(at: int) -> None:
         flush()
@@ -84,7 +116,7 @@ def blocks_of(page: str) -> list[Block]:
                 if tag not in INLINE:
                     flush()
             elif tag in INLINE:
-                if at == len(open_tags) - 1 and not open_tags[at][2]:
+                if at == len(open_tags) - 1 and not open_tags[at][1].aside:
                     del open_tags[at:]
                 elif all(x[0] in INLINE for x in open_tags[at:]):
                     close(at)
@@ -107,13 +139,14 @@ def blocks_of(page: str) -> list[Block]:
                     close(at)
             if open_tags and open_tags[-1][0] in CLOSED_BY.get(tag, ("p",) if tag not in INLINE else ()):
                 close(len(open_tags) - 1)
-            _, main, aside = open_tags[-1] if open_tags else ("", False, False)
-            own = tag in ASIDE
-            if not own and tag not in ("html", "body") and tag != "main":
-                own = any(MARK.search(x.strip("\"'").lower()) for x in NAMED.findall(m["attrs"]))
-            if own and tag in INLINE:
+            up = open_tags[-1][1] if open_tags else nothing
+            main, named, free = up.main or tag in MAIN, tag in ASIDE, tag in ("html", "body", "main")
+            within = not free and marked(m["attrs"], WITHIN)
+            level = 0 if free or main else 2 if within else int(marked(m["attrs"]))
+            own = named or main and within
+            if (own or level) and tag in INLINE:
                 flush()
-            open_tags.append((tag, main or tag in MAIN, aside or own))
+            open_tags.append((tag, Block("", main, up.sole or tag == "main", max(up.around, level), up.own or own)))
     flush()
     return found
 
@@ -201,6 +234,23 @@ def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), pa.array(shared, pa.list_(pa.int32()))], ["k1", "k2", "shared"])
 
 
+def article_of(blocks: list[Block], shared: set[int]) -> list[int]:
+    """Indices of the blocks that are a page's main text; ``shared`` ones are also on the partner page.
+
+    An article without marks around it alone counts. One in a marked wrapper is the page's own if it is in a main element, if nothing
+    stands outside of marked elements, or if it is longer than what does (unless the wrapper is a menu, advert or the comments);
+    else it is a teaser. On pages without an article shared blocks go.
+    """
+    plain = [k for k, b in enumerate(blocks) if not b.aside]
+    if any(blocks[k].main for k in plain):
+        return [k for k in plain if blocks[k].main]
+    rest = [k for k in plain if k not in shared] or plain
+    wrapped = [k for k, b in enumerate(blocks) if b.main and not b.own]
+    size = sum(len(blocks[k].text) for k in rest)
+    longer = sum(len(blocks[k].text) for k in wrapped if blocks[k].around < 2) > size
+    return wrapped if longer or size == 0 or any(blocks[k].sole for k in wrapped) else rest
+
+
 def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
@@ -208,10 +258,7 @@ def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts, counts = [], []
             for page, own in zip(batch.column("html"), batch.column("shared"), strict=True):
                 blocks, shared = blocks_of(page.as_py() or ""), set(own.as_py() or [])
-                guarded = any(b.main and not b.aside for b in blocks)
-                plain = [k for k, b in enumerate(blocks) if not b.aside]
-                kept = [k for k in plain if blocks[k].main] if guarded else [k for k in plain if k not in shared]
-                texts.append("\n\n".join(blocks[k].text for k in kept or plain))
+                texts.append("\n\n".join(blocks[k].text for k in article_of(blocks, shared)))
                 counts.append(len(shared))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["page_id", "url", "text", "n_shared"]
@@ -280,7 +327,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     or comments go in any case.
 
     Null html counts as empty and gives an empty text; null urls share one host. Repeated rows are
-    one page in the pairing and give repeated results. Other columns are ignored; an empty table
+    one page in the pairing and give repeated results. A marked wrapper around the page's only article doesn't hide it, and
+    marks inside an article count for menus, forms, adverts and comments alone. Other columns are ignored; an empty table
     gives an empty result.
     """
     own = pages.select("page_id", "url", "html")
