@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from variantlink import schemas as S
 from variantlink.plans import pipeline, summaries, variant_disease, variant_gene
-from variantlink.sources.shared import new_path
+from variantlink.sources import io
+from variantlink.sources.shared import new_path, shared_dir
 
 GENE, STUDY = "ENSG00000223972", "FINNGEN_R5_CD2_INSITU_MELANOMA_TRUNK"
 SIDE = "study_id string, lead_chrom string, lead_pos long, lead_ref string, lead_alt string, tag_chrom string, tag_pos long, tag_ref string, tag_alt string"
@@ -167,3 +168,53 @@ def test_a_locus_that_stands_twice_gives_one_of_its_rows(tables, inputs):
     assert len(by_locus) == 1
     capped = summaries.manhattan(twice, tables["d2v2g_scored"], tables["v2d_coloc"], inputs["l2g"], n=1)
     assert capped.collect() == [want]
+
+
+def listing(spark, path):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName(): s.getModificationTime() for s in files.listStatus(place)} if files.exists(place) else {}
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_release_goes_on_after_a_failure(spark, inputs, tables, buckets, monkeypatch):
+    out, shared = new_path(spark, "release"), shared_dir(spark)
+
+    def lost(*_):
+        raise RuntimeError("executors lost")
+
+    before = set(listing(spark, shared))
+    with monkeypatch.context() as m:
+        m.setattr(variant_disease, "disease_variant_gene", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            pipeline.build_all(spark, inputs, out, buckets=buckets)
+    assert not listing(spark, f"{out}/d2v2g") and set(listing(spark, shared)) - before == {out.rsplit("/", 1)[1]}  # nothing staged is left
+    written = listing(spark, f"{out}/v2g"), listing(spark, f"{out}/v2d")
+
+    def again(*_):
+        raise AssertionError("made twice")
+
+    with monkeypatch.context() as m:
+        m.setattr(variant_gene, "variant_gene", again)
+        m.setattr(variant_disease, "variant_disease", again)
+        made = pipeline.build_all(spark, inputs, out, buckets=buckets)
+    assert written == (listing(spark, f"{out}/v2g"), listing(spark, f"{out}/v2d"))
+    for name, df in tables.items():
+        assert sorted(map(repr, made[name].collect())) == sorted(map(repr, df.collect())), name
+    done = pipeline.build_all(spark, inputs, out, buckets=buckets)  # nothing is left to do
+    assert set(done) == set(made) and set(listing(spark, shared)) - before == {out.rsplit("/", 1)[1]}
+    with pytest.raises(ValueError, match="something else"):
+        pipeline.build_all(spark, inputs, out, weights={"eqtl": 1.0}, buckets=buckets)
+
+
+def test_joins_of_bucketed_tables_move_nothing(spark, inputs):
+    made = pipeline.build_all(spark, inputs, new_path(spark, "release"), buckets=3)
+    with io.joined_in_buckets(spark):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables that are too large to broadcast
+        both = variant_disease.disease_variant_gene(made["v2d"], made["v2g"])
+        scored = summaries.scored_datasets(made["v2g"], made["d2v2g"], scores=made["scores"])
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (both, *scored)]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all("SortMergeJoin" in p and "Exchange" not in p for p in plans), plans
+    with pytest.raises(ValueError, match="exists"):
+        io.write_bucketed(made["v2g"], pipeline.Release(spark, {}, "/tmp").path("..").toString(), S.VARIANT_KEY, 3)

@@ -363,7 +363,7 @@ def inputs(spark, d) -> dict[str, DataFrame]:
 @query("build_all", RELEASE)
 def _(spark, d):
     """The whole release from raw tables: every table is built and written; the last one is compared."""
-    whole = pipeline.build_all(spark, inputs(spark, d), new_path(spark, "release"))["manhattan"]
+    whole = pipeline.build_all(spark, inputs(spark, d), new_path(spark, "release"), buckets=8)["manhattan"]
     # of equal scores the sums' last bits decide the order, so ids are compared as a set
     ids = F.array_join(F.array_sort("top10_genes_raw_ids"), ",")
     return whole.select(

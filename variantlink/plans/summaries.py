@@ -16,9 +16,12 @@ from . import variant_disease as vd
 from . import variant_gene as vg
 
 
-def scored_datasets(v2g: DataFrame, d2v2g: DataFrame, weights: Mapping[str, float] = S.SOURCE_WEIGHTS) -> tuple[DataFrame, DataFrame]:
-    """Both tables with overall scores; pairs without any weighted source vanish from both."""
-    scores = staged(vg.evidence_scores(v2g, weights), "scores")
+def scored_datasets(
+    v2g: DataFrame, d2v2g: DataFrame, weights: Mapping[str, float] = S.SOURCE_WEIGHTS, scores: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables with overall scores; pairs without any weighted source vanish from both. ``scores``: those of v2g, if they are written already."""
+    if scores is None:
+        scores = staged(vg.evidence_scores(v2g, weights), "scores")
     as_tags = scores.withColumnsRenamed(dict(zip(S.VARIANT_KEY, S.TAG_KEY, strict=True)))
     return v2g.join(scores, [*S.VARIANT_KEY, "gene_id"]), d2v2g.join(as_tags, [*S.TAG_KEY, "gene_id"])
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -61,3 +66,38 @@ def export_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
     """Tab-separated with a header; array columns become text."""
     arrays = any(isinstance(f.dataType, ArrayType) for f in df.schema)
     (stringify_arrays(df) if arrays else df).write.mode(mode).csv(path, sep="\t", header=True)
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Parquet files dealt into ``buckets`` by a hash of ``keys`` and sorted by them, one file a bucket; refuses a path that exists."""
+    spark, name = df.sparkSession, f"vl_{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        raise ValueError(f"{path} exists")
+    # only a catalog table's writer makes buckets; the files stay when its entry goes
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def scan_bucketed(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], buckets: int) -> DataFrame:
+    """What write_bucketed wrote, as a catalog table: joins on ``keys`` need no exchange of it."""
+    name = f"vl_{hashlib.sha256(path.encode()).hexdigest()[:32]}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    own = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY ({own}) SORTED BY ({own}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
+@contextmanager
+def joined_in_buckets(spark: SparkSession) -> Iterator[None]:
+    """In this block a join on more columns than the buckets' keeps their partitioning, instead of dealing rows anew by all columns."""
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

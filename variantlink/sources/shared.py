@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,13 +26,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables staged in the innermost scratch block.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are staged in this block are removed at its end: write what is read from them before."""
+    paths: list[str] = []
+    token = _SCRATCH.set(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, paths)
+
+
 def staged(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, freezes its rows.
 
     The table stays until the folder is cleared, as results are read lazily; one that its caller is done with
-    can be removed by the path that is added to ``paths``.
+    can be removed by the path that is added to ``paths``, or in a ``scratch`` block.
     """
     path = new_path(df.sparkSession, name)
+    paths = _SCRATCH.get() if paths is None else paths
     df.write.parquet(path)
     if paths is not None:
         paths.append(path)
