@@ -418,42 +418,72 @@ def test_keep_one_each(odd_docs):
 # line dedup
 
 
-def one_edit_apart(a, b):
-    if len(a) == len(b):
-        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
-    a, b = sorted((a, b), key=len)
-    k = next((k for k, x in enumerate(a) if x != b[k]), len(a))
-    return len(b) - len(a) == 1 and a[k:] == b[k + 1 :]
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def place(at):
+    return (at[0] is not None, at[0] or 0, at[1])
+
+
+def all_lines(docs):
+    return [(i, k, tuple(w for w in re.split(r"[ \t\x0b\x0c\r]+", x) if w)) for i, t in docs for k, x in enumerate((t or "").split("\n"))]
+
+
+def near_pairs(first, share):
+    """Distances of all distinct lines within the bound, by comparing every two whose words could allow it."""
+    out: dict = defaultdict(dict)
+    found = sorted(first, key=len)
+    bags = {w: Counter(w) for w in found}
+    for k, b in enumerate(found):
+        most = int(share * len(b) + 1e-9)
+        for a in reversed(found[:k]):
+            if len(b) - len(a) > most:
+                break
+            if sum((bags[a] & bags[b]).values()) >= len(b) - most and (d := word_edits(a, b)) <= most:
+                out[a][b] = out[b][a] = d
+    return out
 
 
-def plain_lines(docs, least):
-    """Verdicts of line dedup by comparing every two distinct lines."""
-    rows = []
-    for i, t in docs:
-        for k, x in enumerate((t or "").split("\n")):
-            rows.append((i, k, tuple(w for w in re.split(r"[ \t\x0b\x0c\r]+", x) if w)))
-    place = lambda at: (at[0] is not None, at[0] or 0, at[1])
-    first: dict = {}
+def check_lines(docs, found, share):
+    """Every verdict is true. How many lines have an earlier one within the bound, how many of them are dropped, and for the earliest such."""
+    rows, first = all_lines(docs), {}
     for i, k, w in rows:
-        first[w] = min(first.get(w, (i, k)), (i, k), key=place)
-    near: dict = {}
-    by_size = defaultdict(list)
-    for w in first:
-        if len(w) >= least:
-            by_size[len(w)].append(w)
-    for w, at in first.items():
-        if len(w) >= least:
-            others = (first[x] for n in (len(w) - 1, len(w), len(w) + 1) for x in by_size[n] if x != w and place(first[x]) < place(at) and one_edit_apart(w, x))
-            near[w] = min(others, key=place, default=None)
-    out = Counter()
+        if w:
+            first[w] = min(first.get(w, (i, k)), (i, k), key=place)
+    near, at, words = near_pairs(first, share), defaultdict(Counter), {}
+    for r in found:
+        at[r["id"] if "id" in r else r[0], r[1]][tuple(r)[2:]] += 1
     for i, k, w in rows:
-        target, edits = (None, None) if not w else (near[w], 1) if near.get(w) else (first[w], 0) if first[w] != (i, k) else (None, None)
-        out[(i, k, target is None, *(target or (None, None)), edits)] += 1
-    return out
-
-
-@pytest.mark.parametrize("least", [line_dedup.LEAST, 2])
-def test_line_dedup(spark, odd_docs, documents, least):
+        words.setdefault((i, k), []).append(w)
+    wanted = caught = earliest = 0
+    assert sum(sum(c.values()) for c in at.values()) == len(rows)
+    for i, k, w in rows:
+        options = {v: d for v, d in near[w].items() if place(first[v]) < place(first[w])} if w else {}
+        verdicts = [x for x in at[i, k]]
+        good = []
+        for kept, j, line, edits in verdicts:
+            if kept:
+                good.append(not w or first[w] == (i, k))
+            elif edits == 0:
+                good.append(first.get(w) == (j, line) != (i, k))
+            else:
+                good.append(any(first[v] == (j, line) and d == edits for v, d in options.items()))
+        assert any(good), (i, k, w, verdicts)
+        if options and len(words[i, k]) == 1:
+            hit = any(not x[0] and x[3] > 0 for x in verdicts)
+            wanted, caught = wanted + 1, caught + hit
+            earliest += hit and any((x[1], x[2]) == min((first[v] for v in options), key=place) for x in verdicts)
+    return wanted, caught, earliest
+
+
+@pytest.mark.parametrize("share", [line_dedup.SHARE, 0.34])
+def test_line_dedup(spark, odd_docs, documents, share):
     rng = random.Random(8)
     words = "a b c d e f g h".split()
     made = [(rng.choice([None, *range(30)]), "\n".join(" ".join(rng.choice(words[:3]) for _ in range(rng.randrange(9))) for _ in range(6))) for _ in range(40)]
@@ -464,8 +494,34 @@ def test_line_dedup(spark, odd_docs, documents, least):
         own[at : at + rng.randrange(2)] = [f"x{rng.randrange(3)}"] * rng.randrange(2)
         made.append((100 - k, " ".join(own)))
     for docs in (odd_docs, documents, spark.createDataFrame(made, "doc_id long, text string")):
-        if least == line_dedup.LEAST or docs is not documents:
-            assert Counter(map(tuple, line_dedup.line_dedup(docs, least=least).collect())) == plain_lines(texts_of(docs), least)
+        if share == line_dedup.SHARE or docs is not documents:
+            wanted, caught, _ = check_lines(texts_of(docs), line_dedup.line_dedup(docs, share=share).collect(), share)
+            assert caught >= 0.9 * wanted
+
+
+def test_line_dedup_finds_lines_of_any_length_up_to_the_bound(spark):
+    """Lines of 4 to 200 words with up to a fifth of their words edited at random places."""
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(400)] + ["the", "of", "and"] * 60
+    rows = []
+    for k in range(400):
+        line = [rng.choice(vocabulary) for _ in range(rng.choice([4, 5, 7, 10, 15, 20, 40, 80, 200]))]
+        own = list(line)
+        for _ in range(rng.randrange(0, len(line) // 5 + 1)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.choice([0, 1, 1])] = [rng.choice(vocabulary)] * rng.choice([0, 1, 1])
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(own))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted, caught, earliest = check_lines(rows, line_dedup.line_dedup(docs).collect(), line_dedup.SHARE)
+    assert wanted > 200 and caught >= 0.9 * wanted and earliest >= 0.9 * wanted
+
+
+def test_two_edits_in_twenty_words(spark):
+    words = [f"word{k}" for k in range(20)]
+    other = ["changed" if k in (6, 13) else w for k, w in enumerate(words)]
+    far = ["changed" if k % 4 == 0 else w for k, w in enumerate(words)]
+    got = line_dedup.line_dedup(spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(far))], "doc_id long, text string"))
+    assert sorted((r[0], r[2], r[3], r[5]) for r in got.collect()) == [(1, True, None, None), (2, False, 1, 2), (3, True, None, None)]
 
 
 def test_line_dedup_odd(odd_docs):
