@@ -219,6 +219,24 @@ def test_license_short_forms(spark):
     assert [out[k] for k in range(7)] == ["mit", "gpl-3.0", "gpl-2.0", "apache-2.0", "bsd,bsd-2-clause", "bsd,bsd-3-clause", ""]
 
 
+def test_license_versions_and_expressions(spark):
+    cases = {
+        "GNU Lesser General Public License version 2.1": "gpl,lgpl-2.1", "GNU Lesser General Public License, version 3": "gpl,lgpl-3.0", "Mozilla Public License v 1.1": "mpl-1.1",
+        "under the Mozilla Public License, Version 2.0": "mpl-2.0", "Mozilla Public License 2.0": "mpl-2.0", "Mozilla Public License": "", "Eclipse Public License v 1.0": "epl-1.0",
+        "terms of the Eclipse Public License 2.0": "epl-2.0", "GNU Affero General Public License version 1.0": "agpl-1.0,gpl", "GNU Affero General Public License v 3": "agpl-3.0,gpl",
+        "Artistic License 1.0": "artistic-1.0", "SPDX-License-Identifier: GPL-2.0-or-later AND MIT": "gpl-2.0,mit", "SPDX-License-Identifier: (MIT OR Apache-2.0)": "apache-2.0,mit",
+        "SPDX-License-Identifier: BSD-3-Clause-Clear": "bsd-3-clause-clear", "SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0 and more": "gpl-2.0",
+        "/* SPDX-License-Identifier: LGPL-2.1-only */ or mit": "lgpl-2.1", "SPDX-License-Identifier: (EPL-1.0 AND (ISC OR Zlib)) OR CC0-1.0\nor MIT": "cc0-1.0,epl-1.0,isc,zlib",
+        "SPDX-License-Identifier: LicenseRef-own": "", licenses.GNU_NOTICE.format(name="affero general", version=3): "agpl-3.0,gpl",
+        licenses.GNU_NOTICE.format(name="lesser general", version="2 1"): "gpl,lgpl-2.1", licenses.GNU_NOTICE.format(name="general", version=2): "gpl,gpl-2.0",
+        licenses.GNU_NOTICE.format(name="general", version=4): "gpl",
+    }
+    rows = list(enumerate(cases))
+    out = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {text: out[k][0] for k, text in rows} == cases
+    assert all((score > 0) == bool(labels) for labels, score in out.values())
+
+
 def test_licenses_of_a_file_with_several(spark):
     bsd, apache, mpl = (next(text for label, _, text in licenses.TEMPLATES if label == x) for x in ("bsd", "apache-2.0", "mpl-2.0"))
     free = next(text for _, key, text in licenses.TEMPLATES if key == "permission is hereby granted free of charge")

@@ -41,8 +41,6 @@ GNU_NOTICE = (
 )
 #: Fixed values: (label, mandatory key phrase, wording), in the words of the public licences: sentences, notices and whole licences.
 TEMPLATES = (
-    ("agpl-3.0", "gnu affero general public license", "licensed under the terms of the gnu affero general public license version 3"),
-    ("agpl-3.0", "gnu affero general public license as published", GNU_NOTICE.format(name="affero general", version=3)),
     ("apache-2.0", "apache license version 2 0", "licensed under the apache license version 2 0"),
     (
         "apache-2.0", "licensed under the apache license version 2 0",
@@ -50,7 +48,6 @@ TEMPLATES = (
         "http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
         "basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
     ),
-    ("artistic-2.0", "artistic license 2 0", "licensed under the terms of the artistic license 2 0"),
     ("bsd", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd-2-clause", "provided with the distribution this software", f"{BSD_CONDITIONS} {BSD_DISCLAIMER}"),
     (
@@ -58,7 +55,6 @@ TEMPLATES = (
         f"{BSD_CONDITIONS} 3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
         f"without specific prior written permission {BSD_DISCLAIMER}",
     ),
-    ("bsl-1.0", "boost software license", "distributed under the boost software license version 1 0"),
     (
         "bsl-1.0", "obtaining a copy of the software and accompanying documentation",
         "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software "
@@ -69,11 +65,8 @@ TEMPLATES = (
     ("cc-by-nc-4.0", "cc by nc 4 0", "licensed under cc by nc 4 0"),
     ("cc-by-sa-4.0", "cc by sa 4 0", "licensed under cc by sa 4 0"),
     ("cc0-1.0", "cc0 1 0", "dedicated to the public domain under cc0 1 0 universal"),
-    ("epl-2.0", "eclipse public license", "made available under the terms of the eclipse public license v 2 0"),
     ("gpl-2.0", "gnu general public license version 2", "licensed under the gnu general public license version 2"),
-    ("gpl-2.0", "foundation either version 2", GNU_NOTICE.format(name="general", version=2)),
     ("gpl-3.0", "gnu general public license version 3", "licensed under the gnu general public license version 3"),
-    ("gpl-3.0", "foundation either version 3", GNU_NOTICE.format(name="general", version=3)),
     ("isc", "with or without fee is hereby granted", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     (
         "isc", "with or without fee is hereby granted",
@@ -81,7 +74,6 @@ TEMPLATES = (
         "notice appear in all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability "
         "and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits",
     ),
-    ("lgpl-3.0", "gnu lesser general public license", "licensed under the gnu lesser general public license version 3"),
     ("mit", "released under the mit license", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     (
@@ -90,7 +82,6 @@ TEMPLATES = (
         "restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
         f"software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software {AS_IS}",
     ),
-    ("mpl-2.0", "mozilla public license", "subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
     (
         "unlicense", "free and unencumbered software",
@@ -105,18 +96,49 @@ TEMPLATES = (
         "of this software must not be misrepresented you must not claim that you wrote the original software",
     ),
 )
-#: Identifiers after "SPDX-License-Identifier:", and short names that tell a licence by themselves.
-SPDX = ("agpl 3 0", "apache 2 0", "artistic 2 0", "bsd 2 clause", "bsd 3 clause", "bsl 1 0", "cc by 4 0", "cc by nc 4 0", "cc by sa 4 0", "cc0 1 0", "epl 2 0", "gpl 2 0", "gpl 3 0", "isc", "lgpl 2 1", "lgpl 3 0", "mit", "mpl 2 0", "unlicense", "zlib")
+#: Licences that are named with a version: label, name and versions, and the words between the two.
+NAMED = (
+    ("agpl", "gnu affero general public license", ("1 0", "3")),
+    ("artistic", "artistic license", ("1 0", "2 0")),
+    ("bsl", "boost software license", ("1 0",)),
+    ("epl", "eclipse public license", ("1 0", "2 0")),
+    ("gpl", "gnu general public license", ("2", "3")),
+    ("lgpl", "gnu lesser general public license", ("2 1", "3")),
+    ("mpl", "mozilla public license", ("1 1", "2 0")),
+)
+BETWEEN = ("", "version ", "v ")
+#: Notices of the licences that have one, as versions stand in them, and short names that tell a licence by themselves.
+NOTICES = (("agpl-3.0", "affero general", "3"), ("gpl-2.0", "general", "2"), ("gpl-3.0", "general", "3"), ("lgpl-2.1", "lesser general", "2 1"), ("lgpl-3.0", "lesser general", "3"))
 SHORT = {"gpl-2.0": ("gplv2", "gpl v2"), "gpl-3.0": ("gplv3", "gpl v3"), "lgpl-3.0": ("lgplv3", "lgpl v3"), "agpl-3.0": ("agplv3", "agpl v3")}
+#: Identifiers in SPDX expressions, in lower case, and their suffixes that leave the licence as it is.
+SPDX = (
+    "agpl-1.0 agpl-3.0 apache-2.0 artistic-1.0 artistic-2.0 bsd-2-clause bsd-3-clause bsd-3-clause-clear bsl-1.0 cc-by-4.0 cc-by-nc-4.0 cc-by-sa-4.0 cc0-1.0 "
+    "epl-1.0 epl-2.0 gpl-2.0 gpl-3.0 isc lgpl-2.1 lgpl-3.0 mit mpl-1.1 mpl-2.0 unlicense zlib"
+).split()
+SPDX_SUFFIX = r"(?:-or-later|-only|\+)?\.?$"
+OPERAND = r"(?:\([ \t]*)*[a-z0-9][a-z0-9.+-]*(?:[ \t]*\))*"
+EXPRESSION = rf"spdx-license-identifier:[ \t]*({OPERAND}(?:[ \t]+(?:and|or|with)[ \t]+{OPERAND})*)"
+
 
+def _versions() -> list[tuple[str, str, str]]:
+    """Every name with every version: the key phrase holds the version, so another version never passes.
 
-def label_of(words: str) -> str:
-    """The label of an identifier's words: a version of two numbers keeps its dot."""
-    numbers = [x for x in words.split() if x.isdigit()]
-    return "-".join([x for x in words.split() if not x.isdigit()] + [".".join(numbers)] * bool(numbers)) if len(numbers) != 1 else words.replace(" ", "-")
+    A whole version needs a word before it, as a bare number may be anything.
+    """
+    out = []
+    for short, name, versions in NAMED:
+        for version in versions:
+            label = f"{short}-{version.replace(' ', '.')}" + ".0" * (" " not in version)
+            phrases = [f"{name} {between}{version}" for between in BETWEEN if between or " " in version]
+            out += [(label, phrase, phrase) for phrase in phrases]
+    return out
 
 
-TEMPLATES += tuple((label_of(x), f"spdx license identifier {x}", f"spdx license identifier {x}") for x in SPDX)
+TEMPLATES += tuple(_versions())
+TEMPLATES += tuple(
+    (label, f"gnu {name} public license as published by the free software foundation either version {version}", GNU_NOTICE.format(name=name, version=version))
+    for label, name, version in NOTICES
+)
 TEMPLATES += tuple((label, x, x) for label, names in SHORT.items() for x in names)
 #: Function words are no licence words: they have next to no weight, and stand in every text.
 FUNCTION_WORDS = frozenset("a an and any are as at available be by for if in into is it its met of on or such that the this to way will with you".split())
@@ -137,6 +159,14 @@ def key_places(key: str, text: str) -> list[int]:
     return [at + k for k, w in enumerate(own) if w not in FUNCTION_WORDS]
 
 
+def spdx_labels(text: Column) -> Column:
+    """Labels of all known licences in the SPDX expressions of a text in lower case, whatever joins them; null without any."""
+    tagged = F.contains(text, F.lit("spdx-license-identifier"))
+    operands = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(EXPRESSION), F.lit(1)), lambda x: F.split(x, r"[ \t()]+")))
+    known = F.filter(F.transform(operands, lambda x: F.regexp_replace(x, SPDX_SUFFIX, "")), lambda x: x.isin(SPDX))
+    return F.when(tagged, F.array_distinct(known))
+
+
 def phrase_starts(hits: Column, phrase: str) -> Column:
     """Where a phrase's words, licence words all, stand consecutively."""
 
@@ -196,17 +226,18 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Templates are then found by the positional index (see proposed), licence words alone moving;
     a file may hold any number of licences.
 
-    score is the best share of aligned words of an accepted template, 1 where a base phrase
-    stands, else 0. Null and empty texts give no words, empty labels, score 0. Repeated rows give
-    repeated results; an empty table gives an empty result.
+    SPDX expressions are read as such: all their known licences are labels. score is the best share of aligned words of
+    an accepted template, 1 where a base phrase or an SPDX expression stands, else 0. Null and empty texts give no words, empty labels, score 0.
+    Repeated rows give repeated results; other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     vocabulary = sorted({w for phrase in BASE for w in phrase.split()} | {w for _, _, text in templates for w, _ in tokens_of(text)})
     listed = F.split(F.lit(" ".join(vocabulary)), " ")
-    words = F.regexp_extract_all(ascii_lower(text_of(text_col)), F.lit(WORD), F.lit(0))
+    lowered = ascii_lower(text_of(text_col))
+    words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
     hits = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("pos"))), lambda h: h["word"].isin(vocabulary))
     hits = F.when(F.arrays_overlap("words", listed), hits).otherwise(F.array().cast("array<struct<word:string,pos:int>>"))
-    files = docs.select(F.col(id_col).alias("id"), words.alias("words")).select(
-        "id", F.monotonically_increasing_id().alias("r"), F.size("words").cast("long").alias("n_words"), hits.alias("hits")
+    files = docs.select(F.col(id_col).alias("id"), words.alias("words"), spdx_labels(lowered).alias("spdx")).select(
+        "id", "spdx", F.monotonically_increasing_id().alias("r"), F.size("words").cast("long").alias("n_words"), hits.alias("hits")
     )
     files = staged(files, "license-words")
     total = files.count()
@@ -218,7 +249,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     step = files.join(told, "r", "left").withColumn("base", base)
     starts = F.flatten(F.col("base.at"))
     labels = F.transform(F.filter("base", lambda b: F.size(b["at"]) > 0), lambda b: b["label"])
-    every = F.array_union(labels, F.coalesce("named", F.array().cast("array<string>")))
+    none = F.array().cast("array<string>")
+    every = F.array_union(F.array_union(labels, F.coalesce("named", none)), F.coalesce("spdx", none))
+    sure = (F.size(starts) > 0) | F.coalesce(F.size("spdx") > 0, F.lit(False))
     return step.select(
         F.col("id").alias(id_col),
         "n_words",
@@ -227,5 +260,5 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_distinct(every)), ",").alias("labels"),
-        F.greatest(F.when(F.size(starts) > 0, 1.0).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
+        F.greatest(F.when(sure, 1.0).otherwise(0.0), F.coalesce("share", F.lit(0.0))).alias("score"),
     )
