@@ -13,6 +13,24 @@ L, R = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 #: Titles that open a person's name, by the gender they tell.
 FEMALE, MALE, EITHER = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Doña|госпожа", "Mr|Mister|Herr|Monsieur|M\\.|Señor|Sr|господин", "Dr|Prof|Professor|доктор"
 TITLE = rf"(?:{FEMALE}|{MALE}|{EITHER})\.? "
+#: What else tells a whole name: words before it, letters after it, a mail address in brackets.
+LABEL = r"(?i:(?:full|patient|employee|applicant)(?:'s)? name ?: ?|(?:patient|applicant) ?: ?|my name is |signed by )"
+AFTER = r"(?:,? (?:Ph\.?D|M\.?D|D\.?D\.?S|Esq|Jr|Sr)(?!\p{L})\.?| <(?=[^\s<>@]{1,64}@|\z))"
+#: A word of a name, hyphens and apostrophes inside included, a possessive s not; an initial before it.
+WORD = r"\p{Lu}(?=\p{L}|['’-]\p{Lu}|['’]\p{L}{2})[\p{L}\p{M}]*+(?:(?:['’-](?=\p{Lu})(?!S(?!\p{L}))|['’](?=\p{L}{2}))[\p{L}\p{M}]++)*+"
+INITIALS = r"(?:\p{Lu}\. ){0,2}"
+TITLED = rf"(?:{TITLE}){{1,3}}{INITIALS}{WORD}(?: {INITIALS}{WORD}){{0,2}}"
+WHOLE = rf"{WORD}(?: {INITIALS}{WORD}){{1,3}}"
+#: Names that are words too. Alone and without a title they are no mention of a person.
+ORDINARY = (
+    "January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
+    "Will Can Must Might Shall Should Would Could Do Did Has Had Is Are Was Were Be The This That These Those He She It We They You In On At By For From "
+    "To With And Or But If When Then There Here What Who Why How No Not Yes So As Of An All Any Some One Two Art Bill Bishop Black Brook Brown Carter Case "
+    "Chance Chase Christian Church Cook Cross Day Dean Drew Earl English Faith Field Fish Forest Fox Frank Franklin Gay Grace Grant Gray Green Hall Hardy "
+    "Heath Hill Home Hope House Hunter Ivy Jack Jewel Joy Justice King Lake Lane Law Lily Little Long Love Major Mark Marsh Mason Miles Mill Miller Moody "
+    "Moon North Olive Page Park Parker Patience Peace Penny Pope Potter Price Prince Ray Rich Rob Rock Rose Ruby Rush Sky Small Smart South Stone Street "
+    "Strong Sue Summer Taylor Temple Trinity Turner Violet Wall Ward Way Weaver West White Wise Wood Woods Young"
+).split()
 ASSIGNED = r"(?i:token|secret|password|passwd|pwd|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?"
 HEX = "[0-9A-Fa-f]{1,4}"
 #: Kinds in order of precedence. A card number must also have its check digit (has_luhn).
@@ -20,7 +38,7 @@ PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+'-])[\p{L}\p{N}][\p{L}\p{N}._%+'-]*+@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]+)+",
     "secret": rf"{L}(?:{ASSIGNED}[^\s\"']{{6,}}+|AKIA[0-9A-Z]{{16}}|gh[pousr]_[A-Za-z0-9]{{20,}}+|sk-[A-Za-z0-9_-]{{20,}}+"
     r"|xox[abprs]-[A-Za-z0-9-]{10,}+|eyJ[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++){1,2}|[0-9a-f]{32,}+|[0-9A-F]{32,}+)" + R,
-    "person": rf"{L}{TITLE}\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
+    "person": rf"{L}(?:{TITLED}|{LABEL}{INITIALS}{WHOLE}|{WHOLE}{AFTER})",
     # IPv4; IPv6 in full; IPv6 with a gap, whose first group has three digits at least (unlike a[1::2])
     "ip": rf"{L}(?:\d{{1,3}}(?:\.\d{{1,3}}){{3}}|(?:{HEX}:){{7}}{HEX}|[0-9A-Fa-f]{{3,4}}(?::{HEX}){{0,5}}::(?:{HEX}(?::{HEX}){{0,5}}){R}){R}",
     "iban": rf"{L}[A-Z]{{2}}\d{{2}}(?: ?[0-9A-Z]{{4}}){{3,7}}(?: ?[0-9A-Z]{{1,3}})?{R}",
@@ -32,13 +50,15 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every entity holds one of these; texts without them are passed over.
-HINT = rf"[0-9@=:]|eyJ|[A-Za-z0-9_-]{{15}}|{TITLE}\p{{Lu}}"
+HINT = rf"[0-9@=:]|eyJ|[A-Za-z0-9_-]{{15}}|{TITLE}\p{{Lu}}|{LABEL}|\p{{L}}{AFTER}"
 PERSON = ("family", "given:f", "given:m", "given")
 
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 CYRILLIC, ACCENTED = "абвгдежзиклмнопрстуфхцчшэюя", "áâàéêèíîóôúûñçäöü"
 ONSETS, VOWELS, CODAS = "b d f g k l m n p r s t v z".split(), "a e i o u".split(), ["", "n", "r", "l", "s"]
 CYRILLIC_ONSETS, CYRILLIC_VOWELS, CYRILLIC_CODAS = "б в г д з к л м н п р с т ф".split(), "а е и о у".split(), ["", "н", "р", "л", "с"]
+#: Letters that get an accent, and those that stand for them by the accents a name has (acute where it has another).
+PLAIN_VOWELS, ACCENTS = "aeiou", {"[äëïöüÄËÏÖÜ]": "äöüöü", "[àèìòùÀÈÌÒÙ]": "àèìòù", "[âêîôûÂÊÎÔÛ]": "âêîôû", r"[^\x00-\x7F'’-]": "áéíóú"}
 #: Attempts after which a surrogate gets longer, so that it always ends distinct.
 LENGTHEN = 4
 
@@ -165,42 +185,56 @@ def ipv6(raw: Column, stream: Column) -> Column:
 
 
 def invented(kind: Column, raw: Column, stream: Column, attempt: Column) -> Column:
-    """A name of syllables: script and capitals of ``raw``; its ending tells the gender."""
+    """A name of syllables in the script, capitals, accents and marks of ``raw``; the ending of each of its parts tells the gender."""
 
-    def of(onsets: list[str], vowels: list[str], codas: list[str], endings: tuple[str, str]) -> Column:
-        def one(n: Column) -> Column:
-            return F.concat(*[F.get(F.array(*map(F.lit, x)), (n / step).cast("int") % len(x)) for x, step in ((onsets, 1), (vowels, 16), (codas, 128))])
+    def of(at: Column, accents: Column | None, onsets: list[str], vowels: list[str], codas: list[str], endings: tuple[str, str]) -> Column:
+        def one(k: Column) -> Column:
+            n = number(stream, at + k)
+            made = F.concat(*[F.get(F.array(*map(F.lit, x)), (n / step).cast("int") % len(x)) for x, step in ((onsets, 1), (vowels, 16), (codas, 128))])
+            return made if accents is None else F.when((k == 0) & accents.isNotNull(), F.call_function("translate", made, F.lit(PLAIN_VOWELS), accents)).otherwise(made)
 
         length = F.when(kind == "family", 3).otherwise(2) + (attempt / LENGTHEN).cast("int")
-        body = F.array_join(F.transform(F.sequence(F.lit(0), length - 1), lambda k: one(number(stream, k))), "")
+        body = F.array_join(F.transform(F.sequence(F.lit(0), length - 1), one), "")
         return F.concat(body, F.when(kind == "given:f", endings[0]).when(kind == "given:m", endings[1]).otherwise(""))
 
-    latin = of(ONSETS, VOWELS, CODAS, ("na", "n"))
-    name = F.when(raw.rlike(r"\p{IsCyrillic}"), of(CYRILLIC_ONSETS, CYRILLIC_VOWELS, CYRILLIC_CODAS, ("на", "н"))).otherwise(latin)
-    return F.when(raw == F.upper(raw), F.upper(name)).otherwise(F.initcap(name))
+    def part(x: Column, i: Column) -> Column:
+        at = i % 7 * 8  # a stream has 64 numbers at least
+        accents = F.coalesce(*[F.when(x.rlike(letters), F.lit(new)) for letters, new in ACCENTS.items()])
+        latin = of(at, accents, ONSETS, VOWELS, CODAS, ("na", "n"))
+        name = F.when(x.rlike(r"\p{IsCyrillic}"), of(at, None, CYRILLIC_ONSETS, CYRILLIC_VOWELS, CYRILLIC_CODAS, ("на", "н"))).otherwise(latin)
+        whole = F.when(x == F.upper(x), F.upper(name)).otherwise(F.initcap(name))
+        return F.when(F.char_length(x) == 1, shaped(x, F.substr(stream, at * 4 + 1), False)).otherwise(whole)
+
+    marks = F.regexp_extract_all(raw, F.lit("['’-]"), F.lit(0))
+    return F.array_join(F.flatten(F.zip_with(F.transform(F.split(raw, "['’-]", -1), part), marks, lambda x, m: F.array(x, F.coalesce(m, F.lit(""))))), "")
 
 
 def unit_surrogate(key: str, kind: Column, canon: Column, raw: Column, attempt: Column) -> Column:
     """Surrogate of one unit (a name, an address, a number …) in the format of ``raw``.
 
-    Names get longer with the attempts, other units short of values a suffix.
+    Names get longer with the attempts and phone numbers get more digits; other numbers are drawn again, IPv4 addresses
+    then from all of them; mailboxes, domains and secrets, which may be as short as a letter, get a suffix.
     """
     head = F.regexp_extract(raw, r"\A(.*)\.", 1)
 
+    late = attempt >= 3 * LENGTHEN
+
     def made(stream: Column) -> Column:
-        octets = F.concat_ws(".", (number(stream, F.lit(0)) % 15 + 240).cast("string"), *[(number(stream, F.lit(k)) % 256).cast("string") for k in (1, 2, 3)])
-        plain = (
+        first = F.when(late, number(stream, F.lit(0)) % 223 + 1).otherwise(number(stream, F.lit(0)) % 15 + 240)
+        octets = F.concat_ws(".", first.cast("string"), *[(number(stream, F.lit(k)) % 256).cast("string") for k in (1, 2, 3)])
+        suffix = F.when(late, F.concat(pick(LOWER, number(stream, F.lit(0))), attempt.cast("string"))).otherwise("")
+        digits = F.when(late, F.array_join(F.transform(F.sequence(F.lit(3), (attempt / LENGTHEN).cast("int")), lambda k: (number(stream, k) % 10).cast("string")), "")).otherwise("")
+        return (
             F.when(kind.isin(*PERSON), invented(kind, raw, stream, attempt))
             .when((kind == "ip") & F.contains(raw, F.lit(".")), octets)
             .when(kind == "ip", ipv6(raw, stream))
-            .when(kind == "domain", F.concat(shaped(head, stream, False), F.lit(".example")))
+            .when(kind == "domain", F.concat(shaped(head, stream, False), suffix, F.lit(".example")))
             .when(kind == "card", card_number(raw, stream))
             .when(kind == "iban", iban_number(raw, stream))
-            .when(kind.isin("ssn", "phone"), shaped(raw, stream, True))
-            .otherwise(shaped(raw, stream, False))
+            .when(kind == "ssn", shaped(raw, stream, True))
+            .when(kind == "phone", F.concat(shaped(raw, stream, True), digits))
+            .otherwise(F.concat(shaped(raw, stream, False), suffix))
         )
-        suffix = F.concat(pick(LOWER, number(stream, F.lit(0))), attempt.cast("string"))
-        return F.when((attempt < 3 * LENGTHEN) | kind.isin(*PERSON), plain).otherwise(F.concat(plain, suffix))
 
     return bound(stream_of(key, kind, canon, attempt, F.greatest(F.char_length(raw), F.lit(48))), made)
 
@@ -217,8 +251,9 @@ def pieces(entity: Column) -> Column:
     """An entity as its parts in order: text kept as it is (kind null) and units to replace."""
     kind = kind_of(entity)
 
-    def part(k: Column, raw: Column, canon: Column | None = None) -> Column:
-        return F.struct(k.cast("string").alias("kind"), raw.alias("raw"), (canonical(k, raw) if canon is None else canon).alias("canon"))
+    def part(k: Column, raw: Column, canon: Column | None = None, whole: Column | None = None) -> Column:
+        told = F.lit(None).cast("string") if whole is None else whole
+        return F.struct(k.cast("string").alias("kind"), raw.alias("raw"), (canonical(k, raw) if canon is None else canon).alias("canon"), told.alias("whole"))
 
     keep = F.lit(None).cast("string")
     local, domain = F.regexp_extract(entity, r"\A(.*)@", 1), F.regexp_extract(entity, r"@(.*)\z", 1)
@@ -229,20 +264,19 @@ def pieces(entity: Column) -> Column:
     secret = F.array(part(keep, opening, opening), part(F.lit("secret"), F.substr(entity, F.char_length(opening) + 1)))
     country = F.regexp_extract(entity, r"\A(\+\d{1,3})[ .(-]", 1)
     phone = F.array(part(keep, country, country), part(F.lit("phone"), F.substr(entity, F.char_length(country) + 1)))
-    title = F.regexp_extract(entity, rf"\A({TITLE})", 1)
-    gender = F.when(title.rlike(rf"\A(?:{FEMALE})\.? \z"), "given:f").when(title.rlike(rf"\A(?:{MALE})\.? \z"), "given:m").otherwise("given")
-    names = F.split(F.substr(entity, F.char_length(title) + 1), " ")
-    person = F.concat(
-        F.array(part(keep, title, title)),
-        F.flatten(
-            F.transform(
-                names,
-                lambda x, i: F.array(
-                    part(keep, F.when(i > 0, " ").otherwise(""), F.lit(" ")), part(F.when(i == F.size(names) - 1, "family").otherwise(gender), x)
-                ),
-            )
+    opens = F.regexp_extract(entity, rf"\A((?:{TITLE}){{1,3}}|{LABEL})", 1)
+    closes = F.regexp_extract(entity, rf"({AFTER})\z", 1)
+    gender = F.when(opens.rlike(rf"(?:\A| )(?:{FEMALE})\.? "), "given:f").when(opens.rlike(rf"(?:\A| )(?:{MALE})\.? "), "given:m").otherwise("given")
+    name = F.substr(entity, F.char_length(opens) + 1, F.char_length(entity) - F.char_length(opens) - F.char_length(closes))
+    names = F.split(name, " ")
+    words = F.transform(
+        names,
+        lambda x, i: F.array(
+            part(keep, F.when(i > 0, " ").otherwise(""), F.lit(" ")),
+            part(F.when(x.rlike(r"\A\p{Lu}\.\z"), F.lit(None)).when(i == F.size(names) - 1, "family").otherwise(gender), x, None, F.lower(name)),
         ),
     )
+    person = F.concat(F.array(part(keep, opens, opens)), F.flatten(words), F.array(part(keep, closes, closes)))
     whole = F.when(kind.isNull(), F.array(part(keep, entity, entity))).otherwise(F.array(part(kind, entity)))
     return F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "person", person).otherwise(whole)
 
@@ -270,74 +304,123 @@ def settled(units: DataFrame, key: str) -> DataFrame:
         now = staged(now.join(again, ["kind", "canon"], "left_anti").select(*more.columns).unionByName(more), "surrogates")
 
 
-def renamed(part: Column, names: Column) -> Column:
-    """The text between entities cut at mentions of ``names(raw, new)``, each mention given its new name."""
-    longest = F.array_sort(F.transform(names, lambda n: F.struct((-F.char_length(n["raw"])).alias("size"), n["raw"].alias("raw"))))
-    pattern = F.concat(F.lit(rf"{L}(?:"), F.array_join(F.transform(longest, lambda n: F.concat(F.lit(r"\Q"), n["raw"], F.lit(r"\E"))), "|"), F.lit(rf"){R}"))
-    new = F.transform(F.regexp_extract_all(part, pattern, F.lit(0)), lambda m: F.get(F.filter(names, lambda n: n["raw"] == m), F.lit(0))["new"])
-    return F.filter(F.flatten(F.zip_with(F.split(part, pattern, -1), new, lambda a, b: F.array(a, b))), lambda x: x.isNotNull())
+def pieces_of(parts: Column) -> Column:
+    """The pieces of each entity of a text. A given name whose title tells no gender has that of the same whole name, or
+    else of the same given name, where the text first tells it."""
+
+    def told(all_pieces: Column) -> Column:
+        return bound(F.filter(F.flatten(all_pieces), lambda u: u["kind"].isin("given:f", "given:m")), lambda known: F.transform(all_pieces, lambda p: F.transform(p, lambda u: one(u, known))))
+
+    def one(u: Column, known: Column) -> Column:
+        same = F.get(F.filter(known, lambda k: (k["canon"] == u["canon"]) & (k["whole"] == u["whole"])), F.lit(0))["kind"]
+        like = F.get(F.filter(known, lambda k: k["canon"] == u["canon"]), F.lit(0))["kind"]
+        return F.when(u["kind"] == "given", u.withField("kind", F.coalesce(same, like, u["kind"]))).otherwise(u)
+
+    return bound(F.transform(entities_of(parts), pieces), told)
+
+
+def one_gender(units: DataFrame) -> DataFrame:
+    """``kind, canon, as``: given names without a gender that have one and only one elsewhere in the corpus, and its kind."""
+    known = units.where(F.col("kind").isin("given:f", "given:m")).groupBy("canon").agg(F.min("kind").alias("as"), F.max("kind").alias("other"))
+    return units.where("kind = 'given'").join(known.where("as = other").drop("other"), "canon").select("kind", "canon", "as")
+
+
+def renamed(part: Column, names: Column, pairs: Column) -> Column:
+    """The text between entities with its mentions of ``names(raw, new)`` renamed, and their number: ``(text, n)``.
+
+    A word is a mention if it is one of the names; if it is an ordinary word as well (ORDINARY), only
+    beside the next or last word of a name (``pairs``).
+    """
+    pattern = rf"{L}{WORD}{R}"
+
+    def of(cut: Column) -> Column:
+        words, between = cut["words"], cut["between"]
+        pair = lambda k: F.coalesce((F.get(between, k + 1) == " ") & F.array_contains(pairs, F.concat(F.get(words, k), F.lit(" "), F.get(words, k + 1))), F.lit(False))
+
+        def one(w: Column, k: Column) -> Column:
+            new = F.get(F.filter(names, lambda n: n["raw"] == w), F.lit(0))["new"]
+            return F.when(~F.lower(w).isin(*[x.lower() for x in ORDINARY]) | pair(k) | pair(k - 1), new)
+
+        def put(new: Column) -> Column:
+            written = F.zip_with(F.zip_with(words, new, lambda w, x: F.coalesce(x, w)), F.slice(between, 2, F.size(words)), lambda w, b: F.concat(w, b))
+            return F.struct(F.concat(F.get(between, F.lit(0)), F.array_join(written, "")).alias("text"), F.size(F.array_compact(new)).alias("n"))
+
+        return bound(F.transform(words, one), put)
+
+    return bound(F.struct(F.regexp_extract_all(part, F.lit(pattern), F.lit(0)).alias("words"), F.split(part, pattern, -1).alias("between")), of)
 
 
 def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its text rewritten, and n_entities and entity_kinds (sorted, comma-joined).
 
     Detected entities (PATTERNS) get keyed surrogates of the same kind and format: letters stay
-    letters of their case and script, digits digits, names keep script, capitals and the gender
+    letters of their case and script, digits digits, names keep script, capitals, accents, hyphens and the gender
     their title tells, card numbers their first digit and IBANs their country, both with valid check
     digits, mail domains end in .example, IPv4 addresses fall in 240.0.0.0/4. The same
-    entity gets the same surrogate in all texts and formats (coreference). A person found by a
-    title is known by each name in the rest of that text too, title or not; such mentions count as
-    entities. Numbers like a card's without its check digit are left alone. The distinct units of
+    entity gets the same surrogate in all texts and formats (coreference); a given name whose title tells no gender has
+    the one that the text tells elsewhere, or the only one in the corpus. Persons are found by a title, a label before
+    or letters after a whole name, or a mail address behind it; each of the names is replaced in the rest of that text too, title or not,
+    possessives included, and such mentions count as entities. Names that are ordinary words (ORDINARY: months, modals …) are replaced
+    in whole names only. Initials stay. Numbers like a card's without its check digit are left alone. The distinct units of
     the corpus are checked: where two would share a surrogate, or one equals a real unit, the later
     tries again until all are distinct; only those few are joined back to their documents. Each text is cut
     once and written with its entities apart; no other text moves, and of those with entities only
-    where a unit tried again.
+    where a unit tried again or took the gender of another text.
 
-    Null text stays null, with no entities; other columns are kept as they are (earlier ones named
+    Null text stays null, with no entities; other columns are kept as they are, whatever their names (earlier ones named
     n_entities or entity_kinds are replaced). Repeated rows get
     the same text; an empty table gives an empty result.
     """
-    text = text_of(text_col)
-    hint = text.rlike(HINT)
-    cut = docs.select(*[c for c in docs.columns if c not in ("n_entities", "entity_kinds")], F.when(hint, parts_of(text)).alias("vl_parts"))
-    cut = cut.withColumn("vl_parts", F.when(F.size("vl_parts") > 1, F.col("vl_parts"))).withColumn("vl_row", F.monotonically_increasing_id())
-    cut = staged(cut.withColumn(text_col, F.when(F.col("vl_parts").isNull(), F.col(text_col).cast("string"))), "cut-texts")
-    own = [c for c in cut.columns if c not in ("vl_parts", "vl_row")]
-    marked = cut.where(F.col("vl_parts").isNotNull())
-    units_of = F.filter(F.flatten(F.transform(entities_of(F.col("vl_parts")), pieces)), lambda u: u["kind"].isNotNull())
-    seen = marked.select("vl_row", F.explode(units_of).alias("u")).select("vl_row", "u.kind", "u.canon").distinct()
+    names = [c for c in docs.columns if c not in ("n_entities", "entity_kinds")]
+    text = text_of(f"`{text_col}`")
+    # the caller's columns stand in a struct, so that none of them clashes with those used here
+    cut = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col], F.lit(0).alias(text_col)).alias("own"), F.col(f"`{text_col}`").cast("string").alias("text"), F.when(text.rlike(HINT), parts_of(text)).alias("parts"))
+    cut = cut.withColumn("parts", F.when(F.size("parts") > 1, F.col("parts"))).withColumn("row", F.monotonically_increasing_id())
+    cut = staged(cut.withColumn("text", F.when(F.col("parts").isNull(), F.col("text"))), "cut-texts")
+    marked = cut.where(F.col("parts").isNotNull())
+    units_of = F.filter(F.flatten(pieces_of(F.col("parts"))), lambda u: u["kind"].isNotNull())
+    seen = marked.select("row", F.explode(units_of).alias("u")).select("row", "u.kind", "u.canon").distinct()
     units = staged(seen.select("kind", "canon").distinct(), "units")
-    retried = staged(settled(units, key).where("attempt > 0").select("kind", "canon", "attempt"), "retried")
+    turned = staged(one_gender(units), "genders")
+    some_turned = not turned.isEmpty()
+    final = settled(units.join(turned, ["kind", "canon"], "left_anti") if some_turned else units, key)
+    changed = final.where("attempt > 0").select("kind", "canon", F.col("kind").alias("as"), "attempt")
+    if some_turned:
+        changed = changed.unionByName(turned.join(final.select(F.col("kind").alias("as"), "canon", "attempt"), ["as", "canon"]))
+    changed = staged(changed, "changed")
     name = F.concat_ws("\u0000", F.col("kind"), F.col("canon"))
-    base = None if retried.isEmpty() else seen.join(retried, ["kind", "canon"]).groupBy("vl_row")
-    if base is not None:
-        base = staged(base.agg(F.map_from_entries(F.collect_list(F.struct(name, "attempt"))).alias("vl_attempts")), "attempts")
-        marked = marked.join(base, "vl_row", "left")
+    some_changed = not changed.isEmpty()
+    if some_changed:
+        base = seen.join(changed, ["kind", "canon"]).groupBy("row")
+        base = staged(base.agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("as", "attempt")))).alias("changes")), "changes")
+        marked = marked.join(base, "row", "left")
 
     def written(u: Column) -> Column:
-        attempt = F.lit(0)
-        if base is not None:
-            attempt = F.coalesce(F.try_element_at(F.col("vl_attempts"), F.concat_ws("\u0000", u["kind"], u["canon"])), F.lit(0))
-        return F.when(u["kind"].isNull(), u["raw"]).otherwise(unit_surrogate(key, u["kind"], u["canon"], u["raw"], attempt))
-
-    entity = F.transform(entities_of(F.col("vl_parts")), lambda e: F.struct(kind_of(e).alias("kind"), pieces(e).alias("pieces")))
-    told = marked.withColumn("vl_entities", entity)
-    people = F.filter(F.flatten(F.col("vl_entities.pieces")), lambda u: u["kind"].isin(*PERSON))
-    told = told.withColumn("vl_names", F.array_distinct(F.transform(people, lambda u: F.struct(u["raw"].alias("raw"), written(u).alias("new")))))
-    new = F.transform("vl_entities", lambda e: F.array_join(F.transform(e["pieces"], written), ""))
-    rest = F.filter("vl_parts", lambda x, i: i % 2 == 0)
-    rest = F.transform(rest, lambda x: F.when(F.size("vl_names") > 0, renamed(x, F.col("vl_names"))).otherwise(F.array(x)))
-    told = told.withColumns({"vl_new": new, "vl_rest": rest})
-    mentions = F.aggregate("vl_rest", F.lit(0), lambda a, x: a + (F.size(x) / 2).cast("int"))
-    joined = F.zip_with("vl_rest", "vl_new", lambda a, b: F.concat(F.array_join(a, ""), F.coalesce(b, F.lit(""))))
-    kinds = F.array_compact(F.col("vl_entities.kind"))
+        kind, attempt = u["kind"], F.lit(0)
+        if some_changed:
+            change = F.try_element_at(F.col("changes"), F.concat_ws("\u0000", u["kind"], u["canon"]))
+            kind, attempt = F.coalesce(change["as"], kind), F.coalesce(change["attempt"], attempt)
+        return F.when(u["kind"].isNull(), u["raw"]).otherwise(unit_surrogate(key, kind, u["canon"], u["raw"], attempt))
+
+    told = marked.withColumns({"kinds": F.transform(entities_of(F.col("parts")), kind_of), "pieces": pieces_of(F.col("parts"))})
+    persons = F.transform("pieces", lambda p: F.filter(p, lambda u: u["kind"].isin(*PERSON)))
+    pairs = F.flatten(F.transform("persons", lambda p: F.zip_with(F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: F.concat(a["raw"], F.lit(" "), b["raw"]))))
+    told = told.withColumn("persons", persons).withColumns(
+        {"pairs": pairs, "names": F.array_distinct(F.transform(F.flatten("persons"), lambda u: F.struct(u["raw"].alias("raw"), written(u).alias("new"))))}
+    )
+    new = F.transform("pieces", lambda p: F.array_join(F.transform(p, written), ""))
+    plain = lambda x: F.struct(x.alias("text"), F.lit(0).alias("n"))
+    rest = F.transform(F.filter("parts", lambda x, i: i % 2 == 0), lambda x: F.when(F.size("names") > 0, renamed(x, F.col("names"), F.col("pairs"))).otherwise(plain(x)))
+    told = told.withColumns({"new": new, "rest": rest})
+    mentions = F.aggregate("rest", F.lit(0), lambda a, x: a + x["n"])
+    joined = F.array_join(F.zip_with("rest", "new", lambda a, b: F.concat(a["text"], F.coalesce(b, F.lit("")))), "")
+    kinds = F.array_compact(F.col("kinds"))
+    own = lambda text: [text.alias(c) if c == text_col else F.col("own").getField(c).alias(c) for c in names]
     rewritten = told.select(
-        *[F.array_join(joined, "").alias(c) if c == text_col else F.col(c) for c in own],
-        (F.size(kinds) + mentions).cast("long").alias("n_entities"),
-        F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("entity_kinds"),
+        *own(joined), (F.size(kinds) + mentions).cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(kinds)), ",").alias("entity_kinds")
     )
-    plain = cut.where(F.col("vl_parts").isNull()).select(*own, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_kinds"))
-    return plain.union(rewritten)
+    untouched = cut.where(F.col("parts").isNull()).select(*own(F.col("text")), F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_kinds"))
+    return untouched.union(rewritten)
 
 
 def replaced(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
