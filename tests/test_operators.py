@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from variantlink.functions import columns as C
 from variantlink.functions import filters
 from variantlink.operators import aggregates, joins, layout, windows
+from variantlink.plans import variant_disease
 from variantlink.sources import io
 from variantlink.sources.shared import new_path
 
@@ -195,3 +198,46 @@ def test_conditional_distinct_like_brute_force(spark):
     assert rows(found) == want
     assert aggregates.conditional_distinct(df.limit(0), ["g"], F.col("k"), counts).count() == 0
     assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def read_share(path, column, value):
+    """The share of row groups whose least and most value of ``column`` don't rule ``value`` out."""
+    hit = total = 0
+    for file in Path(path).glob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index(column)
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(at).statistics
+            total, hit = total + 1, hit + (stats.min <= value <= stats.max)
+    return hit / total
+
+
+def test_one_layout_for_two_readers(spark):
+    """Of 64 files either reader needs few; a table sorted by study alone serves one of them only."""
+    rng = random.Random(8)
+    hot = lambda: rng.choice([7, rng.randrange(500), rng.randrange(500)])  # noqa: E731  (a third of the rows in one study)
+    made = spark.createDataFrame([(f"S{hot():03}", rng.choice("1234"), rng.randrange(10**6), i) for i in range(40_000)], "study_id string, tag_chrom string, tag_pos long, _key long")
+    paths = {}
+    for name, df in (
+        ("each", variant_disease.for_two_readers(made, 64)),
+        ("study", made.repartitionByRange(64, "study_id", "tag_chrom", "tag_pos").sortWithinPartitions("study_id")),
+    ):
+        paths[name] = new_path(spark, name).removeprefix("file:")
+        df.write.parquet(paths[name])
+    cold = f"S{321:03}"
+    assert read_share(paths["each"], "study_id", cold) <= 0.25 and read_share(paths["each"], "tag_chrom", "2") <= 0.5
+    one_chrom = made.select("study_id", F.lit("1").alias("tag_chrom"), "tag_pos", "_key")
+    path = new_path(spark, "one").removeprefix("file:")
+    variant_disease.for_two_readers(one_chrom, 64).write.parquet(path)
+    assert read_share(path, "tag_pos", 500_000) <= 0.25 and read_share(path, "study_id", cold) <= 0.25
+    assert read_share(paths["study"], "tag_pos", 500_000) > 0.6
+    assert rows(spark.read.parquet(paths["each"]).select(*made.columns)) == rows(made)
+
+
+def test_layout_by_each_odd(spark):
+    made = spark.createDataFrame([(None, None, 1), ("a", None, 2), (None, 5, 3), ("a", 5, 4), ("a", 5, 4)], "s string, p long, i long")
+    assert rows(layout.cluster_by_each(made, [["s"], ["p"]])) == rows(made)
+    assert layout.cluster_by_each(made.limit(0), [["s"], ["p"]]).count() == 0
+    assert rows(layout.cluster_by_each(made.limit(1), [["s", "p"]], bits=1)) == rows(made.limit(1))
+    edges = [F.lit(v) for v in (2, 4, 6)]
+    assert [r[0] for r in spark.range(8).select(layout.bin_of(F.col("id"), edges)).collect()] == [0, 0, 1, 1, 2, 2, 3, 3]

@@ -603,6 +603,12 @@ def _(spark, d):
     return layout.cluster_by_position(table(spark, d, "lineitem").select("l_returnflag", "l_partkey", "l_orderkey"), "l_returnflag", "l_partkey")
 
 
+@query("cluster_by_each", "SELECT l_suppkey, l_returnflag, l_partkey, l_orderkey FROM lineitem")
+def _(spark, d):
+    lines = table(spark, d, "lineitem").select("l_suppkey", "l_returnflag", "l_partkey", "l_orderkey")
+    return layout.cluster_by_each(lines, [["l_suppkey"], ["l_returnflag", "l_partkey"]])
+
+
 # tables: parts as variants, suppliers as genes, orders as studies, their first line as lead variant
 
 

@@ -55,6 +55,11 @@ def variant_disease(variants: DataFrame, studies: DataFrame, loci: DataFrame, ld
     return C.conform_schema(known.withColumns(missing), S.V2D)
 
 
+def for_two_readers(v2d: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``v2d`` laid out once for readers by study and readers by tag position, instead of two sorted copies."""
+    return layout.cluster_by_each(v2d, [["study_id"], ["tag_chrom", "tag_pos"]], partitions=partitions)
+
+
 def disease_variant_gene(v2d: DataFrame, v2g: DataFrame) -> DataFrame:
     """Linked or fine-mapped tag variants with their genes."""
     keys = dict(zip(S.TAG_KEY, S.VARIANT_KEY, strict=True))
