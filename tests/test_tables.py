@@ -154,6 +154,17 @@ def test_neither_evidence_is_left_out(tables):
     assert variant_disease.disease_variant_gene(nothing, tables["v2g"]).count() == 0
 
 
+def test_locus_genes_like_the_joined_rows_in_one_exchange_by_locus(spark, tables):
+    genes = [(tables["v2d"].first()["tag_chrom"], r["tag_pos"], r["tag_ref"], r["tag_alt"], f"g{k}", k / 8) for r in tables["v2d"].collect() for k in range(5)]
+    scores = spark.createDataFrame(genes, "chr_id string, position long, ref_allele string, alt_allele string, gene_id string, overall_score double").distinct()
+    twice = tables["v2d"].union(tables["v2d"])
+    plain = variant_disease.disease_variant_gene(twice, scores).groupBy(*S.LEAD_KEY, "gene_id").agg(F.max("overall_score"))
+    found = summaries.locus_genes(twice, scores, 1)
+    assert sorted(found.collect()) == sorted(plain.collect()) and found.count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and not re.search(r"Exchange hashpartitioning\(study_id#\d+, .*gene_id", plan), plan  # rows of one gene each never move
+
+
 def test_a_locus_that_stands_twice_gives_one_of_its_rows(tables, inputs):
     worse = {"pval": 1e-3, "pval_mantissa": 1.0, "pval_exponent": -3, "beta": -0.2, "direction": "-", "odds_ratio": None}
     kinds = dict(tables["v2d"].dtypes)

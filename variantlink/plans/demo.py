@@ -868,11 +868,11 @@ def twice(disease: DataFrame) -> DataFrame:
 def _(spark, d):
     columns = [*S.LEAD_KEY, *S.TAG_KEY, "overall_r2", "posterior_prob", *summaries.EFFECTS.values()]
     disease, genes = staged(twice(v2d(spark, d).select(*columns)), "v2d"), scorable(spark, d)
-    tagged = disease.select(*S.LEAD_KEY, *S.TAG_KEY, "overall_r2", "posterior_prob").distinct()
-    # both gene lists ask for a gene's best score in a locus alone, so each variant and gene is joined once, not once a source
-    scored = variant_disease.disease_variant_gene(tagged, variant_gene.evidence_scores(genes))
-    scored = staged(aggregates.group_max(scored, [*S.LEAD_KEY, "gene_id"], "overall_score"), "scored")
-    l2g = scored.select("study_id", F.col("lead_chrom").alias("chrom"), F.col("lead_pos").alias("pos"), F.col("lead_ref").alias("ref"), F.col("lead_alt").alias("alt"), "gene_id", F.col("overall_score").alias("y_proba_full_model"))
+    # both gene lists ask for a gene's best score in a locus alone, so variants that stand twice need not be told apart
+    scores = variant_gene.evidence_scores(genes)
+    scored = summaries.locus_genes(disease, scores)
+    best = summaries.locus_genes(disease, scores.where(F.col("overall_score") >= S.MIN_PROBABILITY))
+    l2g = best.withColumnsRenamed({c: k for k, c in zip(S.LOCUS_KEY[1:], S.LEAD_KEY[1:], strict=True)}).withColumnRenamed("overall_score", "y_proba_full_model")
     whole = summaries.manhattan(disease, scored, coloc(spark, d), l2g)
     return whole.select(
         "study", "pos", "pval_mantissa", "pval_exponent", "direction", "beta", "credibleSetSize", "ldSetSize", "uniq_variants",
