@@ -241,3 +241,13 @@ def test_layout_by_each_odd(spark):
     assert rows(layout.cluster_by_each(made.limit(1), [["s", "p"]], bits=1)) == rows(made.limit(1))
     edges = [F.lit(v) for v in (2, 4, 6)]
     assert [r[0] for r in spark.range(8).select(layout.bin_of(F.col("id"), edges)).collect()] == [0, 0, 1, 1, 2, 2, 3, 3]
+
+
+def test_band_join_tasks_go_by_pairs(spark):
+    """A few rows of one partition that make many pairs are dealt out, and give the same pairs."""
+    left = spark.range(400).coalesce(1).select(F.lit("a").alias("k"), F.col("id").alias("l"), (F.col("id") % 7).cast("double").alias("p"))
+    right = spark.range(300).coalesce(1).select(F.lit("a").alias("k"), F.col("id").alias("r"), (F.col("id") % 5).cast("double").alias("q"))
+    found = joins.band_join(left, right, ["k"], "p", "q", 10, pairs=10_000)
+    assert found.count() == 120_000 == found.select("l", "r").distinct().count()
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 60_000, sizes
