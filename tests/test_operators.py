@@ -251,3 +251,10 @@ def test_band_join_tasks_go_by_pairs(spark):
     assert found.count() == 120_000 == found.select("l", "r").distinct().count()
     sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) >= 4 and max(sizes) <= 60_000, sizes
+
+
+def test_a_large_group_is_sliced_where_the_plain_window_is_asked_for(spark):
+    df = spark.range(3000).select((F.col("id") % 2).alias("g"), F.col("id"), F.when(F.col("id") % 11 > 0, (F.col("id") * 7 % 1000).cast("double")).alias("x"))
+    plain, sliced = (windows.percentile_by(df, ["g"], "x", "q", digits=6, skew_safe=False, large=n) for n in (1500, 1499))
+    assert rows(plain) == rows(sliced)
+    assert ["_slice" in df._jdf.queryExecution().executedPlan().toString() for df in (plain, sliced)] == [False, True]
