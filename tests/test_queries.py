@@ -58,3 +58,8 @@ def test_entry_without_text_operators(monkeypatch):
 def test_filters_and_columns_reach_the_scan(spark):
     plan = demo.QUERIES["filter_in_not_in"](spark, DIR)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "In(p_size" in plan and "p_retailprice" not in plan
+
+
+def test_argmin_by_group_makes_no_pairs(spark):
+    plan = demo.QUERIES["argmin_by_group"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" not in plan and "_before_s_suppkey" in plan, plan

@@ -424,7 +424,9 @@ def _(spark, d):
 @query("argmin_by_group", f"SELECT c_custkey, round(d, 6) AS d, s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) AS r FROM {BAND}) WHERE r = 1")
 def _(spark, d):
     c, s = sides(spark, d)
-    best = aggregates.argmin_by(joins.band_join(c, s, ["nation"], "c_acctbal", "s_acctbal", 1000), ["c_custkey"], "d", "s_suppkey")
+    # the least distance lies next to a customer's own place, so no pairs are made
+    near = joins.nearest_by(c, s, ["nation"], "c_acctbal", "s_acctbal", 1000, "s_suppkey", {"s_suppkey": None}).where("s_suppkey is not null")
+    best = aggregates.argmin_by(near.withColumnRenamed("s_suppkey_distance", "d"), ["c_custkey"], "d", "s_suppkey")
     return best.select("c_custkey", r6("d").alias("d"), "s_suppkey")
 
 
