@@ -165,6 +165,13 @@ def test_locus_genes_like_the_joined_rows_in_one_exchange_by_locus(spark, tables
     assert "REPARTITION_BY_NUM" in plan and not re.search(r"Exchange hashpartitioning\(study_id#\d+, .*gene_id", plan), plan  # rows of one gene each never move
 
 
+def test_scores_joined_before_the_product_give_the_same_rows(tables):
+    scores = tables["scores"] if "scores" in tables else variant_gene.evidence_scores(tables["v2g"])
+    want = summaries.scored_datasets(tables["v2g"], tables["d2v2g"], scores=scores)[1]
+    found = summaries.scored_disease(tables["v2d"], tables["v2g"], scores).select(*want.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() > 0
+
+
 def test_a_locus_that_stands_twice_gives_one_of_its_rows(tables, inputs):
     worse = {"pval": 1e-3, "pval_mantissa": 1.0, "pval_exponent": -3, "beta": -0.2, "direction": "-", "odds_ratio": None}
     kinds = dict(tables["v2d"].dtypes)

@@ -811,10 +811,12 @@ def scorable(spark, d):
 )
 def _(spark, d):
     genes = scorable(spark, d)
-    a, b = summaries.scored_datasets(genes, variant_disease.disease_variant_gene(v2d(spark, d), genes))
-    columns = [r6("overall_score").alias("overall_score"), joined("source_list")]
-    return a.select(F.lit("v2g").alias("kind"), F.col("position").alias("pos"), "gene_id", F.lit("").alias("study_id"), *columns).union(
-        b.select(F.lit("d2v2g"), "tag_pos", "gene_id", "study_id", *columns)
+    disease, columns = v2d(spark, d), [*S.VARIANT_KEY, "gene_id", r6("overall_score").alias("overall_score"), joined("source_list")]
+    scores = staged(variant_gene.evidence_scores(genes).select(*columns), "scores")
+    a = summaries.scored_datasets(genes, variant_disease.disease_variant_gene(disease, genes), scores=scores)[0]
+    b = summaries.scored_disease(disease, genes, scores)
+    return a.select(F.lit("v2g").alias("kind"), F.col("position").alias("pos"), "gene_id", F.lit("").alias("study_id"), "overall_score", "source_list").union(
+        b.select(F.lit("d2v2g"), "tag_pos", "gene_id", "study_id", "overall_score", "source_list")
     )
 
 

@@ -26,6 +26,12 @@ def scored_datasets(
     return v2g.join(scores, [*S.VARIANT_KEY, "gene_id"]), d2v2g.join(as_tags, [*S.TAG_KEY, "gene_id"])
 
 
+def scored_disease(v2d: DataFrame, v2g: DataFrame, scores: DataFrame) -> DataFrame:
+    """Rows of disease_variant_gene with overall scores, where these two tables are at hand: scores join v2g before it multiplies v2d's
+    rows, so that no product is dealt anew by gene."""
+    return vd.disease_variant_gene(v2d, v2g.join(scores, [*S.VARIANT_KEY, "gene_id"]))
+
+
 LEAD_NAMES = {"study_id": "study", "lead_chrom": "chrom", "lead_pos": "pos", "lead_ref": "ref", "lead_alt": "alt"}
 
 
