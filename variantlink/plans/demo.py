@@ -721,6 +721,15 @@ def study_key(k: str) -> Column:
     return F.concat(F.when(F.col(k) % 5 == 0, "").otherwise(F.lit("ST")), F.lit("_"), F.col(k).cast("string")).alias("study_id")
 
 
+#: Order lines for each task, where tasks go by counted rows.
+LINES = 250_000
+
+
+def dealt(df: DataFrame, lines: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` to as many tasks as the counted ``lines`` ask for, so that a task's memory stays when the table grows."""
+    return df.repartition(1 + lines.count() // LINES, *keys)
+
+
 def firsts(spark, d):
     """One lead part for each order."""
     return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("lead_part"), F.max("l_quantity").cast("double").alias("m"), F.max("l_suppkey").alias("e"))
@@ -822,7 +831,8 @@ def _(spark, d):
 
 def as_coloc(spark, d):
     k, g = F.col("l_orderkey"), F.col("l_suppkey")
-    best = table(spark, d, "lineitem").join(firsts(spark, d), "l_orderkey")
+    lines = table(spark, d, "lineitem")
+    best = dealt(lines, lines, "l_orderkey").join(firsts(spark, d), "l_orderkey")
     return best.groupBy("l_orderkey", "lead_part", "l_suppkey", "l_partkey").agg(F.max("l_discount").alias("x")).select(
         study_key("l_orderkey").alias("left_study"), F.concat(F.lit("c"), (F.col("lead_part") % 5).cast("string")).alias("left_chrom"), F.col("lead_part").alias("left_pos"),
         F.lit("A").alias("left_ref"), F.lit("T").alias("left_alt"), F.lit("eqtl").alias("right_type"),
