@@ -63,3 +63,13 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_argmin_by_group_makes_no_pairs(spark):
     plan = demo.QUERIES["argmin_by_group"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" not in plan and "_before_s_suppkey" in plan, plan
+
+
+@pytest.mark.parametrize("name", ["top_genes_l2g", "coloc_index"])
+def test_tasks_go_by_counted_lines(spark, name, monkeypatch):
+    want = sorted(map(str, demo.QUERIES[name](spark, DIR).collect()))
+    monkeypatch.setattr(demo, "LINES", 500)
+    found = demo.QUERIES[name](spark, DIR)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ", 13), REPARTITION_BY_NUM" in plan, plan
+    assert sorted(map(str, found.collect())) == want

@@ -17,7 +17,7 @@ from ..operators import joins, layout
 from ..sources import io
 from ..sources.shared import new_path, staged
 from . import pipeline, summaries, variant_disease, variant_gene
-from .demo import STUDIES, STUDY_ID, as_studies, as_traits, joined, query, r6, studies, study_key, table
+from .demo import STUDIES, STUDY_ID, as_studies, as_traits, dealt, joined, query, r6, studies, study_key, table
 
 STEP, GENE_STEP, INTERVAL_STEP = 10_000, 70_000, 50_000
 TERM_SCORES = {"A": 0.9, "R": 0.2, "N": 0.0}
@@ -297,7 +297,9 @@ def _(spark, d):
 
 def l2g(spark, d) -> DataFrame:
     names = {"lead_chrom": "chrom", "lead_pos": "pos", "lead_ref": "ref", "lead_alt": "alt"}
-    best = table(spark, d, "lineitem").groupBy(study_key("l_orderkey"), gene("l_suppkey").alias("gene_id")).agg((F.max("l_quantity") / 50).alias("y_proba_full_model"))
+    lines = table(spark, d, "lineitem")
+    best = lines.groupBy("l_orderkey", "l_suppkey").agg((F.max("l_quantity") / 50).alias("y_proba_full_model"))
+    best = dealt(best.select(study_key("l_orderkey"), gene("l_suppkey").alias("gene_id"), "y_proba_full_model"), lines, "study_id")
     return best.join(leads(spark, d), "study_id").withColumnsRenamed(names)
 
 
