@@ -9,7 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from variantlink import schemas as S
-from variantlink.plans import pipeline, summaries, variant_disease, variant_gene
+from variantlink.plans import demo, pipeline, summaries, variant_disease, variant_gene
 from variantlink.sources import io
 from variantlink.sources.shared import new_path, shared_dir
 
@@ -236,3 +236,8 @@ def test_joins_of_bucketed_tables_move_nothing(spark, inputs):
     assert all("SortMergeJoin" in p and "Exchange" not in p for p in plans), plans
     with pytest.raises(ValueError, match="exists"):
         io.write_bucketed(made["v2g"], pipeline.Release(spark, {}, "/tmp").path("..").toString(), S.VARIANT_KEY, 3)
+
+
+def test_tags_of_orders_move_once_and_loci_are_not_clustered(spark):
+    plan = demo.v2d(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and not re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, l_partkey", plan), plan

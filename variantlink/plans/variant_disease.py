@@ -21,11 +21,12 @@ def study_index(studies: DataFrame, traits: DataFrame) -> DataFrame:
     return filters.not_null(joined, ["trait_reported"])
 
 
-def top_loci(loci: DataFrame) -> DataFrame:
-    """Lead variants with their p-value as one number."""
+def top_loci(loci: DataFrame, cluster: bool = True) -> DataFrame:
+    """Lead variants with their p-value as one number, clustered for readers like ld_index."""
     pval = C.clamped_pow10(F.col("pval_mantissa"), F.col("pval_exponent"))
     names = {"chrom": "lead_chrom", "pos": "lead_pos", "ref": "lead_ref", "alt": "lead_alt"}
-    return layout.cluster_by_position(loci.withColumn("pval", pval).withColumnsRenamed(names).drop("rsid"), "lead_chrom", "lead_pos")
+    own = loci.withColumn("pval", pval).withColumnsRenamed(names).drop("rsid")
+    return layout.cluster_by_position(own, "lead_chrom", "lead_pos") if cluster else own
 
 
 def ld_index(ld: DataFrame, cluster: bool = True) -> DataFrame:
