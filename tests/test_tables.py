@@ -238,6 +238,21 @@ def test_joins_of_bucketed_tables_move_nothing(spark, inputs):
         io.write_bucketed(made["v2g"], pipeline.Release(spark, {}, "/tmp").path("..").toString(), S.VARIANT_KEY, 3)
 
 
+def test_release_makes_nothing_from_the_product(spark, inputs, monkeypatch):
+    """d2v2g has many rows for each of v2d: it is written, but neither sorted nor read again."""
+    read, write, bucketed = {}, io.write_table, io.write_bucketed
+
+    def noted(write, df, path, *rest):
+        read[path.rsplit("/", 1)[1]] = df.inputFiles()
+        write(df, path, *rest)
+
+    monkeypatch.setattr(io, "write_table", lambda *a: noted(write, *a))
+    monkeypatch.setattr(io, "write_bucketed", lambda *a: noted(bucketed, *a))
+    made = pipeline.build_all(spark, inputs, new_path(spark, "release"), buckets=3)
+    assert len(read) == len(made) and not [name for name, files in read.items() if any("/d2v2g" in f for f in files)], read
+    assert made["d2v2g"].count() > 0 and len(made["d2v2g"].inputFiles()) <= 3  # one file a bucket
+
+
 def test_tags_of_orders_move_once_and_loci_are_not_clustered(spark):
     plan = demo.v2d(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and not re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, l_partkey", plan), plan
