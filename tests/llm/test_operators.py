@@ -542,6 +542,28 @@ def test_two_edits_in_twenty_words(spark):
     assert sorted((r[0], r[2], r[3], r[5]) for r in got.collect()) == [(1, True, None, None), (2, False, 1, 2), (3, True, None, None)]
 
 
+@pytest.mark.parametrize("hot", [64, 2])
+@pytest.mark.parametrize("share", [line_dedup.SHARE, 0.45])
+def test_line_dedup_misses_no_line(spark, monkeypatch, hot, share):
+    """Few and many words, edits at random places, groups of near copies: each line within the bound is dropped, for the earliest such."""
+    monkeypatch.setattr(line_dedup, "HOT", hot, raising=False)
+    rng, rows = random.Random(11), []
+    for size in (4, 30, 3000):
+        vocabulary = [f"v{k}" for k in range(size)]
+        for _ in range(40):
+            line = [rng.choice(vocabulary) for _ in range(rng.choice([4, 5, 7, 9, 10, 20, 31, 32, 66, 90]))]
+            for _ in range(4):
+                own = list(line)
+                for _ in range(rng.randrange(0, int(len(line) * share) + 2)):
+                    at = rng.randrange(len(own))
+                    own[at : at + rng.choice([0, 1, 1])] = [rng.choice(vocabulary)] * rng.choice([0, 1, 1])
+                    own = own or ["x"]
+                rows.append((rng.randrange(10**6), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted, caught, earliest = check_lines(rows, line_dedup.line_dedup(docs, share=share).collect(), share)
+    assert wanted == caught == earliest > 200
+
+
 def test_line_dedup_odd(odd_docs):
     assert line_dedup.line_dedup(odd_docs).count() > odd_docs.count()
     text = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(odd_docs.where("doc_id = 15")).collect()}
