@@ -564,6 +564,23 @@ def test_line_dedup_misses_no_line(spark, monkeypatch, hot, share):
     assert wanted == caught == earliest > 200
 
 
+def test_line_dedup_leaves_no_shuffle_files(spark):
+    """The steps of one call don't add up on disk: each one's shuffle files go when it has ended."""
+    rng = random.Random(12)
+    rows = [(k, "\n".join(" ".join(f"v{rng.randrange(3000)}" for _ in range(40)) for _ in range(20))) for k in range(200)]
+    docs = spark.createDataFrame(rows + [(k + 1000, t.replace("v1", "x", 1)) for k, t in rows], "doc_id long, text string")
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getPath(): found.apply(k).length() for k in range(found.size()) if "shuffle_" in found.apply(k).getName()}
+
+    before = files()
+    found = line_dedup.line_dedup(docs)
+    left = sum(n for f, n in files().items() if f not in before)
+    assert left < 0.1 * sum(len(t) for _, t in rows), left
+    assert found.where("edits > 0").count() >= 190
+
+
 def test_line_dedup_odd(odd_docs):
     assert line_dedup.line_dedup(odd_docs).count() > odd_docs.count()
     text = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(odd_docs.where("doc_id = 15")).collect()}
