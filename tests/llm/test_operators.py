@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from variantlink.llm import bpe, common, exact_dedup, html_text, licenses, line_dedup, packing, pii, quality, queries, simhash
+from variantlink.sources.shared import shared_dir
 
 GPT = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -581,6 +582,40 @@ def test_line_dedup_leaves_no_shuffle_files(spark):
     assert found.where("edits > 0").count() >= 190
 
 
+def test_signatures_tell_unlike_lines_of_many_words_apart(spark):
+    """They discard no line within the bound, and nearly all pairs of unlike lines, also of 60 to 200 words that share a sentence."""
+    rng, rows = random.Random(13), []
+    for k in range(200):
+        n = rng.choice([60, 100, 150, 200])
+        shared = [f"s{j}" for j in range(15)]
+        a, b = (shared + [f"w{rng.randrange(5000)}" for _ in range(n - 15)] for _ in range(2))
+        edited = set(rng.sample(range(n), n // 5))
+        near = [f"x{rng.randrange(5)}" if j in edited else w for j, w in enumerate(a)]
+        rows += [(a, b, False, n // 5), (a, near, True, word_edits(a, near))]
+    made = spark.createDataFrame(rows, "a array<string>, b array<string>, near boolean, most int")
+    bits = [line_dedup.signature(F.transform(x, lambda w: F.xxhash64(w))) for x in ("a", "b")]
+    found = made.withColumns({"x": bits[0], "y": bits[1]}).select("near", line_dedup.alike(F.col("x"), F.col("y"), F.col("most")).alias("alike"))
+    counts = Counter(map(tuple, found.collect()))
+    assert counts[True, True] == 200 and counts[False, True] <= 10, counts
+
+
+def test_line_dedup_leaves_no_tables_but_those_it_reads(spark, odd_docs):
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    line_dedup.line_dedup(odd_docs)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before}
+    assert left == {"lines", "line-verdicts"}
+
+
+def test_lines_of_a_repeated_id_keep_their_own_words(spark):
+    """Two rows have the same id and other texts at one line number: each is compared by its own words."""
+    line = [f"v{k}" for k in range(10)]
+    near, far = ["x", *line[1:]], [f"u{k}" for k in range(10)]
+    rows = [(1, " ".join(line)), (2, " ".join(near)), (2, " ".join(far)), (3, " ".join(["x", *far[1:]]))]
+    for made in (rows, rows[::-1]):
+        found = line_dedup.line_dedup(spark.createDataFrame(made, "doc_id long, text string")).collect()
+        assert sorted((r[0], r[2], r[3] or 0, r[5] or 0) for r in found) == [(1, True, 0, 0), (2, False, 1, 1), (2, True, 0, 0), (3, False, 2, 1)]
+
+
 def test_line_dedup_odd(odd_docs):
     assert line_dedup.line_dedup(odd_docs).count() > odd_docs.count()
     text = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(odd_docs.where("doc_id = 15")).collect()}
