@@ -256,3 +256,29 @@ def test_release_makes_nothing_from_the_product(spark, inputs, monkeypatch):
 def test_tags_of_orders_move_once_and_loci_are_not_clustered(spark):
     plan = demo.v2d(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and not re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, l_partkey", plan), plan
+
+
+def test_release_sends_tables_to_tasks_by_rows_not_by_files(spark, tmp_path):
+    """A file under Spark's limit may hold millions of rows: in build_all's block it is not sent through the driver unless its rows are few."""
+    limits = [f"spark.sql.{x}autoBroadcastJoinThreshold" for x in ("", "adaptive.")]
+    spark.range(400_000).select("id", F.lit("A").alias("a")).write.parquet(f"{tmp_path}/many")
+    spark.range(100).select("id", F.lit("T").alias("b")).write.parquet(f"{tmp_path}/few")
+    many, few, left = (spark.read.parquet(f"{tmp_path}/{x}") for x in ("many", "few", "many"))
+
+    def plan(right):
+        return left.select("id").join(right, "id")._jdf.queryExecution().sparkPlan().toString()
+
+    before = [spark.conf.get(x, None) for x in limits]
+    assert "BroadcastHashJoin" in plan(many)
+    with io.broadcast_by_rows(spark):
+        assert "BroadcastHashJoin" not in plan(many) and "BroadcastHashJoin" in plan(few)
+        assert int(spark.conf.get(limits[1])) == 10 << 20
+    assert before == [spark.conf.get(x, None) for x in limits]
+
+
+def test_release_broadcasts_by_rows(spark, inputs, monkeypatch):
+    seen = []
+    make = variant_disease.variant_disease
+    monkeypatch.setattr(variant_disease, "variant_disease", lambda *a: seen.append(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()) or make(*a))
+    pipeline.build_all(spark, inputs, new_path(spark, "release"))
+    assert seen == [1 << 18]
