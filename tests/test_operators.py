@@ -258,3 +258,20 @@ def test_a_large_group_is_sliced_where_the_plain_window_is_asked_for(spark):
     plain, sliced = (windows.percentile_by(df, ["g"], "x", "q", digits=6, skew_safe=False, large=n) for n in (1500, 1499))
     assert rows(plain) == rows(sliced)
     assert ["_slice" in df._jdf.queryExecution().executedPlan().toString() for df in (plain, sliced)] == [False, True]
+
+
+@pytest.mark.parametrize("digits", [1, 2])
+def test_percentile_by_cuts_like_the_window(spark, digits):
+    """Ties, nulls, NaN and infinities, null groups, groups of one and two rows: the same values, and no row is written or moved by itself."""
+    rng = random.Random(21)
+    made = [(rng.choice(["a", "a", "b", None]), rng.choice([None, 0.25, 1e300, float("inf"), float("nan"), -1.0, *[rng.gauss(0, 1) for _ in range(4)]]), k) for k in range(4000)]
+    made += [("one", 1.0, -1), ("two", 1.0, -2), ("two", 2.0, -3), ("none", None, -4), ("none", None, -5)]
+    made += [("even", float(k), 10_000 + k) for k in range(2001)] + [("few", float(k % 3), 20_000 + k) for k in range(3000)]
+    df = spark.createDataFrame(made, "g string, x double, k long").repartition(5)
+    want = Counter(map(repr, map(tuple, windows.percentile_by(df, ["g"], "x", "q", digits=digits, skew_safe=False).collect())))
+    for large in (0, 10**6):
+        found = windows.percentile_by_cuts(df, ["g"], "x", "q", digits=digits, large=large)
+        assert Counter(map(repr, map(tuple, found.collect()))) == want
+    plan = windows.percentile_by_cuts(df, ["g"], "x", "q", large=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("hashpartitioning") == 0
+    assert windows.percentile_by_cuts(df.limit(0), ["g"], "x", "q", large=0).count() == 0
