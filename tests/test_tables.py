@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from variantlink import schemas as S
 from variantlink.plans import demo, pipeline, summaries, variant_disease, variant_gene
 from variantlink.sources import io
-from variantlink.sources.shared import new_path, shared_dir
+from variantlink.sources.shared import new_path, shared_dir, staged
 
 GENE, STUDY = "ENSG00000223972", "FINNGEN_R5_CD2_INSITU_MELANOMA_TRUNK"
 SIDE = "study_id string, lead_chrom string, lead_pos long, lead_ref string, lead_alt string, tag_chrom string, tag_pos long, tag_ref string, tag_alt string"
@@ -282,3 +282,24 @@ def test_release_broadcasts_by_rows(spark, inputs, monkeypatch):
     monkeypatch.setattr(variant_disease, "variant_disease", lambda *a: seen.append(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()) or make(*a))
     pipeline.build_all(spark, inputs, new_path(spark, "release"))
     assert seen == [1 << 18]
+
+
+def test_locus_table_moves_no_row_twice(spark, tables, inputs):
+    """Where tasks are named, the union of all parts is dealt out by locus already: the same rows, without an exchange above it."""
+    tasks = summaries.locus_tasks(tables["v2d"], 1)
+    parts = [tables["v2d"], summaries.locus_genes(tables["v2d"], tables["scores"], 1), tables["v2d_coloc"], inputs["l2g"]]
+    found = summaries.manhattan(*parts, tasks=tasks)
+    above = found._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert tasks > 1 and "Aggregate" in above and "Exchange" not in above
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, summaries.manhattan(*parts).collect())) != []
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getPath() for k in range(found.size()) if "shuffle_" in found.apply(k).getName()}
+
+    before = files()
+    table = staged(spark.range(10_000).repartition(3, "id"), "some")
+    assert not [f for f in files() - before if f.endswith(".data")]
+    assert table.count() == 10_000
